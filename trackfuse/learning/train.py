@@ -24,6 +24,15 @@ def labelled(df: DataFrame, label: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull())
 
 
+def prepare(
+    train: DataFrame, label: str, categorical: Sequence[str] = (), numerical: Sequence[str] = (), keep_raw: bool = False
+) -> list:
+    """Category indexer and imputer fitted on the labelled rows, one pass each, for any number of models."""
+    rows = labelled(train, label)
+    fitted = [string_index(categorical).fit(rows)] if categorical else []
+    return fitted + ([mean_impute(numerical, keep_raw).fit(rows)] if numerical else [])
+
+
 def fit_model(
     train: DataFrame,
     kind: str,
@@ -33,28 +42,23 @@ def fit_model(
     weight: str | None = None,
     keep_raw: bool = False,
     estimator: Estimator | None = None,
+    prepared: list | None = None,
     **params,
 ) -> PipelineModel:
     """Index, encode (linear model only), impute, assemble and fit.
 
     ``estimator`` may be any Spark ML regressor in place of the one of ``kind``.
-    Categories are counted and indexed first, so that trees get enough bins.
+    ``prepared`` hands in what ``prepare`` fitted on the same rows.
     """
     _, make, encoded = KINDS[kind]
-    rows = labelled(train, label)
     used = [*categorical, *numerical, label, *([weight] if weight else [])]
-    rows = rows.select(*dict.fromkeys(used))
-    stages = []
-    if categorical:
-        indexer = string_index(categorical).fit(rows)
-        stages.append(indexer)
-        if encoded:
-            stages.append(one_hot(categorical))
+    rows = labelled(train, label).select(*dict.fromkeys(used))
+    stages = list(prepare(rows, label, categorical, numerical, keep_raw) if prepared is None else prepared)
     estimator = estimator or make(label, weight, **params)
     if categorical and estimator.hasParam("maxBins"):
-        estimator.set(estimator.getParam("maxBins"), needed_bins(indexer, estimator.getOrDefault("maxBins")))
-    if numerical:
-        stages.append(mean_impute(numerical, keep_raw))
+        estimator.set(estimator.getParam("maxBins"), needed_bins(stages[0], estimator.getOrDefault("maxBins")))
+    if categorical and encoded:
+        stages.insert(1, one_hot(categorical))
     filled = [c + FILLED for c in numerical] if keep_raw else list(numerical)
     inputs = [f"{c}_vec" if encoded else f"{c}_idx" for c in categorical] + filled
     return Pipeline(stages=[*stages, assemble(inputs), estimator]).fit(rows)

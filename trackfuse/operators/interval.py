@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackfuse.operators.skew import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, STREAM_SALTS, fits_broadcast, salted_join
+from trackfuse.session import stage
 
 DAY = 24 * 3600
 BINS_PER_WINDOW = 2
+# A repeated plan row is a row of join state in a stream, so bins are wider there.
+STREAM_BINS_PER_WINDOW = 1
 
 
 def seconds(n: int) -> Column:
@@ -36,15 +39,17 @@ def interval_join(
     delay: str | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     stream_salts: int = STREAM_SALTS,
+    stage_plan: bool = False,
 ) -> DataFrame:
     """Pairs with equal ids and ``plan_ts - before <= obs_ts <= plan_ts + after`` (seconds).
 
-    Time is cut into bins of half a window. An observation falls into one bin, a plan is
-    repeated for the (at most four) bins its window touches, and the join runs on id and
-    bin with the exact range checked again. So an asset with very many observations is
-    spread over its bins, and at most half of the compared pairs are discarded. A small
-    plan side is broadcast and the observations are not shuffled at all; otherwise heavy
-    (id, bin) groups are salted on both sides.
+    Time is cut into bins of half a window (a whole one in a stream). An observation
+    falls into one bin, a plan is repeated for the three (two) bins its window touches,
+    and the join runs on id and bin with the exact range checked again. So an asset with
+    very many observations is spread over its bins, and few of the compared pairs are
+    discarded. A small plan side is broadcast and the observations are not shuffled at
+    all; otherwise heavy (id, bin) groups are salted on both sides. That reads the plan
+    side three times, so let ``stage_plan`` write it first where it is itself a query.
 
     With ``delay`` both sides are streams: the watermark sits on the very columns of the
     range condition, so rows leave the state once no partner can come.
@@ -56,14 +61,18 @@ def interval_join(
     if delay is not None:
         plan, obs = watermark(plan, plan_ts, delay), watermark(obs, obs_ts, delay)
 
-    width = max((before + after) // BINS_PER_WINDOW, 1)
+    streaming = plan.isStreaming or obs.isStreaming
+    bins = STREAM_BINS_PER_WINDOW if streaming else BINS_PER_WINDOW
+    width = max((before + after) // bins, 1)
     first, last = F.col(plan_ts) - seconds(before), F.col(plan_ts) + seconds(after)
     in_range = (F.col(obs_ts) >= first) & (F.col(obs_ts) <= last)
 
-    streaming = plan.isStreaming or obs.isStreaming
+    # Each plan row comes back once per bin it touches.
     broadcast_plan = not streaming and fits_broadcast(
-        plan, max_broadcast_rows // (BINS_PER_WINDOW + 2), MAX_BROADCAST_BYTES // (BINS_PER_WINDOW + 2)
+        plan, max_broadcast_rows // (bins + 2), MAX_BROADCAST_BYTES // (bins + 2)
     )
+    if stage_plan and not streaming and not broadcast_plan:
+        plan = stage(plan, "plan")
     plans = (
         plan.filter(F.col(plan_id).isNotNull() & F.col(plan_ts).isNotNull())
         .withColumn("_bin", F.explode(F.sequence(_bin(first, width), _bin(last, width))))
@@ -80,5 +89,7 @@ def interval_join(
         same = (F.col("_id") == F.col("_r__id")) & (F.col("_bin") == F.col("_r__bin"))
         joined = seen.join(small, same & in_range, "inner")
     else:
-        joined = salted_join(seen, plans, keys, "inner", in_range, stream_salts=stream_salts)
+        joined = salted_join(
+            seen, plans, keys, "inner", in_range, stream_salts=stream_salts, measured_large=not streaming
+        )
     return joined.select(*plan.columns, *obs.columns)

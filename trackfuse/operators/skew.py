@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 1 / 1000
 MERGE_GROUPS = 128
-STREAM_SALTS = 8
+STREAM_SALTS = 4
 
 
 def _stored_bytes(field: T.StructField) -> Column:
@@ -109,6 +109,7 @@ def salted_join(
     null_safe: bool = False,
     stream_salts: int = STREAM_SALTS,
     share: float = HOT_SHARE,
+    measured_large: bool = False,
 ) -> DataFrame:
     """Equi-join on ``keys`` (same names on both sides, kept once), inner or left.
 
@@ -116,6 +117,9 @@ def salted_join(
     are repeated once per piece. In an inner join heavy right keys are split likewise, so
     a heavy key is cut into a grid. A stream cannot be measured first: there every left
     row is salted and every right row repeated ``stream_salts`` times.
+
+    ``measured_large`` says that ``right`` is known not to fit a broadcast: a sort-merge
+    join is asked for then, since file sizes let compressed tables look small.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"inner or left, not {how}")
@@ -133,6 +137,8 @@ def salted_join(
     on = [*keys, "_ls", "_rs"]
     left = left.drop("_lp", "_rp")
     right = right.drop("_lp", "_rp").withColumnsRenamed({c: f"_r_{c}" for c in on})
+    if measured_large:
+        right = right.hint("merge")
     match = F.lit(True) if condition is None else condition
     for c in on:
         mine, other = F.col(c), F.col(f"_r_{c}")
@@ -151,4 +157,4 @@ def sized_join(
     """Join a dimension: broadcast when its measured size allows, salted shuffle join beyond."""
     if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), list(keys), how)
-    return salted_join(facts, dim, keys, how, stream_salts=stream_salts)
+    return salted_join(facts, dim, keys, how, stream_salts=stream_salts, measured_large=True)

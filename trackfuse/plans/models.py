@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trackfuse.functions.features import entity_id
 from trackfuse.learning.stages import KINDS
-from trackfuse.learning.train import fit_model, model_report, run_stamp, save_model, score
+from trackfuse.learning.train import fit_model, model_report, prepare, run_stamp, save_model, score
 from trackfuse.operators.enrich import inverse_count_weight
 from trackfuse.operators.sampling import bootstrap_sample, random_split
 from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL
@@ -42,10 +42,13 @@ def train_all(
     """Fit, save and evaluate each kind on one split; returns the models and the report."""
     train, held_out = random_split(training_rows(features), test, split_by="flight_id" if by_entity else None)
     stamp = run_stamp()
+    prepared = prepare(train, LABEL, CATEGORICAL, NUMERICAL)
     models = {}
     for kind in kinds:
         extra = (params or {}).get(kind, {})
-        models[kind] = fit_model(train, kind, LABEL, CATEGORICAL, NUMERICAL, "sample_weight", **extra)
+        models[kind] = fit_model(
+            train, kind, LABEL, CATEGORICAL, NUMERICAL, "sample_weight", prepared=prepared, **extra
+        )
         save_model(models[kind], root, kind, stamp)
     scored = {kind: score(model, held_out) for kind, model in models.items()}
     report = stage(model_report(scored, LABEL, stamp), "report")

@@ -227,7 +227,7 @@ def normal_equations(spark, sf):
     # Least squares leaves residuals that are orthogonal to every input.
     lines = table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_returnflag", "l_extendedprice")
     model = fit_model(
-        lines, "linear_regression", "l_extendedprice", ["l_returnflag"], ["l_quantity", "l_discount"], tol=1e-12
+        lines, "linear_regression", "l_extendedprice", ["l_returnflag"], ["l_quantity", "l_discount"], tol=1e-9
     )
     miss = F.col("l_extendedprice") - F.col("prediction")
     first = F.when(F.col("l_returnflag") == "A", miss).otherwise(0.0)
