@@ -1,0 +1,72 @@
+import contextlib
+import io
+import re
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
+
+import __spark_entry__ as entry
+from compare import compare
+
+# These train or run streams several times; tools/compare.py covers them.
+LONG = {"e1_ingest_positions", "e2_features_stream", "e3_train_score", "x4_late_rows", "x5_checkpointed_restart"}
+NAMES = [n for n in entry.queries() if n not in LONG]
+INVENTORY = {
+    "s": 11, "k": 9, "p": 6, "j": 5, "a": 2, "w": 2, "t": 3, "r": 2, "f": 10, "x": 7, "m": 12
+}
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for path in Path(TESTDATA).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def test_every_listed_operator_has_a_query_and_sql():
+    ids = {re.match(r"[a-z]\d+", n).group() for n in entry.queries()}
+    assert {f"{letter}{i}" for letter, n in INVENTORY.items() for i in range(1, n + 1)} <= ids
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_equals_sql(spark, con, name):
+    assert compare(spark, con, name, TESTDATA).startswith("ok")
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+def explained(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+BATCH = [n for n in NAMES if n[0] in "pjatwf"]
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_plans_stay_in_the_engine(spark, name):
+    text = explained(entry.queries()[name](spark, TESTDATA))
+    for bad in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEvalPython", "MapInPandas", "BatchEvalPython"):
+        assert bad not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    one = explained(entry.queries()["p6_key_filter"](spark, TESTDATA))
+    assert "EqualTo(user_id,42)" in one
+    newest = explained(entry.queries()["t1_latest_for_key"](spark, TESTDATA))
+    assert "EqualTo(user_id,42)" in newest and "TakeOrderedAndProject" in newest
+    joined = explained(entry.queries()["j3_interval_join"](spark, TESTDATA))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in joined
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_shipdate:timestamp_ntz>" in joined
+    assert "hashpartitioning" not in joined

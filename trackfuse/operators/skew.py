@@ -5,9 +5,9 @@ Two ways, chosen by a measured size:
 * the other side is small: broadcast it, nothing is shuffled;
 * it is not: split the heavy keys over several sub-keys (salts) before the shuffle.
 
-Which keys are heavy comes from a frequent-items sketch of the key columns, so the list
-has at most ``1 / HOT_SHARE`` entries whatever the data holds, and may be broadcast. The
-sketch only steers the split; the joined rows are exact in any case.
+Which keys are heavy comes from frequent-items sketches of the key columns, so the list is
+short whatever the data holds, and may be broadcast. The sketch only steers the split; the
+joined rows are exact in any case.
 """
 
 from __future__ import annotations
@@ -18,9 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackfuse.session import stage
+
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 1 / 1000
+# No key is cut into pieces smaller than this: one task handles that many rows with ease.
+MIN_PIECE_ROWS = 100_000
 MERGE_GROUPS = 128
 STREAM_SALTS = 4
 
@@ -61,33 +65,41 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*columns, F.spark_partition_id())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """``(_key, _parts)`` for the keys with more than ``share`` of all rows of ``df``.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = MIN_PIECE_ROWS
+) -> DataFrame:
+    """``(_key, _parts)`` for the keys with more than ``share`` of all rows, and ``min_rows``, of ``df``.
 
-    ``_parts`` is the number of pieces that brings a piece down to about ``share``.
-    One pass over the key columns; each task sends one small sketch, which are merged in
-    ``MERGE_GROUPS`` groups first, so no task receives them all. At most ``1 / share``
-    rows come back.
+    ``_parts`` is the number of pieces that brings a piece down to about that size.
+    One pass over the key columns: each task keeps a small frequent-items sketch, which
+    are merged in ``MERGE_GROUPS`` groups, and the groups' lists are added up. Sketches
+    overrate by less than half of all rows in sum, so fewer than ``2 / share`` rows come
+    back whatever the data holds.
     """
     most, tracked = int(1 / share), int(4 / share)
-    merged = (
+    lists = (
         df.select(F.xxhash64(*keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"))
         .groupBy("g")
-        .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch"), F.count("*").alias("n"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("total"))
+        .agg(F.expr(f"approx_top_k(_key, {most}, {tracked})").alias("top"), F.count("*").alias("n"))
+    )
+    # An entry without a key carries the number of rows of its group.
+    size = F.array(F.struct(F.lit(None).cast("long").alias("item"), F.col("n").alias("count")))
+    counts = (
+        lists.select(F.explode(F.concat("top", size)).alias("e"))
+        .groupBy(F.col("e.item").alias("_key"))
+        .agg(F.sum("e.count").alias("n"))
     )
+    total = counts.filter(F.col("_key").isNull()).select("n").scalar()
     return (
-        merged.select(F.expr(f"explode(approx_top_k_estimate(sketch, {most}))").alias("hot"), "total")
-        .filter(F.col("hot.count") > F.col("total") * share)
-        .select(
-            F.col("hot.item").alias("_key"),
-            F.ceil(F.col("hot.count") / (F.col("total") * share)).cast("int").alias("_parts"),
-        )
+        counts.filter(F.col("_key").isNotNull())
+        .withColumn("piece", F.greatest(total * share, F.lit(float(min_rows))))
+        .filter(F.col("n") > F.col("piece"))
+        .select("_key", F.ceil(F.col("n") / F.col("piece")).cast("int").alias("_parts"))
     )
 
 
 def _mark(side: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    # ``hot`` has at most 2 / share rows by construction, hence the hint.
+    # ``hot`` has fewer than 4 / share rows by construction, hence the hint.
     marked = side.withColumn("_key", F.xxhash64(*keys)).join(F.broadcast(hot), "_key", "left")
     return marked.drop("_key").fillna(1, ["_lp", "_rp"])
 
@@ -109,6 +121,7 @@ def salted_join(
     null_safe: bool = False,
     stream_salts: int = STREAM_SALTS,
     share: float = HOT_SHARE,
+    min_rows: int = MIN_PIECE_ROWS,
     measured_large: bool = False,
 ) -> DataFrame:
     """Equi-join on ``keys`` (same names on both sides, kept once), inner or left.
@@ -126,10 +139,14 @@ def salted_join(
     if left.isStreaming or right.isStreaming:
         left, right = (s.withColumn("_lp", F.lit(stream_salts)).withColumn("_rp", F.lit(1)) for s in (left, right))
     else:
-        hot = hot_keys(left, keys, share).select("_key", F.col("_parts").alias("_lp"), F.lit(1).alias("_rp"))
+        hot = hot_keys(left, keys, share, min_rows).select("_key", F.col("_parts").alias("_lp"), F.lit(1).alias("_rp"))
         if how == "inner":
-            heavy = hot_keys(right, keys, share).select("_key", F.lit(1).alias("_lp"), F.col("_parts").alias("_rp"))
+            heavy = hot_keys(right, keys, share, min_rows).select(
+                "_key", F.lit(1).alias("_lp"), F.col("_parts").alias("_rp")
+            )
             hot = hot.unionByName(heavy).groupBy("_key").agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp"))
+        # Both sides must see the same numbers of pieces, so they are written once.
+        hot = stage(hot, "hot")
         left, right = _mark(left, keys, hot), _mark(right, keys, hot)
 
     left = left.withColumn("_ls", _own_piece(left, "_lp")).withColumn("_rs", _all_pieces("_rp"))
