@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from trackfuse.learning.train import score
 from trackfuse.operators.lookup import latest_for_key, latest_n
-from trackfuse.plans.features import build_features
+from trackfuse.plans.features import build_features, start_features
 from trackfuse.plans.ingest import positions_from_pages, schedule_from_pages, start_ingest
-from trackfuse.plans.models import train_all, training_rows
+from trackfuse.plans.models import start_scoring, train_all, training_rows
 from trackfuse.schemas import FEATURES, POSITIONS, SCHEDULE
 from trackfuse.sources.scans import calendar_table, table_stream
 from trackfuse.streaming.sinks import append_files, finish
@@ -126,6 +126,27 @@ def test_messages_to_features_as_streams(spark, tables, dims, tmp_path):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
+def test_first_start_without_history_then_with(spark, tables, dims, tmp_path):
+    root, names = str(tmp_path / "store"), {"features": "fs.features", "averages": "fs.averages"}
+    for name, df in zip(("plan", "seen"), tables):
+        df.write.parquet(str(tmp_path / name))
+    del dims["operator_averages"]
+
+    def run():
+        plan = table_stream(spark, str(tmp_path / "plan"), SCHEDULE)
+        seen = table_stream(spark, str(tmp_path / "seen"), POSITIONS)
+        finish(start_features(plan, seen, **dims, checkpoint=str(tmp_path / "ck"), root=root, trigger=ONCE, **names))
+        stored = spark.read.parquet(f"{root}/fs/features")
+        return {(r.ident, r.operator_avg_departure_delay) for r in stored.collect()}
+
+    assert run() == {("T1", None), ("T5", None)}
+    page = json.dumps({"departures": [flight("T6", "R1", shift=50)]})
+    schedule_from_pages(spark.createDataFrame([(page,)], "value string")).write.mode("append").parquet(
+        str(tmp_path / "plan")
+    )
+    assert run() == {("T1", None), ("T5", None), ("T6", 600.0)}
+
+
 @pytest.fixture
 def features(spark):
     """Feature rows with a delay that follows the operator and the distance."""
@@ -178,6 +199,14 @@ def test_train_score_and_look_up(spark, features, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "scored"))
     batch = score(models["decision_tree_regression"], spark.read.parquet(str(tmp_path / "features")))
     assert stored.exceptAll(batch).isEmpty() and stored.count() == 2000
+    sent = start_scoring(
+        models["linear_regression"], table_stream(spark, str(tmp_path / "features"), FEATURES), str(tmp_path / "ck_s"),
+        {"path": str(tmp_path / "sent")}, "scores.rows", message_fmt="json", root=str(tmp_path / "store"), trigger=ONCE,
+    )
+    finish(*sent)
+    assert spark.table("scores.rows").count() == 2000
+    message = spark.read.json(str(tmp_path / "sent")).filter("key = 'T7'").first()
+    assert json.loads(message.value)["ident"] == "T7" and "prediction" in json.loads(message.value)
     # Filled values replace the gaps, in the scored rows too.
     assert stored.filter("velocity IS NULL").count() == 0
     newest = latest_for_key(stored, "ident", "T7", "scheduled_out", ["time_position"]).first()

@@ -14,7 +14,7 @@ import __spark_entry__ as entry
 from compare import compare
 
 # These train or run streams several times; tools/compare.py covers them.
-LONG = {"e1_ingest_positions", "e2_features_stream", "e3_train_score", "x4_late_rows", "x5_checkpointed_restart"}
+LONG = {"e1_ingest_positions", "e2_features_stream", "e3_score_stream", "e3_train_score", "x4_late_rows", "x5_checkpointed_restart"}
 NAMES = [n for n in entry.queries() if n not in LONG]
 INVENTORY = {
     "s": 11, "k": 9, "p": 6, "j": 5, "a": 2, "w": 2, "t": 3, "r": 2, "f": 10, "x": 7, "m": 12

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackfuse.operators.enrich import id_map_left, key_average_join
-from trackfuse.operators.interval import DAY, interval_join, watermark
+from trackfuse.operators.interval import DAY, drop_repeats, interval_join, watermark
 from trackfuse.session import ROCKSDB
 from trackfuse.sources.scans import as_glob, read_stream, table_stream
 from trackfuse.streaming.sinks import (
@@ -111,9 +111,10 @@ def test_restart_goes_on_from_checkpoint(spark, tmp_path, rows):
 def test_repeated_polls_can_be_dropped(spark, tmp_path, rows):
     put(spark, tmp_path / "in", [("a", hours(0), 1), ("a", hours(0), 1), ("a", hours(0), 2)], OBS)
     feed = table_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
-    once = watermark(feed, "seen").dropDuplicatesWithinWatermark(["oid", "seen", "o"])
+    once = drop_repeats(watermark(feed, "seen"), ["oid", "seen", "o"])
     finish(append_files(once, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=ONCE))
     assert rows(spark.read.parquet(str(tmp_path / "out")), "o") == [(1,), (2,)]
+    assert rows(drop_repeats(spark.read.parquet(str(tmp_path / "in")), ["oid", "seen", "o"]), "o") == [(1,), (2,)]
 
 
 @pytest.mark.parametrize("max_rows", [1000, 0])

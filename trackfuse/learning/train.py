@@ -24,6 +24,11 @@ def labelled(df: DataFrame, label: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull())
 
 
+def label_counts(df: DataFrame, label: str) -> DataFrame:
+    """How many rows can be learnt from, and how many lack the label and are left out."""
+    return df.agg(F.count(label).alias("labelled"), F.count_if(F.col(label).isNull()).alias("unlabelled"))
+
+
 def prepare(
     train: DataFrame, label: str, categorical: Sequence[str] = (), numerical: Sequence[str] = (), keep_raw: bool = False
 ) -> list:

@@ -23,6 +23,15 @@ def watermark(df: DataFrame, ts: str, delay: str = "8 hours") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+def drop_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: repeated polls bring the same rows again.
+
+    In a stream a repeat is looked for within the watermark's delay only, which bounds
+    the state.
+    """
+    return df.dropDuplicatesWithinWatermark(keys) if df.isStreaming else df.dropDuplicates(keys)
+
+
 def _bin(ts: Column, width: int) -> Column:
     # Any monotone bin number will do: both sides use the same one.
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(width)).cast("long")

@@ -16,13 +16,26 @@ def _newest_first(order: Sequence[str]):
 
 
 def latest_n(df: DataFrame, ts: str, n: int = 10, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The newest ``n`` rows; equal times are ordered by ``tiebreak``, newest or highest first."""
-    return non_finite_to_null(df.orderBy(*_newest_first([ts, *tiebreak])).limit(n))
+    """The newest ``n`` rows; equal times are ordered by ``tiebreak``, newest or highest first.
+
+    The time of the n-th row is found from the time column alone, and only rows from
+    then on are read whole: the filter reaches the scan as a value.
+    """
+    if n > 0:
+        top = df.select(ts).orderBy(*_newest_first([ts])).limit(n)
+        edge = top.agg(F.when(F.count(ts) >= n, F.min(ts)).alias("edge")).first().edge
+        if edge is not None:
+            df = df.filter(F.col(ts) >= F.lit(edge))
+    return non_finite_to_null(_first_rows(df, ts, n, tiebreak))
+
+
+def _first_rows(df: DataFrame, ts: str, n: int, tiebreak: Sequence[str]) -> DataFrame:
+    return df.orderBy(*_newest_first([ts, *tiebreak])).limit(n)
 
 
 def latest_for_key(df: DataFrame, key: str, value, ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """The newest row of one key; empty if there is none."""
-    return latest_n(key_filter(df, key, value), ts, 1, tiebreak)
+    return non_finite_to_null(_first_rows(key_filter(df, key, value), ts, 1, tiebreak))
 
 
 def latest_per_key(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:

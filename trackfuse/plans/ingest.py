@@ -7,13 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from trackfuse.schemas import POSITIONS, SCHEDULE, SCHEDULE_MESSAGE, SCHEDULE_TIMES
+from trackfuse.schemas import POSITION_TABLE, POSITIONS, SCHEDULE, SCHEDULE_MESSAGE, SCHEDULE_TABLE, SCHEDULE_TIMES
 from trackfuse.sources.decode import SCHEDULE_PICKS, decode_flat_json, decode_schedule, lift, paged_payload, state_vectors
 from trackfuse.streaming.sinks import append_stream, ensure_tables
 
-POSITION_TABLE = "flights.flight_positions"
-SCHEDULE_TABLE = "schedule.schedule_data"
-
 
 def positions_from_messages(messages: DataFrame) -> DataFrame:
     return decode_flat_json(messages, POSITIONS)

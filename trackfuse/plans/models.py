@@ -7,15 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from trackfuse.functions.features import entity_id
 from trackfuse.learning.stages import KINDS
 from trackfuse.learning.train import fit_model, model_report, prepare, run_stamp, save_model, score
 from trackfuse.operators.enrich import inverse_count_weight
 from trackfuse.operators.sampling import bootstrap_sample, random_split
-from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL
+from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL, PREDICTION_TABLE, PREDICTIONS
 from trackfuse.session import stage
-from trackfuse.streaming.sinks import metrics_json
+from trackfuse.streaming.sinks import append_stream, ensure_tables, key_value_json, message_sink, metrics_json, multi_sink
 
 ENTITY = ("ident", "origin_airport_icao", "scheduled_out")
 
@@ -56,3 +57,27 @@ def train_all(
         name = KINDS[kind][0]
         metrics_json(report.filter(F.col("Model") == name), f"{root}/metrics_{name}_{stamp}.json")
     return models, report
+
+
+def start_scoring(
+    model: PipelineModel,
+    features: DataFrame,
+    checkpoints: str,
+    messages: Mapping[str, str],
+    table: str = PREDICTION_TABLE,
+    fmt: str = "parquet",
+    message_fmt: str = "kafka",
+    root: str | None = None,
+    trigger: Mapping | None = None,
+) -> list[StreamingQuery]:
+    """Score a feature stream into a table and, keyed by flight, into a topic."""
+    ensure_tables(features.sparkSession, {table: PREDICTIONS}, fmt, root)
+    return multi_sink(
+        score(model, features),
+        [
+            lambda rows: append_stream(rows, table, f"{checkpoints}/table", fmt, trigger=trigger),
+            lambda rows: message_sink(
+                key_value_json(rows, "ident"), messages, f"{checkpoints}/messages", message_fmt, trigger
+            ),
+        ],
+    )

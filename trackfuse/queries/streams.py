@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trackfuse.learning.train import fit_model, score
 from trackfuse.operators.enrich import calendar_flag, id_map_left, key_average, key_average_join, lookup_left
-from trackfuse.operators.interval import DAY, interval_join, watermark
+from trackfuse.operators.interval import DAY, drop_repeats, interval_join, watermark
 from trackfuse.queries.domain import HOLIDAYS_SQL, holidays
 from trackfuse.queries.joins import PAIRS_SQL, purchases_and_clicks
 from trackfuse.queries.learning import LINE_SQL
@@ -22,7 +22,7 @@ def marked(spark, sf):
     once = stream(spark, sf, "events").select("event_id", "ts", "user_id", "value")
     again = stream(spark, sf, "events").select("event_id", "ts", "user_id", "value")
     polls = watermark(once.unionAll(again), "ts", "8 hours")
-    return no_zone(replay(polls.dropDuplicatesWithinWatermark(["event_id"]), "x1"))
+    return no_zone(replay(drop_repeats(polls, ["event_id"]), "x1"))
 
 
 def _pairs(events, delay="8 hours"):

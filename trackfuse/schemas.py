@@ -124,6 +124,14 @@ FEATURES = schema(
 
 PREDICTIONS = T.StructType([*FEATURES.fields, T.StructField("prediction", T.DoubleType())])
 
+# Names of the stored tables.
+POSITION_TABLE = "flights.flight_positions"
+SCHEDULE_TABLE = "schedule.schedule_data"
+PLACE_TABLE = "airport.longlat"
+AVERAGE_TABLE = "ref.operator_avg_delay"
+FEATURE_TABLE = "data.combined_data"
+PREDICTION_TABLE = "data.prediction_data"
+
 # Model inputs and settings.
 CATEGORICAL = (
     "operator",
