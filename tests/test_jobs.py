@@ -77,8 +77,8 @@ def tables(spark):
     return plan, seen
 
 
-def seen_hours(df):
-    return {(r.ident, round((r.time_position - epoch(0)) / 3600, 2)) for r in df.collect()}
+def seen_hours(rows):
+    return {(r.ident, round((r.time_position - epoch(0)) / 3600, 2)) for r in rows}
 
 
 def test_features_by_hand(tables, dims):
@@ -86,19 +86,20 @@ def test_features_by_hand(tables, dims):
     assert got.columns == FEATURES.names
     assert [f.dataType for f in got.schema] == [f.dataType for f in FEATURES]
     # At the window's start: in; before it, at or after take-off, open flights, unmapped assets: out.
-    assert seen_hours(got) == {("T1", -24), ("T1", 0.5), ("T5", 30)}
-    row = next(r for r in got.collect() if r.ident == "T1" and r.time_position == epoch(0.5))
+    rows = got.collect()
+    assert seen_hours(rows) == {("T1", -24), ("T1", 0.5), ("T5", 30)}
+    row = next(r for r in rows if r.ident == "T1" and r.time_position == epoch(0.5))
     assert row.aircraft_airport_distance_km == 111.19 and row.aircraft_to_airport_heading == pytest.approx(270.0)
     assert (row.seconds_to_scheduled_out, row.on_ground_int, row.diverted_int, row.cancelled_int) == (-1800, 1, 0, 1)
     assert (row.scheduled_out_hour_of_day, row.scheduled_out_day_of_week, row.scheduled_out_month_of_year) == (10, 6, 12)
     assert (row.operator_avg_departure_delay, row.is_holiday) == (100.0, 1)
-    assert next(r for r in got.collect() if r.ident == "T5").is_holiday == 0
+    assert next(r for r in rows if r.ident == "T5").is_holiday == 0
 
 
 def test_open_flights_can_be_kept(tables, dims):
-    got = build_features(*tables, **dims, keep_open=True)
+    got = build_features(*tables, **dims, keep_open=True).collect()
     assert seen_hours(got) == {("T1", -24), ("T1", 0.5), ("T5", 30), ("T2", 0)}
-    assert next(r for r in got.collect() if r.ident == "T2").operator_avg_departure_delay == 200.0
+    assert next(r for r in got if r.ident == "T2").operator_avg_departure_delay == 200.0
 
 
 def test_messages_to_features_as_streams(spark, tables, dims, tmp_path):

@@ -176,13 +176,17 @@ def test_failed_sink_is_reported(spark, numbers, tmp_path):
 
 
 def test_fan_out_repeats_no_batch(spark, numbers, tmp_path):
+    def cached():
+        return spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+    before = cached()
     paths = {"all": str(tmp_path / "all"), "twice": str(tmp_path / "twice")}
     shapes = {"all": lambda df: df, "twice": lambda df: df.selectExpr("id * 2 AS twice")}
     for _ in range(2):
         finish(fan_out(numbers, paths, shapes, str(tmp_path / "ck"), ONCE))
     assert spark.read.parquet(paths["all"]).count() == 5
     assert spark.read.parquet(paths["twice"]).agg(F.sum("twice")).first()[0] == 20
-    assert not numbers.sparkSession.sparkContext._jsc.sc().getPersistentRDDs().size()
+    assert cached() == before
 
 
 def test_console_shows_only_the_first_rows(numbers, tmp_path, capfd):
