@@ -61,10 +61,11 @@ def test_salted_join_equals_plain_join_under_skew(spark, how):
     left = spark.range(3000).selectExpr(
         "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN null ELSE string(id) END k", "CASE id % 3 WHEN 0 THEN 0 ELSE id END v"
     )
-    right = spark.range(400).selectExpr("CASE id % 4 WHEN 0 THEN 'hot' ELSE string(id) END k", "id w")
+    right = spark.range(600).selectExpr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN null ELSE string(id) END k", "id w")
     salted = skew.salted_join(left, right, ["k"], how, min_rows=10, measured_large=True)
+    assert skew._heavy(left, right, ["k"], False, min_rows=10).filter("_lp > 1 AND _rp > 1").count() == 2
     plain = left.join(right, "k", how)
-    assert salted.columns == plain.columns
+    assert salted.columns == ["k", "v", "w"] == plain.columns
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
@@ -82,6 +83,15 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert max(r["count"] for r in sizes) < 35_000
 
 
+def test_salted_join_of_int_and_long_keys(spark):
+    left = spark.range(3000).selectExpr("int(id % 3) k", "id v")
+    right = spark.range(3).selectExpr("id k", "id w")
+    joined = skew.salted_join(left, right, ["k"], min_rows=10)
+    assert joined.count() == 3000 and joined.filter("k <> w").isEmpty()
+    with pytest.raises(ValueError, match="one type"):
+        skew.salted_join(left, right.selectExpr("string(k) k", "w"), ["k"])
+
+
 def test_salted_join_null_safe(spark, rows):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     right = spark.createDataFrame([(None, 7), ("a", 8)], "k string, w int")
@@ -120,6 +130,7 @@ def test_interval_bounds(spark, rows, limit):
 def split_everything(monkeypatch):
     """Cut keys of any size, so that small data take the way of large."""
     defaults = (*skew.salted_join.__defaults__[:-2], 3, skew.salted_join.__defaults__[-1])
+    assert skew.salted_join.__defaults__[-2] == skew.MIN_PIECE_ROWS
     monkeypatch.setattr(skew.salted_join, "__defaults__", defaults)
 
 

@@ -75,7 +75,7 @@ def inverse_count_weight(df: DataFrame, entity: str, out: str = "sample_weight")
     """
     counts = df.groupBy(entity).agg(F.count("*").alias("_n"))
     return (
-        salted_join(df, counts, [entity], "left", null_safe=True)
+        salted_join(df, counts, [entity], "left", null_safe=True, unique_right=True)
         .withColumn(out, F.lit(1.0) / F.col("_n"))
         .drop("_n")
     )

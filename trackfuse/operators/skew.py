@@ -65,6 +65,19 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*columns, F.spark_partition_id())
 
 
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The same number for equal keys, also where one side holds them as int and the other as long."""
+    whole = {k for k in keys if isinstance(df.schema[k].dataType, T.IntegralType)}
+    return F.xxhash64(*(F.col(k).cast("long") if k in whole else F.col(k) for k in keys))
+
+
+def _check_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    for k in keys:
+        kinds = [side.schema[k].dataType for side in (left, right)]
+        if kinds[0] != kinds[1] and not all(isinstance(kind, T.IntegralType) for kind in kinds):
+            raise ValueError(f"cast {k} to one type, not {kinds[0].simpleString()} and {kinds[1].simpleString()}")
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = MIN_PIECE_ROWS
 ) -> DataFrame:
@@ -78,7 +91,7 @@ def hot_keys(
     """
     most, tracked = int(1 / share), int(4 / share)
     lists = (
-        df.select(F.xxhash64(*keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"))
+        df.select(key_hash(df, keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"))
         .groupBy("g")
         .agg(F.expr(f"approx_top_k(_key, {most}, {tracked})").alias("top"), F.count("*").alias("n"))
     )
@@ -100,7 +113,7 @@ def hot_keys(
 
 def _mark(side: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     # ``hot`` has fewer than 4 / share rows by construction, hence the hint.
-    marked = side.withColumn("_key", F.xxhash64(*keys)).join(F.broadcast(hot), "_key", "left")
+    marked = side.withColumn("_key", key_hash(side, keys)).join(F.broadcast(hot), "_key", "left")
     return marked.drop("_key").fillna(1, ["_lp", "_rp"])
 
 
@@ -112,6 +125,18 @@ def _all_pieces(parts: str) -> Column:
     return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
 
 
+def _heavy(left: DataFrame, right: DataFrame, keys: Sequence[str], unique_right: bool, **limits) -> DataFrame:
+    """``(_key, _lp, _rp)``: into how many pieces a key is cut on either side.
+
+    Written once, since both sides must go by the same numbers.
+    """
+    hot = hot_keys(left, keys, **limits).select("_key", F.col("_parts").alias("_lp"), F.lit(1).alias("_rp"))
+    if not unique_right:
+        other = hot_keys(right, keys, **limits).select("_key", F.lit(1).alias("_lp"), F.col("_parts").alias("_rp"))
+        hot = hot.unionByName(other).groupBy("_key").agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp"))
+    return stage(hot, "hot")
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -119,6 +144,7 @@ def salted_join(
     how: str = "inner",
     condition: Column | None = None,
     null_safe: bool = False,
+    unique_right: bool = False,
     stream_salts: int = STREAM_SALTS,
     share: float = HOT_SHARE,
     min_rows: int = MIN_PIECE_ROWS,
@@ -127,26 +153,31 @@ def salted_join(
     """Equi-join on ``keys`` (same names on both sides, kept once), inner or left.
 
     Rows of a heavy left key get one of its ``_lp`` pieces and the matching right rows
-    are repeated once per piece. In an inner join heavy right keys are split likewise, so
-    a heavy key is cut into a grid. A stream cannot be measured first: there every left
-    row is salted and every right row repeated ``stream_salts`` times.
+    are repeated once per piece; heavy right keys are split likewise, so a heavy key is
+    cut into a grid. A left join with heavy right keys is made of the inner join and the
+    left rows whose key the right side lacks. ``unique_right`` says that no right key
+    occurs twice. A stream cannot be measured first: there every left row is salted and
+    every right row repeated ``stream_salts`` times.
 
     ``measured_large`` says that ``right`` is known not to fit a broadcast: a sort-merge
     join is asked for then, since file sizes let compressed tables look small.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"inner or left, not {how}")
+    _check_types(left, right, keys)
     if left.isStreaming or right.isStreaming:
         left, right = (s.withColumn("_lp", F.lit(stream_salts)).withColumn("_rp", F.lit(1)) for s in (left, right))
     else:
-        hot = hot_keys(left, keys, share, min_rows).select("_key", F.col("_parts").alias("_lp"), F.lit(1).alias("_rp"))
-        if how == "inner":
-            heavy = hot_keys(right, keys, share, min_rows).select(
-                "_key", F.lit(1).alias("_lp"), F.col("_parts").alias("_rp")
-            )
-            hot = hot.unionByName(heavy).groupBy("_key").agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp"))
-        # Both sides must see the same numbers of pieces, so they are written once.
-        hot = stage(hot, "hot")
+        hot = _heavy(left, right, keys, unique_right, share=share, min_rows=min_rows)
+        if how == "left" and not unique_right and not hot.filter("_rp > 1").isEmpty():
+            if condition is not None:
+                raise ValueError("a left join with heavy right keys takes no further condition")
+            same = {"null_safe": null_safe, "share": share, "min_rows": min_rows, "measured_large": measured_large}
+            known = right.select(*keys).distinct().withColumn("_known", F.lit(True))
+            marked = salted_join(left, known, keys, "left", unique_right=True, **same)
+            unmatched = marked.filter(F.col("_known").isNull()).drop("_known")
+            matched = salted_join(left, right, keys, "inner", **same)
+            return matched.unionByName(unmatched, allowMissingColumns=True)
         left, right = _mark(left, keys, hot), _mark(right, keys, hot)
 
     left = left.withColumn("_ls", _own_piece(left, "_lp")).withColumn("_rs", _all_pieces("_rp"))
