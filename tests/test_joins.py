@@ -27,9 +27,9 @@ JOINED = [(1, "a", 10), (2, "b", 20), (2, "b", 21), (3, None, None), (4, "c", No
 def test_left_joins(spark, rows, max_rows):
     facts = spark.createDataFrame(FACTS, "n int, k string")
     dim = spark.createDataFrame(DIM, "k string, v int")
-    assert rows(enrich.id_map_left(facts, dim, "k", max_rows), "n", "k", "v") == sorted(JOINED, key=repr)
+    assert rows(enrich.id_map_left(facts, dim, "k", max_rows=max_rows), "n", "k", "v") == sorted(JOINED, key=repr)
     other = dim.withColumnRenamed("k", "dim_k")
-    got = enrich.lookup_left(facts, other, "k", "dim_k", {"v": "w"}, max_rows)
+    got = enrich.lookup_left(facts, other, "k", "dim_k", {"v": "w"}, max_rows=max_rows)
     assert sorted(got.columns) == ["k", "n", "w"]
     assert rows(got, "n", "k", "w") == sorted(JOINED, key=repr)
 
@@ -126,17 +126,9 @@ def test_interval_bounds(spark, rows, limit):
     assert rows(got, "plan", "n") == [("p1", 1), ("p1", 3), ("p2", 3), ("p2", 4)]
 
 
-@pytest.fixture
-def split_everything(monkeypatch):
-    """Cut keys of any size, so that small data take the way of large."""
-    defaults = (*skew.salted_join.__defaults__[:-2], 3, skew.salted_join.__defaults__[-1])
-    assert skew.salted_join.__defaults__[-2] == skew.MIN_PIECE_ROWS
-    monkeypatch.setattr(skew.salted_join, "__defaults__", defaults)
-
-
 @pytest.mark.parametrize("limit", [100_000, 0])
 @pytest.mark.parametrize("before,after", [(3600, 7200), (0, 0), (DAY, DAY), (1, 0)])
-def test_interval_equals_its_definition(spark, split_everything, before, after, limit):
+def test_interval_equals_its_definition(spark, before, after, limit):
     rnd = random.Random(before + after)
     start = dt.datetime(1969, 12, 30)
 
@@ -158,7 +150,7 @@ def test_interval_equals_its_definition(spark, split_everything, before, after,
     got = interval_join(
         spark.createDataFrame(plan, "p int, pid string, planned timestamp_ntz"),
         spark.createDataFrame(obs, "o int, oid string, seen timestamp_ntz"),
-        ("pid", "oid"), "planned", "seen", before, after, max_broadcast_rows=limit,
+        ("pid", "oid"), "planned", "seen", before, after, max_broadcast_rows=limit, min_rows=3,
     )
     assert sorted((r.p, r.o) for r in got.collect()) == expected
 

@@ -123,7 +123,7 @@ def test_stream_static_joins(spark, tmp_path, rows, max_rows):
     feed = table_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
     dim = spark.createDataFrame([("a", 10.0), ("b", 20.0), ("b", 30.0)], "k string, v double")
     means = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "k string, mean double")
-    out = key_average_join(id_map_left(feed, dim, "k", max_rows), means, "k", "mean", max_rows)
+    out = key_average_join(id_map_left(feed, dim, "k", max_rows=max_rows), means, "k", "mean", max_rows=max_rows)
     finish(append_files(out, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=ONCE))
     expected = {(1, 10.0, 1.0), (2, 20.0, 3.0), (2, 30.0, 3.0), (3, None, 2.0), (4, None, 2.0)}
     assert set(rows(spark.read.parquet(str(tmp_path / "out")), "n", "v", "mean")) == expected

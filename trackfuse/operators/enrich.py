@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackfuse.functions.features import event_date, flag_not_null
 from trackfuse.operators.project import rename_drop
-from trackfuse.operators.skew import MAX_BROADCAST_ROWS, STREAM_SALTS, salted_join, sized_join
+from trackfuse.operators.skew import MIN_PIECE_ROWS, salted_join, sized_join
 
 
 def lookup_left(
@@ -18,24 +18,20 @@ def lookup_left(
     key: str,
     dim_key: str,
     renames: Mapping[str, str] | None = None,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    stream_salts: int = STREAM_SALTS,
+    **join,
 ) -> DataFrame:
-    """Left join to a dimension under another key name; the dimension's key is dropped."""
+    """Left join to a dimension under another key name; the dimension's key is dropped.
+
+    ``join`` holds limits for ``sized_join``, here and below.
+    """
     keyed = dim.withColumnRenamed(dim_key, key) if key != dim_key else dim
-    joined = sized_join(df, keyed, [key], "left", max_rows, stream_salts)
+    joined = sized_join(df, keyed, [key], "left", **join)
     return rename_drop(joined, renames or {})
 
 
-def id_map_left(
-    df: DataFrame,
-    mapping: DataFrame,
-    key: str,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    stream_salts: int = STREAM_SALTS,
-) -> DataFrame:
+def id_map_left(df: DataFrame, mapping: DataFrame, key: str, **join) -> DataFrame:
     """Left join that maps an id. A repeated id fans out, an unknown one maps to null."""
-    return sized_join(df, mapping, [key], "left", max_rows, stream_salts)
+    return sized_join(df, mapping, [key], "left", **join)
 
 
 def calendar_flag(df: DataFrame, calendar: DataFrame, ts: str, date_col: str, flag: str) -> DataFrame:
@@ -59,15 +55,15 @@ def mean_of_means(averages: DataFrame, col: str) -> Column:
     return averages.select(F.avg(col)).scalar()
 
 
-def key_average_join(
-    df: DataFrame, averages: DataFrame, key: str, col: str, max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def key_average_join(df: DataFrame, averages: DataFrame, key: str, col: str, **join) -> DataFrame:
     """Left join to a stored table of per-key means; gaps get the mean of the means."""
-    joined = sized_join(df, averages.select(key, col), [key], "left", max_rows)
+    joined = sized_join(df, averages.select(key, col), [key], "left", **join)
     return joined.withColumn(col, F.coalesce(F.col(col), mean_of_means(averages, col)))
 
 
-def inverse_count_weight(df: DataFrame, entity: str, out: str = "sample_weight") -> DataFrame:
+def inverse_count_weight(
+    df: DataFrame, entity: str, out: str = "sample_weight", min_rows: int = MIN_PIECE_ROWS
+) -> DataFrame:
     """1 / number of rows with the same entity id.
 
     The counts are combined map-side and joined back with heavy entities split, where a
@@ -75,7 +71,7 @@ def inverse_count_weight(df: DataFrame, entity: str, out: str = "sample_weight")
     """
     counts = df.groupBy(entity).agg(F.count("*").alias("_n"))
     return (
-        salted_join(df, counts, [entity], "left", null_safe=True, unique_right=True)
+        salted_join(df, counts, [entity], "left", null_safe=True, unique_right=True, min_rows=min_rows)
         .withColumn(out, F.lit(1.0) / F.col("_n"))
         .drop("_n")
     )

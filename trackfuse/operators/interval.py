@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackfuse.operators.skew import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, STREAM_SALTS, fits_broadcast, salted_join
+from trackfuse.operators.skew import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
+    MIN_PIECE_ROWS,
+    STREAM_SALTS,
+    fits_broadcast,
+    salted_join,
+)
 from trackfuse.session import stage
 
 DAY = 24 * 3600
@@ -48,6 +55,7 @@ def interval_join(
     delay: str | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     stream_salts: int = STREAM_SALTS,
+    min_rows: int = MIN_PIECE_ROWS,
     stage_plan: bool = False,
 ) -> DataFrame:
     """Pairs with equal ids and ``plan_ts - before <= obs_ts <= plan_ts + after`` (seconds).
@@ -57,8 +65,9 @@ def interval_join(
     and the join runs on id and bin with the exact range checked again. So an asset with
     very many observations is spread over its bins, and few of the compared pairs are
     discarded. A small plan side is broadcast and the observations are not shuffled at
-    all; otherwise heavy (id, bin) groups are salted on both sides. That reads the plan
-    side three times, so let ``stage_plan`` write it first where it is itself a query.
+    all; otherwise heavy (id, bin) groups are salted on both sides. Measuring, sketching
+    and joining read the plan side several times, so let ``stage_plan`` write it first
+    where it is itself a query.
 
     With ``delay`` both sides are streams: the watermark sits on the very columns of the
     range condition, so rows leave the state once no partner can come.
@@ -76,12 +85,12 @@ def interval_join(
     first, last = F.col(plan_ts) - seconds(before), F.col(plan_ts) + seconds(after)
     in_range = (F.col(obs_ts) >= first) & (F.col(obs_ts) <= last)
 
+    if stage_plan and not streaming:
+        plan = stage(plan, "plan")
     # Each plan row comes back once per bin it touches.
     broadcast_plan = not streaming and fits_broadcast(
         plan, max_broadcast_rows // (bins + 2), MAX_BROADCAST_BYTES // (bins + 2)
     )
-    if stage_plan and not streaming and not broadcast_plan:
-        plan = stage(plan, "plan")
     plans = (
         plan.filter(F.col(plan_id).isNotNull() & F.col(plan_ts).isNotNull())
         .withColumn("_bin", F.explode(F.sequence(_bin(first, width), _bin(last, width))))
@@ -99,6 +108,13 @@ def interval_join(
         joined = seen.join(small, same & in_range, "inner")
     else:
         joined = salted_join(
-            seen, plans, keys, "inner", in_range, stream_salts=stream_salts, measured_large=not streaming
+            seen,
+            plans,
+            keys,
+            "inner",
+            in_range,
+            stream_salts=stream_salts,
+            min_rows=min_rows,
+            measured_large=not streaming,
         )
     return joined.select(*plan.columns, *obs.columns)

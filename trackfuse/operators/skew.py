@@ -201,8 +201,11 @@ def sized_join(
     how: str = "left",
     max_rows: int = MAX_BROADCAST_ROWS,
     stream_salts: int = STREAM_SALTS,
+    min_rows: int = MIN_PIECE_ROWS,
 ) -> DataFrame:
     """Join a dimension: broadcast when its measured size allows, salted shuffle join beyond."""
     if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), list(keys), how)
-    return salted_join(facts, dim, keys, how, stream_salts=stream_salts, measured_large=True)
+    return salted_join(
+        facts, dim, keys, how, stream_salts=stream_salts, min_rows=min_rows, measured_large=True
+    )

@@ -64,7 +64,8 @@ def id_map(spark, sf):
 
 @query("j2_id_map_left_salted", _MAP_SQL)
 def id_map_salted(spark, sf):
-    return _mapped(spark, sf, max_rows=0)
+    # A third of the orders have no id; pieces of a thousand rows split them at any scale.
+    return _mapped(spark, sf, max_rows=0, min_rows=1000)
 
 
 _INTERVAL_SQL = f"""SELECT o_orderkey, o_orderdate, l_orderkey, l_linenumber, l_shipdate
@@ -106,10 +107,19 @@ def purchases_and_clicks(events):
     return side("purchase", "plan"), side("click", "seen")
 
 
+def _pairs(spark, sf, **how):
+    plan, seen = purchases_and_clicks(table(spark, sf, "events"))
+    return interval_join(plan, seen, ("plan_user", "seen_user"), "plan_at", "seen_at", DAY, DAY, **how)
+
+
 @query("j3_event_pairs", PAIRS_SQL)
 def pairs(spark, sf):
-    plan, seen = purchases_and_clicks(table(spark, sf, "events"))
-    return interval_join(plan, seen, ("plan_user", "seen_user"), "plan_at", "seen_at", DAY, DAY)
+    return _pairs(spark, sf)
+
+
+@query("j3_event_pairs_salted", PAIRS_SQL)
+def pairs_salted(spark, sf):
+    return _pairs(spark, sf, max_broadcast_rows=0, min_rows=2)
 
 
 @query(
@@ -189,7 +199,8 @@ def weights(spark, sf):
 def weights_of_few(spark, sf):
     # Three keys hold a third of all rows each, one of them null.
     kind = F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("kind")
-    weighted = inverse_count_weight(table(spark, sf, "orders").select("o_orderkey", kind), "kind", "weight")
+    orders = table(spark, sf, "orders").select("o_orderkey", kind)
+    weighted = inverse_count_weight(orders, "kind", "weight", min_rows=1000)
     return weighted.withColumn("weight", F.round("weight", 9))
 
 
