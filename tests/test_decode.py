@@ -43,8 +43,9 @@ def test_flat_json_from_bytes_and_arrays_as_text(spark):
 
 
 def test_bad_rows(spark):
-    raw = messages(spark, '{"icao24": "a"}', "junk", None)
-    assert {r.value for r in bad_rows(raw, FLAT).collect()} == {"junk", None}
+    wrong = '{"icao24": "a2", "time_position": "soon"}'
+    raw = messages(spark, '{"icao24": "a"}', "{}", "junk", wrong, None)
+    assert {r.value for r in bad_rows(raw, FLAT).collect()} == {"junk", wrong, None}
 
 
 def test_nested_json_edges(spark):

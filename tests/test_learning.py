@@ -4,7 +4,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from trackfuse.learning.stages import KINDS, mean_impute, one_hot, string_index
-from trackfuse.learning.train import evaluate, fit_model, prepare, save_model, score
+from trackfuse.learning.train import evaluate, fit_model, label_counts, prepare, save_model, score
 from trackfuse.sources.scans import load_model
 
 
@@ -94,3 +94,7 @@ def test_evaluate_equals_the_evaluator(spark):
     assert mine.R2 == pytest.approx(theirs.evaluate(df, {theirs.metricName: "r2"}))
     assert mine.RMSE == pytest.approx(theirs.evaluate(df, {theirs.metricName: "rmse"}))
     assert tuple(evaluate(df.limit(0), "y").first()) == (None, None)
+
+
+def test_label_counts(train):
+    assert tuple(label_counts(train, "y").first()) == (360, 40)

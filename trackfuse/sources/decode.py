@@ -52,9 +52,10 @@ def decode_schedule(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def bad_rows(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """The messages that cannot be read as ``schema`` at all, for a side table."""
-    readable = F.to_json(json_field(col, schema))
-    return df.filter(F.col(col).isNull() | readable.isNull() | (readable == "{}"))
+    """The messages that are missing, no JSON, or hold a field that does not fit ``schema``, for a side table."""
+    marked = T.StructType([*schema.fields, T.StructField("_unread", T.StringType())])
+    data = F.from_json(F.col(col).cast("string"), marked, {"columnNameOfCorruptRecord": "_unread"})
+    return df.filter(F.col(col).isNull() | data["_unread"].isNotNull())
 
 
 def state_vectors(df: DataFrame, schema: T.StructType, col: str = "value", field: str = "states") -> DataFrame:
