@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackfuse.llm.words import CHUNK_BYTES, alnum_words, sha256, utf8
+from trackfuse.llm.words import alnum_words, sha256, utf8
 from trackfuse.session import stage
 
 WINDOW = 10
@@ -56,6 +56,13 @@ class SuffixAutomaton:
             if len(words) < window:
                 self.short.setdefault(self._holding(state, len(words)), {}).setdefault(len(words), set()).add(name)
 
+    @classmethod
+    def of(cls, state: dict) -> SuffixAutomaton:
+        """The automaton whose ``vars`` were sent."""
+        made = object.__new__(cls)
+        made.__dict__.update(state)
+        return made
+
     def _extend(self, moves: list[dict[int, int]], last: int, w: int) -> int:
         length, link = self.length, self.link
         if w in moves[last]:
@@ -224,7 +231,7 @@ def find_leaks(
 
     def scan(shared, first: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = shared.value
+            automaton = SuffixAutomaton.of(shared.value)
             number = automaton.vocabulary.get
             for batch in batches:
                 earlier = [None] * batch.num_rows if first else list(
@@ -262,7 +269,7 @@ def find_leaks(
     for automaton in _blocks(items, item_id_col, item_text_col, window, block_words):
         if not first:
             found = stage(found, "leaks")
-        found = found.mapInArrow(scan(context.broadcast(automaton), first), schema)
+        found = found.mapInArrow(scan(context.broadcast(vars(automaton)), first), schema)
         first = False
     hit = F.aggregate(
         F.sequence(F.lit(0), F.array_size("spans") - 2, F.lit(2)),

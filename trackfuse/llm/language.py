@@ -214,10 +214,10 @@ def identify_languages(
     Null texts and texts without a letter are ``und`` with score 0. Rows are judged one by
     one, so repeated rows stay; other columns are ignored; an empty table gives an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = _letter_table()
+        letters, model = _letter_table(), LanguageModel(**shared.value)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "").to_pylist()
             names, scores, at = [], [], 0
@@ -226,7 +226,7 @@ def identify_languages(
                 while end < len(texts) and size + len(texts[end]) <= CHUNK_BYTES // 2:
                     size += len(texts[end])
                     end += 1
-                n, s = shared.value.predict(texts[at:end], letters)
+                n, s = model.predict(texts[at:end], letters)
                 names += n
                 scores += s
                 at = end

@@ -9,7 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackfuse.llm import decontaminate, hilbert, language, packing, token_counts, url_filter
+from trackfuse.llm import (
+    decontaminate,
+    fm_dedup,
+    hilbert,
+    language,
+    packing,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +102,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes_digest(table(spark, sf_dir, "documents"))
+
+
 @query("op4_hilbert_shards")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents"), ("lang", "source", "size"), 40)
@@ -105,6 +119,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query(
+    "op6_fm_dedup",
+    r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT r, unnest(range(len(w) - 34)) AS k, w FROM d WHERE len(w) >= 35),
+g AS (SELECT r, k, md5(array_to_string(w[k + 1:k + 35], ' ')) AS h FROM p),
+m AS (SELECT r, k FROM g WHERE h IN (SELECT h FROM g GROUP BY h HAVING count(*) > 1)),
+x AS (SELECT DISTINCT r, unnest(range(k + 1, k + 36)) AS i FROM m),
+a AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+s AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM a ANTI JOIN x USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (r)
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.repeated_words_digest(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
