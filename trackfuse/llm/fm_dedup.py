@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from trackfuse.llm.repeats import Passages, remove_repeats
-from trackfuse.llm.words import WordNumbers, sha256, spaced_words
+from trackfuse.llm.words import WordNumbers, per_worker, sha256, spaced_words
 
 WINDOW = 35
 GRAM = 5
@@ -145,13 +145,8 @@ def repeated_windows(contexts: list[bytes], window: int) -> list[np.ndarray]:
     return np.split(offset[hit], cuts) if len(sizes) else []
 
 
-_NUMBERS: list[WordNumbers] = []
-
-
 def _symbols(words: list[bytes]) -> np.ndarray:
-    if not _NUMBERS:  # one per worker
-        _NUMBERS.append(WordNumbers())
-    return _NUMBERS[0].of(words)
+    return per_worker("numbers", WordNumbers).of(words)
 
 
 def passages(window: int = WINDOW, gram: int = GRAM) -> Passages:

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackfuse.llm.words import CHUNK_BYTES
+from trackfuse.llm.words import CHUNK_BYTES, per_worker
 
 #: Bounds of the sample that is learned from: characters per language, documents per language, languages.
 SAMPLE_CHARS = 60_000
@@ -217,7 +217,7 @@ def identify_languages(
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, model = _letter_table(), LanguageModel(**shared.value)
+        letters, model = per_worker("letters", _letter_table), LanguageModel(**shared.value)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "").to_pylist()
             names, scores, at = [], [], 0

@@ -128,18 +128,18 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(tokenizer)
+        table = PieceTable.of(tokenizer, "ids")
         end = np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         width = 4 * capacity
         for batch in batches:
             column, rows, at = pc.fill_null(batch.column(1), ""), [], 0
             for texts in chunks(column.to_pylist()):
-                words = [table.split(t) for t in texts]
+                words = [table.words(t) for t in texts]
                 table.learn(set().union(*(w for w in words if w)))
                 of = table.memo.__getitem__
                 for text, mine in zip(texts, words, strict=True):
-                    ids = (table.ids(text) if mine is None else b"".join(map(of, mine))) + end
+                    ids = (table.whole(text) if mine is None else b"".join(map(of, mine))) + end
                     for piece, begin in enumerate(range(0, len(ids), width)):
                         own = ids[begin : begin + width]
                         length = len(own) // 4

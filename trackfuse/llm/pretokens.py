@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
+from trackfuse.llm.words import per_worker
+
 #: The splitting rule of the word tokenizer files, for which a quick equivalent is at hand below.
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same for lower-cased text of the characters that _ODD does not find.
@@ -26,7 +28,7 @@ class PieceTable:
     Pre-tokens are cut by a quick pattern where the text has only characters for which
     it agrees with the tokenizer's own rule. Any other text, and one that holds the
     string of an added token, goes through the tokenizer as a whole, so ids are always
-    the tokenizer's.
+    the tokenizer's. The memo's keys are pre-tokens or whole words, as ``learn`` is given them.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -48,11 +50,24 @@ class PieceTable:
         split = (parts[0].get("pattern") or {}).get("Regex") if parts[0].get("type") == "Split" else None
         return split == _WORD_SPLIT and norms == ["NFC", "Replace", "Lowercase"] and len(parts) == 2
 
+    @classmethod
+    def of(cls, path: str, use: str) -> PieceTable:
+        """This worker's table for that file; ``use`` says what is looked up in it."""
+        return per_worker(("pieces", path, use), lambda: cls(path))
+
+    def _plain(self, text: str) -> bool:
+        return self.quick and not _ODD.search(text) and not any(a in text for a in self.added)
+
+    def words(self, text: str) -> list[str] | None:
+        """What stands between white space, or None if only the tokenizer itself can tell.
+
+        No pre-token goes over white space, so these can be encoded one by one as well.
+        """
+        return text.lower().split() if self._plain(text) else None
+
     def split(self, text: str) -> list[str] | None:
         """The text's pre-tokens, or None if only the tokenizer itself can tell."""
-        if not self.quick or _ODD.search(text) or any(a in text for a in self.added):
-            return None
-        return _QUICK.findall(text.lower())
+        return _QUICK.findall(text.lower()) if self._plain(text) else None
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(list(texts), add_special_tokens=False)
@@ -67,9 +82,6 @@ class PieceTable:
             part = new[i : i + 50_000]
             self.memo.update(zip(part, self._encode(part), strict=True))
 
-    def ids(self, text: str) -> bytes:
-        words = self.split(text)
-        if words is None:
-            return self._encode([text])[0]
-        self.learn(set(words))
-        return b"".join(map(self.memo.__getitem__, words))
+    def whole(self, text: str) -> bytes:
+        """The ids of a text that goes through the tokenizer as it is."""
+        return self._encode([text])[0]

@@ -13,6 +13,7 @@ from trackfuse.llm import (
     decontaminate,
     fm_dedup,
     hilbert,
+    jaccard_join,
     language,
     packing,
     suffix_dedup,
@@ -144,6 +145,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query(
+    "op9_jaccard_join",
+    r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+    list_distinct(list_transform(range(len(w) - 4), lambda k: array_to_string(w[k + 1:k + 5], ' '))) END AS s FROM d),
+t AS (SELECT r, unnest(s) AS g FROM s),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM t AS a JOIN t AS b USING (g) WHERE a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT x, y FROM p JOIN s AS a ON a.r = x JOIN s AS b ON b.r = y WHERE 100 * c >= 80 * (len(a.s) + len(b.s) - c)),
+z AS (SELECT r, r AS o FROM d UNION SELECT z.r, l.y FROM z JOIN l ON l.x = z.o)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(e.doc_id) AS component_id
+FROM z JOIN s USING (r) JOIN d AS e ON e.r = z.o GROUP BY s.r, s.doc_id, len(s.s)
+""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
 def _terms_sql(terms) -> str:
     return "|".join(terms)
 

@@ -35,7 +35,7 @@ def count_tokens(table: PieceTable, texts: list[str]) -> list[int]:
     table.learn(distinct)
     pieces = {w: len(table.memo[w]) // 4 for w in distinct}
     return [
-        len(table.ids(t)) // 4 if f is None else sum(n * pieces[w] for w, n in f.items())
+        len(table.whole(t)) // 4 if f is None else sum(n * pieces[w] for w, n in f.items())
         for t, f in zip(texts, frequencies, strict=True)
     ]
 
@@ -59,7 +59,7 @@ def token_counts(
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(tokenizer)
+        table = PieceTable.of(tokenizer, "counts")
         for batch in batches:
             column = pc.fill_null(batch.column(1), "")
             numbers = [n for part in chunks(column.to_pylist()) for n in count_tokens(table, part)]

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import sys
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,14 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def per_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` gave on its first call in this process: Python workers serve many tasks."""
+    kept = vars(sys.modules["pyspark"]).setdefault("_kept_by_trackfuse", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 class WordNumbers:
     """64-bit numbers of words, equal in every task; remembers the words of a task up to a limit."""
 
