@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackfuse.llm.words import alnum_words, sha256, utf8
 from trackfuse.session import stage
@@ -210,14 +211,14 @@ def find_leaks(
     item_text_col: str = "text",
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
-    with_text: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Words of documents that lie in a run of ``window`` words of a test item.
 
     Words are A-Z lower-cased runs of ASCII letters, digits and non-ASCII characters. An
     item of fewer than ``window`` words counts as a whole, one without words not at all.
     Returns per row: id, n_words, n_hit, items (sorted item ids as strings), spans (word
-    numbers: begin, end, begin, end ...), and the text with ``with_text``.
+    numbers: begin, end, begin, end ...), and the columns of ``carry`` as they are, in a struct ``row``.
 
     The automaton of the items goes to every task; its size is bounded by ``block_words``.
     More items make more blocks, and the documents pass once by each. A document streams
@@ -235,7 +236,7 @@ def find_leaks(
             number = automaton.vocabulary.get
             for batch in batches:
                 earlier = [None] * batch.num_rows if first else list(
-                    zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
+                    zip(batch.column("items").to_pylist(), batch.column("spans").to_pylist(), strict=True)
                 )
                 sizes, items_of, spans_of = [], [], []
                 for text, before in zip(utf8(batch.column(1)), earlier, strict=True):
@@ -256,15 +257,19 @@ def find_leaks(
                         pa.array(sizes, pa.int64()),
                         pa.array(items_of, pa.list_(pa.string())),
                         pa.array(spans_of, pa.list_(pa.int32())),
+                        *(batch.column(batch.schema.get_field_index(c)) for c in carried),
                     ],
-                    names=["_id", "_text", "n_words", "items", "spans"],
+                    names=["_id", "_text", "n_words", "items", "spans", *carried],
                 )
 
         return run
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"_id {kind}, _text string, n_words bigint, items array<string>, spans array<int>"
-    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    carried = ["row"] if carry else []
+    row = [F.struct(*carry).alias("row")] if carry else []
+    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *row)
+    schema = T.StructType([*found.schema[:2]]).add("n_words", T.LongType())
+    schema = schema.add("items", T.ArrayType(T.StringType())).add("spans", T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*schema, *found.schema[2:]])
     context, first = docs.sparkSession.sparkContext, True
     for automaton in _blocks(items, item_id_col, item_text_col, window, block_words):
         if not first:
@@ -277,8 +282,7 @@ def find_leaks(
         lambda n, i: n + (F.get("spans", i + 1) - F.get("spans", i)).cast("long"),
     )
     n_hit = F.when(F.array_size("spans") > 0, hit).otherwise(F.lit(0).cast("long"))
-    text = [F.col("_text").alias(text_col)] if with_text else []
-    return found.select(F.col("_id").alias(id_col), "n_words", n_hit.alias("n_hit"), "items", "spans", *text)
+    return found.select(F.col("_id").alias(id_col), "n_words", n_hit.alias("n_hit"), "items", "spans", *carried)
 
 
 def _union(a: list[int], b: list[int]) -> list[int]:
@@ -305,7 +309,7 @@ def remove_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", coverage: float = 0.5, **options
 ) -> DataFrame:
     """Documents without the words in leaks: id, text, n_words, n_hit; those hit beyond ``coverage`` go whole."""
-    found = find_leaks(docs, items, id_col, text_col, with_text=True, **options)
+    found = find_leaks(docs, items, id_col, text_col, carry=[text_col], **options)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,7 +324,8 @@ def remove_leaks(
 
     kind = docs.schema[id_col].dataType.simpleString()
     kept = found.filter((F.col("n_hit") == 0) | (F.col("n_hit") <= F.col("n_words") * coverage))
-    return kept.select(id_col, text_col, "n_words", "n_hit", "spans").mapInArrow(
+    text = F.col("row")[text_col].cast("string").alias(text_col)
+    return kept.select(id_col, text, "n_words", "n_hit", "spans").mapInArrow(
         strip, f"`{id_col}` {kind}, `{text_col}` string, n_words bigint, n_hit bigint"
     )
 

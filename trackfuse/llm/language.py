@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackfuse.llm.words import CHUNK_BYTES, per_worker
 
@@ -203,6 +204,7 @@ def identify_languages(
     model: LanguageModel,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per row: id, lang_pred, score (0 to 1: how far the winner's rate lies below the next one's).
 
@@ -211,6 +213,8 @@ def identify_languages(
     that needs the fewest bits of phrases per character wins. Parsing starts afresh each
     ``SEGMENT`` characters, for all segments of a batch at once.
 
+    The columns of ``carry`` come along as they are, in a struct ``row``.
+
     Null texts and texts without a letter are ``und`` with score 0. Rows are judged one by
     one, so repeated rows stay; other columns are ignored; an empty table gives an empty one.
     """
@@ -231,9 +235,11 @@ def identify_languages(
                 scores += s
                 at = end
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[id_col, "lang_pred", "score"],
+                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *batch.columns[2:]],
+                names=[id_col, "lang_pred", "score", *batch.schema.names[2:]],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(judge, f"`{id_col}` {kind}, lang_pred string, score double")
+    row = [F.struct(*carry).alias("row")] if carry else []
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), *row)
+    shape = T.StructType([rows.schema[0]]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(judge, T.StructType([*shape, *rows.schema[2:]]))

@@ -15,6 +15,7 @@ from trackfuse.llm import (
     hilbert,
     jaccard_join,
     language,
+    neighbours,
     packing,
     suffix_dedup,
     token_counts,
@@ -140,6 +141,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.repeated_words_digest(table(spark, sf_dir, "documents"))
 
 
+@query("op7_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))

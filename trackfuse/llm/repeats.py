@@ -18,15 +18,16 @@ are shuffled, so groups of copies of any size stay cheap.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, utf8
 from trackfuse.session import stage
@@ -184,18 +185,23 @@ def remove_repeats(
     fields: str,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: Sequence[str] = (),
     shard_contexts: int = SHARD_CONTEXTS,
     hot_contexts: int = HOT_CONTEXTS,
 ) -> DataFrame:
     """Apply ``finish(parsed, text, spans)`` to every row: id, and ``fields`` as ``finish`` gives them.
 
+    The columns of ``carry`` come along as they are, in a struct ``row``.
+
     ``spans`` has a row (begin, end) for each maximal run of symbols that lie in a window
     which starts anywhere else too. Rows are told apart by id and text: those with the same
     of both are copies and share all results, so ids may repeat or be null.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    row = [F.struct(*carry).alias("_row")] if carry else []
+    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash"), *row)
+    base = rows.select("_id", "_text", "_hash")
     id_kind = base.schema["_id"].dataType.simpleString()
     window = kind.window
 
@@ -252,24 +258,26 @@ def remove_repeats(
                     pa.array(spans_of, pa.list_(pa.int64())),
                     pa.array([[dict(zip(_OPEN, c, strict=True)) for c in cs] for cs in open_of], _OPEN_TYPE),
                     *(pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True)),
+                    *batch.columns[4:],
                 ],
-                names=["_id", "_hash", "_text", "_spans", "_open", *names],
+                names=["_id", "_hash", "_text", "_spans", "_open", *names, *carried],
             )
 
-    shape = spark.createDataFrame([], fields).schema
+    shape = _shape(spark, fields)
     names = shape.names
     arrow_types = [_ARROW[f.dataType.simpleString()] for f in shape.fields]
-    noted = _left_join(base, notes).select("_id", "_text", "_hash", "notes")
-    first_pass = stage(
-        noted.mapInArrow(
-            read,
-            f"_id {id_kind}, _hash bigint, _text string, _spans array<bigint>, "
-            f"_open array<struct<gram:bigint,own:boolean,hot:boolean,first:bigint,context:binary>>, {fields}",
-        ),
-        "texts",
+    carried = ["_row"] if carry else []
+    noted = _left_join(rows, notes).select("_id", "_text", "_hash", "notes", *carried)
+    opened_shape = _shape(
+        spark,
+        f"_id {id_kind}, _hash bigint, _text string, _spans array<bigint>, "
+        f"_open array<struct<gram:bigint,own:boolean,hot:boolean,first:bigint,context:binary>>, {fields}",
     )
-    ready = first_pass.filter(F.col("_text").isNull()).select(F.col("_id").alias(id_col), *names)
-    waiting = first_pass.filter(F.col("_text").isNotNull()).select("_id", "_hash", "_text", "_spans")
+    own_shape = T.StructType([*([rows.schema["_row"]] if carry else [])])
+    first_pass = stage(noted.mapInArrow(read, T.StructType([*opened_shape, *own_shape])), "texts")
+    out = [F.col("_row").alias("row")] if carry else []
+    ready = first_pass.filter(F.col("_text").isNull()).select(F.col("_id").alias(id_col), *names, *out)
+    waiting = first_pass.filter(F.col("_text").isNotNull()).select("_id", "_hash", "_text", "_spans", *carried)
     opened = first_pass.select("_id", "_hash", F.explode("_open").alias("c")).select("_id", "_hash", "c.*")
     more = _gathered(opened.filter(~F.col("hot")), kind, id_kind, shard_contexts).unionByName(
         _counted(opened.filter("hot"), kind, id_kind)
@@ -287,12 +295,21 @@ def remove_repeats(
                 rows.append(finish(kind.parse(t), t, merged(spans)))
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True))],
-                names=[id_col, *names],
+                [
+                    batch.column(0),
+                    *(pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True)),
+                    *batch.columns[4:],
+                ],
+                names=["_id", *names, *carried],
             )
 
-    joined = _left_join(waiting, more).select("_id", "_text", "_spans", "more")
-    return ready.unionByName(joined.mapInArrow(close, f"`{id_col}` {id_kind}, {fields}"))
+    joined = _left_join(waiting, more).select("_id", "_text", "_spans", "more", *carried)
+    closed = joined.mapInArrow(close, T.StructType([*_shape(spark, f"_id {id_kind}, {fields}"), *own_shape]))
+    return ready.unionByName(closed.select(F.col("_id").alias(id_col), *names, *out))
+
+
+def _shape(spark: SparkSession, fields: str) -> T.StructType:
+    return spark.createDataFrame([], fields).schema
 
 
 _OPEN = ("gram", "own", "hot", "first", "context")
