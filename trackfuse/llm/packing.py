@@ -221,6 +221,6 @@ def pack(
             )
 
     own = [c for c in pieces.columns if c not in ("nth", "part")]
-    ranked = pieces.join(bases, ["length", "part"]).select(*own, "nth", "base", "part")
+    ranked = pieces.join(bases.hint("merge"), ["length", "part"]).select(*own, "nth", "base", "part")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields[:-3])
     return ranked.mapInArrow(place, fields + ", sequence_id bigint, offset bigint")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,8 +19,13 @@ _LETTERS = "a-zªµºß-öø-ÿ"
 _DIGITS = "0-9²³¹¼-¾"
 _QUICK = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_DIGITS}{_LETTERS}]+")
 _ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
-#: Distinct pre-tokens a task remembers; beyond, it starts afresh.
-MEMO = 400_000
+#: Distinct words a worker remembers; beyond, it starts afresh.
+MEMO = 150_000
+# Byte-level models write a byte as the letter of its number, or as one from 256 on where that is no visible letter.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {
+    b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - _VISIBLE))
+}
 
 
 class PieceTable:
@@ -70,17 +76,31 @@ class PieceTable:
         return _QUICK.findall(text.lower()) if self._plain(text) else None
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(list(texts), add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: Sequence[str]) -> list[bytes]:
+        """The ids of each word, from the model alone: a call of the whole tokenizer costs more than a word."""
+        if not self.quick:
+            return self._encode(words)
+        pieces, known, out = self.tokenizer.model.tokenize, {}, []
+        for word in words:
+            ids: list[int] = []
+            for token in _QUICK.findall(word):
+                own = known.get(token)
+                if own is None:
+                    letters = token if token.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, token.encode()))
+                    own = known[token] = [p.id for p in pieces(letters)]
+                ids += own
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
+
     def learn(self, words) -> None:
         """Make sure that the memo has all of ``words``."""
         new = [w for w in words if w not in self.memo]
         if len(self.memo) + len(new) > self.limit:
             self.memo, new = {}, list(words)
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            self.memo.update(zip(part, self._encode(part), strict=True))
+        self.memo.update(zip(new, self._encode_words(new), strict=True))
 
     def whole(self, text: str) -> bytes:
         """The ids of a text that goes through the tokenizer as it is."""

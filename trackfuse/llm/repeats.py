@@ -33,12 +33,12 @@ from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, utf8
 from trackfuse.session import stage
 
 #: Contexts that one task searches at a time.
-SHARD_CONTEXTS = 8_000
+SHARD_CONTEXTS = 4_000
 #: A gram in more different contexts than this is not gathered: its windows are counted by hash, where equal ones
 #: are added up before the shuffle.
 HOT_CONTEXTS = 2_000
 #: Symbols worked on at a time; longer texts are taken in overlapping parts.
-MAX_SYMBOLS = 1 << 22
+MAX_SYMBOLS = 1 << 20
 _PLACE_BITS = np.uint64((1 << 24) - 1)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from trackfuse.llm.pretokens import PieceTable
 
 #: Texts whose pre-tokens are held at once, in characters.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 
 def chunks(texts: list[str], most: int = CHUNK) -> Iterator[list[str]]:

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that a step works on at a time.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 # ASCII letters (lower-cased), digits and all of a multi-byte character; the rest separates.
 _KEEP = bytes(
@@ -51,7 +51,7 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
 class WordNumbers:
     """64-bit numbers of words, equal in every task; remembers the words of a task up to a limit."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 300_000):
         self.known: dict[bytes, int] = {}
         self.limit = limit
 
