@@ -181,13 +181,37 @@ def test_training_rows_weigh_drawn_copies(features):
     assert abs(rows.count() - 2000) < 300
 
 
+def test_training_by_the_callers_columns(spark, features, tmp_path):
+    named = features.withColumnsRenamed({"operator": "firm", "departure_delay": "late", "ident": "name"})
+    models, report = train_all(
+        named, str(tmp_path), ["decision_tree_regression"], categorical=["firm"], numerical=[], label="late",
+        entity=["name", "scheduled_out"], fraction=0.5, seeds=(1, 2), params={"decision_tree_regression": {"maxDepth": 3}},
+    )
+    assert report.count() == 1 and 0 < report.first().R2 < 1
+    scored = score(models["decision_tree_regression"], named)
+    assert scored.columns == [*named.columns, "prediction"]
+    assert scored.select("firm", "prediction").distinct().count() == 4
+
+
+def test_bad_messages_have_their_table(spark, tmp_path):
+    good = json.dumps(dict(zip(POSITIONS.names, STATES[0])))
+    for name, values in (("p", [good, "{", None]), ("s", [json.dumps(FLIGHTS[0]), "no"])):
+        spark.createDataFrame([(v,) for v in values], "value string").write.parquet(str(tmp_path / name))
+    feeds = [table_stream(spark, str(tmp_path / n), spark.range(1).selectExpr("'' AS value").schema) for n in "ps"]
+    names = {"positions": "odd.positions", "schedule": "odd.schedule", "bad_messages": "odd.bad"}
+    finish(*start_ingest(*feeds, str(tmp_path / "ck"), root=str(tmp_path / "raw"), trigger=ONCE, **names))
+    bad = {tuple(r) for r in spark.table("odd.bad").collect()}
+    assert bad == {("odd.positions", "{"), ("odd.positions", None), ("odd.schedule", "no")}
+    assert spark.table("odd.positions").count() == 3
+
+
 def test_train_score_and_look_up(spark, features, tmp_path):
     extra = {"boosted_regression": {"maxIter": 3}}
     models, report = train_all(features, str(tmp_path), params=extra, by_entity=True)
     lines = {r.Model: r for r in report.collect()}
     assert set(lines) == {"LinearRegression", "DecisionTreeRegression", "BoostedRegression"}
     assert lines["LinearRegression"].R2 == pytest.approx(1.0, abs=1e-3)
-    assert all(r.R2 > 0.5 and r.RMSE >= 0 for r in lines.values())
+    assert all(r.R2 > 0.5 and r.RMSE >= 0 and r.Unlabelled > 0 for r in lines.values())
     names = sorted(p.name.rsplit("_", 2)[0] for p in tmp_path.iterdir())
     assert names == sorted([*models, *(f"metrics_{m}" for m in lines)])
     metrics = next(tmp_path.glob("metrics_LinearRegression_*.json"))

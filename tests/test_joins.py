@@ -34,6 +34,88 @@ def test_left_joins(spark, rows, max_rows):
     assert rows(got, "n", "k", "w") == sorted(JOINED, key=repr)
 
 
+@pytest.mark.parametrize(
+    "left,right",
+    [("string", "string"), ("int", "int"), ("int", "long"), ("long", "int"), ("string", "int"), ("double", "int")],
+)
+def test_both_sides_of_the_size_limit_behave_alike(spark, left, right):
+    """Rows, column order, types and refused keys."""
+    facts = spark.sql(f"SELECT n, cast(k AS {left}) k, n * 2 more FROM VALUES (1, '1'), (2, '2'), (3, null) t(n, k)")
+    dim = spark.sql(f"SELECT v, cast(k AS {right}) k FROM VALUES (10, '1'), (11, '1'), (12, '9') t(v, k)")
+    plan = facts.selectExpr("n", "k", "timestamp_ntz'2026-03-01' planned")
+    obs = dim.selectExpr("v", "k seen_k", "timestamp_ntz'2026-03-01 01:00:00' seen")
+    ways = {
+        "join": [lambda most=most: enrich.id_map_left(facts, dim, "k", max_rows=most) for most in (1000, 0)],
+        "lookup": [
+            lambda most=most: enrich.lookup_left(facts, dim.withColumnRenamed("k", "d"), "k", "d", {"v": "w"}, max_rows=most)
+            for most in (1000, 0)
+        ],
+        "average": [
+            lambda most=most: enrich.key_average_join(facts, dim.filter("v <> 11"), "k", "v", max_rows=most)
+            for most in (1000, 0)
+        ],
+        "interval": [
+            lambda most=most: interval_join(plan, obs, ("k", "seen_k"), "planned", "seen", max_broadcast_rows=most)
+            for most in (100_000, 0)
+        ],
+    }
+    for name, (small, large) in ways.items():
+        if left != right and {left, right} != {"int", "long"}:
+            for way in (small, large):
+                with pytest.raises(ValueError, match="one type"):
+                    way()
+            continue
+        one, two = small(), large()
+        assert one.dtypes == two.dtypes, name
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())), name
+
+
+@pytest.mark.parametrize("n", [5, 500])
+def test_left_join_never_takes_a_condition(spark, n):
+    left = spark.range(100).selectExpr("'hot' k", "id v")
+    right = spark.range(n).selectExpr("'hot' k", "id w")
+    with pytest.raises(ValueError, match="condition"):
+        skew.salted_join(left, right, ["k"], "left", F.col("v") > F.col("w"), min_rows=10)
+
+
+def test_shared_names_are_refused_at_any_size(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    for most in (1000, 0):
+        with pytest.raises(ValueError, match="rename"):
+            skew.sized_join(df, df, ["k"], max_rows=most)
+
+
+def test_nothing_is_repeated_where_nothing_is_heavy(spark):
+    left, right = spark.range(100).selectExpr("id k", "id v"), spark.range(100).selectExpr("id k", "id w")
+    text = plan_text(skew.salted_join(left, right, ["k"], measured_large=True))
+    assert "Generate" not in text and "BroadcastHashJoin" not in text
+    hot = plan_text(skew.salted_join(left.withColumn("k", F.lit(1)), right.selectExpr("int(k) k", "w"), ["k"], min_rows=10))
+    assert "Generate" in hot
+
+
+def test_weights_of_many_entities(spark):
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, null, id % 50) k", "id")
+    for most in (1000, 0):
+        got = enrich.inverse_count_weight(df, "k", min_rows=10, max_rows=most)
+        assert got.columns == ["k", "id", "sample_weight"] and got.count() == 1000
+        assert got.groupBy("k").agg(F.sum("sample_weight").alias("w")).filter("abs(w - 1) > 1e-9").isEmpty()
+
+
+def test_plan_bounds_the_observations(spark, tmp_path):
+    """Epoch seconds are bounded as stored, so files without such times are not read."""
+    spark.range(100).selectExpr("id oid", "id * 86400 seconds").write.parquet(str(tmp_path / "o"))
+    obs = spark.read.parquet(str(tmp_path / "o")).withColumn("seen", F.timestamp_seconds("seconds"))
+    plan = spark.range(5).selectExpr("id pid", "timestamp_seconds(id * 86400) planned")
+    for limit in (100_000, 0):
+        joined = interval_join(
+            plan, obs, ("pid", "oid"), "planned", "seen", max_broadcast_rows=limit, obs_epoch="seconds"
+        )
+        text = plan_text(joined)
+        assert "GreaterThanOrEqual(seconds,-86400)" in text and "LessThanOrEqual(seconds,432000)" in text
+        assert joined.count() == 5
+    assert interval_join(plan.limit(0), obs, ("pid", "oid"), "planned", "seen", obs_epoch="seconds").count() == 0
+
+
 def test_size_check(spark):
     few = spark.createDataFrame([("x" * 1000, 1)] * 10, "s string, n int")
     assert skew.fits_broadcast(few)

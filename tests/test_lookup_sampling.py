@@ -31,6 +31,14 @@ def test_latest_per_key(scored, rows):
     assert set(got) == {("a", 3, 2, None), ("b'", None, 9, 1.0), ("c", 2, 5, 2.0)}
 
 
+def test_without_a_tiebreak_all_columns_decide(spark, rows):
+    tied = spark.createDataFrame([("a", 1, i, float(i % 3)) for i in range(9)], "k string, ts int, tie int, p double")
+    for df in (tied, tied.orderBy("tie"), tied.orderBy(F.desc("tie"))):
+        assert [r.tie for r in latest_n(df.repartition(3), "ts", 2).collect()] == [8, 7]
+        assert rows(latest_per_key(df.repartition(3), "k", "ts")) == [("a", 1, 8, 2.0)]
+        assert rows(latest_for_key(df, "k", "a", "ts")) == [("a", 1, 8, 2.0)]
+
+
 def test_bootstrap(spark):
     df = spark.range(0, 5000, 1, 4)
     drawn = [sorted(r.id for r in bootstrap_sample(df, 1.0, 42).collect()) for _ in range(2)]

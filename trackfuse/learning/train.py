@@ -55,18 +55,42 @@ def fit_model(
     ``estimator`` may be any Spark ML regressor in place of the one of ``kind``.
     ``prepared`` hands in what ``prepare`` fitted on the same rows.
     """
-    _, make, encoded = KINDS[kind]
     used = [*categorical, *numerical, label, *([weight] if weight else [])]
     rows = labelled(train, label).select(*dict.fromkeys(used))
-    stages = list(prepare(rows, label, categorical, numerical, keep_raw) if prepared is None else prepared)
+    if prepared is None:
+        prepared = prepare(rows, label, categorical, numerical, keep_raw)
+    ready = PipelineModel(list(prepared)).transform(rows)
+    return fit_prepared(
+        ready, kind, label, categorical, numerical, weight, keep_raw, estimator, prepared=prepared, **params
+    )[0]
+
+
+def fit_prepared(
+    ready: DataFrame,
+    kind: str,
+    label: str,
+    categorical: Sequence[str] = (),
+    numerical: Sequence[str] = (),
+    weight: str | None = None,
+    keep_raw: bool = False,
+    estimator: Estimator | None = None,
+    *,
+    prepared: Sequence,
+    **params,
+) -> tuple[PipelineModel, PipelineModel]:
+    """Fit on rows that the ``prepared`` stages have been applied to.
+
+    Returns the whole model, for raw rows, and its part for prepared ones.
+    """
+    _, make, encoded = KINDS[kind]
     estimator = estimator or make(label, weight, **params)
     if categorical and estimator.hasParam("maxBins"):
-        estimator.set(estimator.getParam("maxBins"), needed_bins(stages[0], estimator.getOrDefault("maxBins")))
-    if categorical and encoded:
-        stages.insert(1, one_hot(categorical))
+        estimator.set(estimator.getParam("maxBins"), needed_bins(prepared[0], estimator.getOrDefault("maxBins")))
     filled = [c + FILLED for c in numerical] if keep_raw else list(numerical)
     inputs = [f"{c}_vec" if encoded else f"{c}_idx" for c in categorical] + filled
-    return Pipeline(stages=[*stages, assemble(inputs), estimator]).fit(rows)
+    encoder = [one_hot(categorical)] if categorical and encoded else []
+    fitted = Pipeline(stages=[*encoder, assemble(inputs), estimator]).fit(labelled(ready, label))
+    return PipelineModel([*prepared, *fitted.stages]), fitted
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -74,20 +98,38 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return drop_derived(model.transform(df))
 
 
+def _losses(label: str, prediction: str, name: str) -> list:
+    miss = F.col(label) - F.col(prediction)
+    return [F.sum(miss * miss).alias(f"{name}sse"), F.var_pop(label).alias(f"{name}spread"), F.count(label).alias(f"{name}n")]
+
+
+def _metrics(name: str) -> list:
+    sse, spread, n = (F.col(f"{name}{c}") for c in ("sse", "spread", "n"))
+    r2 = F.lit(1.0) + F.try_divide(F.lit(-1.0) * sse, spread * n)
+    return [r2.alias("R2"), F.sqrt(F.try_divide(sse, n)).alias("RMSE")]
+
+
 def evaluate(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """One row with R2 and RMSE, from a single pass."""
-    miss = F.col(label) - F.col(prediction)
-    sums = labelled(scored, label).agg(
-        F.sum(miss * miss).alias("sse"), F.var_pop(label).alias("spread"), F.count(label).alias("n")
+    return labelled(scored, label).agg(*_losses(label, prediction, "")).select(*_metrics(""))
+
+
+def report_of(scored: DataFrame, predictions: Mapping[str, str], label: str, stamp: str) -> DataFrame:
+    """``model_report`` of several predictions on the same rows, kind -> column, from one pass."""
+    every = [a for kind, column in predictions.items() for a in _losses(label, column, f"{kind}_")]
+    lines = F.array(
+        *(F.struct(F.lit(KINDS[kind][0]).alias("Model"), *_metrics(f"{kind}_")) for kind in predictions)
     )
-    return sums.select(
-        F.try_divide(F.lit(-1.0) * F.col("sse"), F.col("spread") * F.col("n")).alias("_loss"),
-        F.sqrt(F.try_divide("sse", "n")).alias("RMSE"),
-    ).select((F.lit(1.0) + F.col("_loss")).alias("R2"), "RMSE")
+    totals = labelled(scored, label).agg(*every)
+    return totals.select(F.explode(lines).alias("line")).select("line.*", F.lit(stamp).alias("Timestamp"))
+
+
+# The form of the time stamp in the names of saved models and reports.
+STAMP = "%Y-%m-%d_%H-%M-%S"
 
 
 def run_stamp() -> str:
-    return datetime.now().strftime("%Y-%m-%d_%H-%M-%S")
+    return datetime.now().strftime(STAMP)
 
 
 def model_report(scored: Mapping[str, DataFrame], label: str, stamp: str) -> DataFrame:

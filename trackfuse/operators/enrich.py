@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from trackfuse.functions.features import event_date, flag_not_null
 from trackfuse.operators.project import rename_drop
-from trackfuse.operators.skew import MIN_PIECE_ROWS, salted_join, sized_join
+from trackfuse.operators.skew import HOT_SHARE, MAX_BROADCAST_ROWS, MIN_PIECE_ROWS, key_hash, sized_join
+from trackfuse.session import stage
 
 
 def lookup_left(
@@ -34,14 +35,14 @@ def id_map_left(df: DataFrame, mapping: DataFrame, key: str, **join) -> DataFram
     return sized_join(df, mapping, [key], "left", **join)
 
 
-def calendar_flag(df: DataFrame, calendar: DataFrame, ts: str, date_col: str, flag: str) -> DataFrame:
+def calendar_flag(df: DataFrame, calendar: DataFrame, ts: str, date_col: str, flag: str, **join) -> DataFrame:
     """1 where the date of ``ts`` is in the calendar, else 0.
 
     The calendar is made distinct, so a repeated date cannot repeat rows.
     """
     dates = calendar.select(F.col(date_col).alias("_date"), F.lit(True).alias("_hit")).distinct()
     dated = df.withColumn("_date", event_date(F.col(ts)))
-    joined = sized_join(dated, dates, ["_date"])
+    joined = sized_join(dated, dates, ["_date"], **join)
     return joined.withColumn(flag, flag_not_null(F.col("_hit"))).drop("_date", "_hit")
 
 
@@ -62,16 +63,26 @@ def key_average_join(df: DataFrame, averages: DataFrame, key: str, col: str, **j
 
 
 def inverse_count_weight(
-    df: DataFrame, entity: str, out: str = "sample_weight", min_rows: int = MIN_PIECE_ROWS
+    df: DataFrame,
+    entity: str,
+    out: str = "sample_weight",
+    min_rows: int = MIN_PIECE_ROWS,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """1 / number of rows with the same entity id.
 
-    The counts are combined map-side and joined back with heavy entities split, where a
-    window over the entity would put all its rows into one task.
+    The counts are combined map-side, written once and joined back; a window over the
+    entity would put all its rows into one task. The counts are also the exact list of
+    heavy entities, which are split where the counts are too many for a broadcast.
     """
-    counts = df.groupBy(entity).agg(F.count("*").alias("_n"))
-    return (
-        salted_join(df, counts, [entity], "left", null_safe=True, unique_right=True, min_rows=min_rows)
-        .withColumn(out, F.lit(1.0) / F.col("_n"))
-        .drop("_n")
+    counts = stage(df.groupBy(entity).agg(F.count("*").alias("_n")), "entity_counts")
+    total = counts.agg(F.sum("_n").alias("n")).first().n or 0
+    piece = max(total * HOT_SHARE, min_rows)
+    heavy = counts.filter(F.col("_n") > piece)
+    parts = F.ceil(F.col("_n") / F.lit(float(max(piece, 1)))).cast("int")
+    # Fewer than 1 / HOT_SHARE entities are that heavy.
+    hot = stage(heavy.select(key_hash(counts, [entity]).alias("_key"), parts.alias("_lp"), F.lit(1).alias("_rp")), "hot")
+    joined = sized_join(
+        df, counts, [entity], "left", max_rows, min_rows=min_rows, null_safe=True, unique_right=True, hot=hot
     )
+    return joined.withColumn(out, F.lit(1.0) / F.col("_n")).drop("_n")

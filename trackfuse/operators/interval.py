@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackfuse.operators.skew import (
     MAX_BROADCAST_BYTES,
     MAX_BROADCAST_ROWS,
     MIN_PIECE_ROWS,
     STREAM_SALTS,
-    fits_broadcast,
+    heavy_of_history,
     salted_join,
+    stored_width,
 )
 from trackfuse.session import stage
 
@@ -57,6 +59,8 @@ def interval_join(
     stream_salts: int = STREAM_SALTS,
     min_rows: int = MIN_PIECE_ROWS,
     stage_plan: bool = False,
+    obs_epoch: str | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs with equal ids and ``plan_ts - before <= obs_ts <= plan_ts + after`` (seconds).
 
@@ -69,10 +73,19 @@ def interval_join(
     and joining read the plan side several times, so let ``stage_plan`` write it first
     where it is itself a query.
 
+    In a batch the earliest and latest window, measured with the plan's size, bound the
+    observations that are read at all. The bounds are literals of the time column's type;
+    where it is derived from a stored column of epoch seconds, name that as ``obs_epoch``.
+
     With ``delay`` both sides are streams: the watermark sits on the very columns of the
-    range condition, so rows leave the state once no partner can come.
+    range condition, so rows leave the state once no partner can come. A plan is kept once
+    for each bin it touches; ``history``, stored rows of ``obs``, tells which ids are
+    heavy, and only their plans are repeated for each piece. Without it ``stream_salts`` holds for all.
     """
     plan_id, obs_id = on
+    kinds = [plan.schema[plan_id].dataType, obs.schema[obs_id].dataType]
+    if kinds[0] != kinds[1] and not all(isinstance(k, T.IntegralType) for k in kinds):
+        raise ValueError(f"cast {plan_id} and {obs_id} to one type, not {kinds[0]} and {kinds[1]}")
     shared = set(plan.columns) & set(obs.columns)
     if shared:
         raise ValueError(f"rename the columns both sides have: {sorted(shared)}")
@@ -87,10 +100,23 @@ def interval_join(
 
     if stage_plan and not streaming:
         plan = stage(plan, "plan")
-    # Each plan row comes back once per bin it touches.
-    broadcast_plan = not streaming and fits_broadcast(
-        plan, max_broadcast_rows // (bins + 2), MAX_BROADCAST_BYTES // (bins + 2)
-    )
+    broadcast_plan = False
+    if not streaming:
+        size = plan.agg(
+            F.count("*").alias("rows"),
+            stored_width(plan).alias("bytes"),
+            F.min(first).cast("string").alias("first"),
+            F.max(last).cast("string").alias("last"),
+        ).first()
+        # Each plan row comes back once per bin it touches.
+        broadcast_plan = size.rows <= max_broadcast_rows // (bins + 2) and (size.bytes or 0) <= MAX_BROADCAST_BYTES // (bins + 2)
+        if size["first"] is not None:
+            kind = obs.schema[obs_ts].dataType
+            lower, upper = (F.lit(size[c]).cast(kind) for c in ("first", "last"))
+            obs = obs.filter((F.col(obs_ts) >= lower) & (F.col(obs_ts) <= upper))
+            if obs_epoch:
+                from_, to = (F.unix_seconds(F.lit(size[c]).cast("timestamp")) for c in ("first", "last"))
+                obs = obs.filter((F.col(obs_epoch) >= from_) & (F.col(obs_epoch) <= to))
     plans = (
         plan.filter(F.col(plan_id).isNotNull() & F.col(plan_ts).isNotNull())
         .withColumn("_bin", F.explode(F.sequence(_bin(first, width), _bin(last, width))))
@@ -107,6 +133,9 @@ def interval_join(
         same = (F.col("_id") == F.col("_r__id")) & (F.col("_bin") == F.col("_r__bin"))
         joined = seen.join(small, same & in_range, "inner")
     else:
+        hot = None
+        if streaming and history is not None:
+            hot = heavy_of_history(history.select(F.col(obs_id).alias("_id")), ["_id"], min_rows=min_rows)
         joined = salted_join(
             seen,
             plans,
@@ -116,5 +145,7 @@ def interval_join(
             stream_salts=stream_salts,
             min_rows=min_rows,
             measured_large=not streaming,
+            hot=hot,
+            hot_on=["_id"] if hot is not None else None,
         )
     return joined.select(*plan.columns, *obs.columns)

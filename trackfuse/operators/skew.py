@@ -26,7 +26,7 @@ HOT_SHARE = 1 / 1000
 # No key is cut into pieces smaller than this: one task handles that many rows with ease.
 MIN_PIECE_ROWS = 100_000
 MERGE_GROUPS = 128
-STREAM_SALTS = 4
+STREAM_SALTS = 1
 
 
 def _stored_bytes(field: T.StructField) -> Column:
@@ -50,8 +50,12 @@ def fits_broadcast(
     """
     if df.isStreaming or df.count() > max_rows:
         return False
-    width = sum((_stored_bytes(field) for field in df.schema.fields), F.lit(0))
-    return (df.agg(F.sum(width).alias("bytes")).first().bytes or 0) <= max_bytes
+    return (df.agg(stored_width(df).alias("bytes")).first().bytes or 0) <= max_bytes
+
+
+def stored_width(df: DataFrame) -> Column:
+    """An aggregate: about the bytes of all rows in memory."""
+    return F.sum(sum((_stored_bytes(field) for field in df.schema.fields), F.lit(0)))
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -71,11 +75,42 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.xxhash64(*(F.col(k).cast("long") if k in whole else F.col(k) for k in keys))
 
 
-def _check_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+def check_sides(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    """One rule for every way of joining, whatever the sizes.
+
+    Keys are of one type on both sides (whole numbers may differ in width), and no other
+    column is on both.
+    """
     for k in keys:
         kinds = [side.schema[k].dataType for side in (left, right)]
         if kinds[0] != kinds[1] and not all(isinstance(kind, T.IntegralType) for kind in kinds):
             raise ValueError(f"cast {k} to one type, not {kinds[0].simpleString()} and {kinds[1].simpleString()}")
+    shared = (set(left.columns) & set(right.columns)) - set(keys)
+    if shared:
+        raise ValueError(f"rename the columns both sides have: {sorted(shared)}")
+
+
+def _matched(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    condition: Column | None = None,
+    null_safe: bool = False,
+    further: Sequence[str] = (),
+    hint: str | None = None,
+) -> DataFrame:
+    """Join on ``keys`` and ``further``: the left columns in their order, then what the right adds."""
+    on = [*keys, *further]
+    out = [c for c in [*left.columns, *(c for c in right.columns if c not in keys)] if c not in further]
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    if hint:
+        right = right.hint(hint)
+    match = F.lit(True) if condition is None else condition
+    for c in on:
+        mine, other = F.col(c), F.col(f"_r_{c}")
+        match = match & (mine.eqNullSafe(other) if null_safe and c in keys else mine == other)
+    return left.join(right, match, how).select(*dict.fromkeys(out))
 
 
 def hot_keys(
@@ -137,6 +172,12 @@ def _heavy(left: DataFrame, right: DataFrame, keys: Sequence[str], unique_right:
     return stage(hot, "hot")
 
 
+def heavy_of_history(history: DataFrame, keys: Sequence[str], **limits) -> DataFrame:
+    """The heavy keys of stored rows, for a stream that goes on from them; written once."""
+    hot = hot_keys(history, keys, **limits)
+    return stage(hot.select("_key", F.col("_parts").alias("_lp"), F.lit(1).alias("_rp")), "hot")
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -149,49 +190,61 @@ def salted_join(
     share: float = HOT_SHARE,
     min_rows: int = MIN_PIECE_ROWS,
     measured_large: bool = False,
+    hot: DataFrame | None = None,
+    hot_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi-join on ``keys`` (same names on both sides, kept once), inner or left.
 
+    The result has the left columns and then what the right side adds, as in ``sized_join``.
     Rows of a heavy left key get one of its ``_lp`` pieces and the matching right rows
     are repeated once per piece; heavy right keys are split likewise, so a heavy key is
-    cut into a grid. A left join with heavy right keys is made of the inner join and the
-    left rows whose key the right side lacks. ``unique_right`` says that no right key
-    occurs twice. A stream cannot be measured first: there every left row is salted and
-    every right row repeated ``stream_salts`` times.
+    cut into a grid. Without heavy keys it is a plain join. A left join with heavy right
+    keys is made of the inner join and the left rows whose key the right side lacks; a
+    further condition is for inner joins only. ``unique_right`` says that no right key occurs twice.
+
+    ``hot`` hands in a known list (``_key``, ``_lp``, ``_rp``) by the columns ``hot_on``.
+    A stream cannot be measured first: it goes by such a list of its history, or else
+    every left row is salted and every right row repeated ``stream_salts`` times.
 
     ``measured_large`` says that ``right`` is known not to fit a broadcast: a sort-merge
     join is asked for then, since file sizes let compressed tables look small.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"inner or left, not {how}")
-    _check_types(left, right, keys)
-    if left.isStreaming or right.isStreaming:
+    if how == "left" and condition is not None:
+        raise ValueError("a left join takes no further condition")
+    check_sides(left, right, keys)
+    rule = {"null_safe": null_safe, "hint": "merge" if measured_large else None}
+    if hot is None and (left.isStreaming or right.isStreaming):
+        if stream_salts <= 1:
+            return _matched(left, right, keys, how, condition, **rule)
         left, right = (s.withColumn("_lp", F.lit(stream_salts)).withColumn("_rp", F.lit(1)) for s in (left, right))
+        cut_left, cut_right = True, False
     else:
-        hot = _heavy(left, right, keys, unique_right, share=share, min_rows=min_rows)
-        if how == "left" and not unique_right and not hot.filter("_rp > 1").isEmpty():
-            if condition is not None:
-                raise ValueError("a left join with heavy right keys takes no further condition")
+        if hot is None:
+            hot = _heavy(left, right, keys, unique_right, share=share, min_rows=min_rows)
+        cut_left, cut_right = (not hot.filter(F.col(c) > 1).isEmpty() for c in ("_lp", "_rp"))
+        if not cut_left and not cut_right:
+            return _matched(left, right, keys, how, condition, **rule)
+        if how == "left" and cut_right:
             same = {"null_safe": null_safe, "share": share, "min_rows": min_rows, "measured_large": measured_large}
             known = right.select(*keys).distinct().withColumn("_known", F.lit(True))
             marked = salted_join(left, known, keys, "left", unique_right=True, **same)
             unmatched = marked.filter(F.col("_known").isNull()).drop("_known")
             matched = salted_join(left, right, keys, "inner", **same)
             return matched.unionByName(unmatched, allowMissingColumns=True)
-        left, right = _mark(left, keys, hot), _mark(right, keys, hot)
-
-    left = left.withColumn("_ls", _own_piece(left, "_lp")).withColumn("_rs", _all_pieces("_rp"))
-    right = right.withColumn("_rs", _own_piece(right, "_rp")).withColumn("_ls", _all_pieces("_lp"))
-    on = [*keys, "_ls", "_rs"]
-    left = left.drop("_lp", "_rp")
-    right = right.drop("_lp", "_rp").withColumnsRenamed({c: f"_r_{c}" for c in on})
-    if measured_large:
-        right = right.hint("merge")
-    match = F.lit(True) if condition is None else condition
-    for c in on:
-        mine, other = F.col(c), F.col(f"_r_{c}")
-        match = match & (mine.eqNullSafe(other) if null_safe and c in keys else mine == other)
-    return left.join(right, match, how).drop("_ls", "_rs", *(f"_r_{c}" for c in on))
+        left, right = _mark(left, hot_on or keys, hot), _mark(right, hot_on or keys, hot)
+
+    # Heavy keys of one side only need salts of that side only.
+    salts = []
+    if cut_left:
+        salts.append("_ls")
+        left, right = left.withColumn("_ls", _own_piece(left, "_lp")), right.withColumn("_ls", _all_pieces("_lp"))
+    if cut_right:
+        salts.append("_rs")
+        left, right = left.withColumn("_rs", _all_pieces("_rp")), right.withColumn("_rs", _own_piece(right, "_rp"))
+    left, right = left.drop("_lp", "_rp"), right.drop("_lp", "_rp")
+    return _matched(left, right, keys, how, condition, further=salts, **rule)
 
 
 def sized_join(
@@ -202,10 +255,15 @@ def sized_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     stream_salts: int = STREAM_SALTS,
     min_rows: int = MIN_PIECE_ROWS,
+    **more,
 ) -> DataFrame:
-    """Join a dimension: broadcast when its measured size allows, salted shuffle join beyond."""
+    """Join a dimension: broadcast when its measured size allows, salted shuffle join beyond.
+
+    Both ways take the same keys and give the same columns in the same order.
+    """
+    check_sides(facts, dim, keys)
     if fits_broadcast(dim, max_rows):
-        return facts.join(F.broadcast(dim), list(keys), how)
+        return _matched(facts, dim, keys, how, null_safe=more.get("null_safe", False), hint="broadcast")
     return salted_join(
-        facts, dim, keys, how, stream_salts=stream_salts, min_rows=min_rows, measured_large=True
+        facts, dim, keys, how, stream_salts=stream_salts, min_rows=min_rows, measured_large=True, **more
     )

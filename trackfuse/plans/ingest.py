@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackfuse.schemas import POSITION_TABLE, POSITIONS, SCHEDULE, SCHEDULE_MESSAGE, SCHEDULE_TABLE, SCHEDULE_TIMES
-from trackfuse.sources.decode import SCHEDULE_PICKS, decode_flat_json, decode_schedule, lift, paged_payload, state_vectors
+from trackfuse.sources.decode import (
+    SCHEDULE_PICKS,
+    bad_rows,
+    decode_flat_json,
+    decode_schedule,
+    lift,
+    paged_payload,
+    state_vectors,
+)
 from trackfuse.streaming.sinks import append_stream, ensure_tables
 
+BAD_MESSAGES = T.StructType().add("topic", "string").add("value", "string")
+
 
 def positions_from_messages(messages: DataFrame) -> DataFrame:
     return decode_flat_json(messages, POSITIONS)
@@ -37,15 +49,37 @@ def start_ingest(
     trigger: Mapping | None = None,
     positions: str = POSITION_TABLE,
     schedule: str = SCHEDULE_TABLE,
+    bad_messages: str | None = None,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> list[StreamingQuery]:
-    """Append both topics to their tables, one query with one checkpoint each."""
-    spark = position_messages.sparkSession
-    ensure_tables(spark, {positions: POSITIONS, schedule: SCHEDULE}, fmt, root)
+    """Append both topics to their tables, one query with one checkpoint each.
+
+    ``bad_messages`` names a table for messages that cannot be read in full: topic and
+    value; they are stored with nulls in the others as well. ``partition_by`` has the
+    partition columns by table. The sources bound their batches (``per_batch`` there).
+    """
+    spark, parts = position_messages.sparkSession, partition_by or {}
+    ensure_tables(spark, {positions: POSITIONS, schedule: SCHEDULE}, fmt, root, parts)
     feeds = {
-        positions: positions_from_messages(position_messages),
-        schedule: schedule_from_messages(schedule_messages),
+        positions: (positions, positions_from_messages(position_messages)),
+        schedule: (schedule, schedule_from_messages(schedule_messages)),
     }
+    if bad_messages:
+        ensure_tables(spark, {bad_messages: BAD_MESSAGES}, fmt, root)
+        topics = {positions: (position_messages, POSITIONS), schedule: (schedule_messages, SCHEDULE_MESSAGE)}
+        rows = [
+            bad_rows(messages, shape).select(F.lit(topic).alias("topic"), F.col("value").cast("string").alias("value"))
+            for topic, (messages, shape) in topics.items()
+        ]
+        feeds["bad"] = (bad_messages, rows[0].unionAll(rows[1]))  # a table of files has one writing query
     return [
-        append_stream(rows, table, f"{checkpoints}/{table.rpartition('.')[2]}", fmt, trigger=trigger)
-        for table, rows in feeds.items()
+        append_stream(
+            rows,
+            table,
+            f"{checkpoints}/{feed.rpartition('.')[2]}",
+            fmt,
+            trigger=trigger,
+            partition_by=parts.get(table, ()),
+        )
+        for feed, (table, rows) in feeds.items()
     ]

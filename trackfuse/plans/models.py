@@ -11,24 +11,49 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trackfuse.functions.features import entity_id
 from trackfuse.learning.stages import KINDS
-from trackfuse.learning.train import fit_model, model_report, prepare, run_stamp, save_model, score
+from trackfuse.learning.train import (
+    fit_prepared,
+    label_counts,
+    labelled,
+    prepare,
+    report_of,
+    run_stamp,
+    save_model,
+    score,
+)
 from trackfuse.operators.enrich import inverse_count_weight
 from trackfuse.operators.sampling import bootstrap_sample, random_split
 from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL, PREDICTION_TABLE, PREDICTIONS
 from trackfuse.session import stage
-from trackfuse.streaming.sinks import append_stream, ensure_tables, key_value_json, message_sink, metrics_json, multi_sink
+from trackfuse.streaming.sinks import (
+    append_stream,
+    ensure_tables,
+    fan_out,
+    key_value_json,
+    message_sink,
+    metrics_json,
+    multi_sink,
+)
 
 ENTITY = ("ident", "origin_airport_icao", "scheduled_out")
 
 
-def training_rows(features: DataFrame, fraction: float = 1.0, seed: int = 42) -> DataFrame:
+def training_rows(
+    features: DataFrame,
+    fraction: float = 1.0,
+    seed: int = 42,
+    entity: Sequence[str] = ENTITY,
+    categorical: Sequence[str] = CATEGORICAL,
+    numerical: Sequence[str] = NUMERICAL,
+    label: str = LABEL,
+) -> DataFrame:
     """Bootstrap, entity id and weight, in this order: the weights count drawn copies.
 
     The draw is written once, because counting and weighting both read it.
     """
-    columns = [*ENTITY, *CATEGORICAL, *NUMERICAL, LABEL]
+    columns = [*entity, *categorical, *numerical, label]
     drawn = stage(bootstrap_sample(features.select(*dict.fromkeys(columns)), fraction, seed), "drawn")
-    named = drawn.withColumn("flight_id", entity_id(*(F.col(c) for c in ENTITY)))
+    named = drawn.withColumn("flight_id", entity_id(*(F.col(c) for c in entity)))
     return inverse_count_weight(named, "flight_id", "sample_weight")
 
 
@@ -39,23 +64,48 @@ def train_all(
     test: float = 0.2,
     by_entity: bool = False,
     params: Mapping[str, Mapping] | None = None,
+    categorical: Sequence[str] = CATEGORICAL,
+    numerical: Sequence[str] = NUMERICAL,
+    label: str = LABEL,
+    entity: Sequence[str] = ENTITY,
+    fraction: float = 1.0,
+    seeds: tuple[int, int] = (42, 45),
+    parts: tuple[DataFrame, DataFrame] | None = None,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit, save and evaluate each kind on one split; returns the models and the report."""
-    train, held_out = random_split(training_rows(features), test, split_by="flight_id" if by_entity else None)
+    """Fit, save and evaluate each kind on one split; returns the models and the report.
+
+    Columns, label, entity, drawn fraction and the seeds of draw and split are the
+    caller's. ``parts`` hands in (training, held-out) rows with a ``sample_weight`` instead.
+    Rows are indexed and filled once for all kinds, and one pass over the held-out rows
+    evaluates all of them. Rows without a label are left out; the report counts them.
+    """
+    if parts is None:
+        rows = training_rows(features, fraction, seeds[0], entity, categorical, numerical, label)
+        parts = random_split(rows, test, seeds[1], split_by="flight_id" if by_entity else None)
+    train, held_out = parts
     stamp = run_stamp()
-    prepared = prepare(train, LABEL, CATEGORICAL, NUMERICAL)
-    models = {}
+    shared = PipelineModel(prepare(train, label, categorical, numerical))
+    used = [*categorical, *numerical, label, "sample_weight"]
+    ready, unseen = (
+        stage(shared.transform(rows.select(*dict.fromkeys(used))), "prepared") for rows in (train, held_out)
+    )
+    models, scored = {}, labelled(unseen, label)
     for kind in kinds:
         extra = (params or {}).get(kind, {})
-        models[kind] = fit_model(
-            train, kind, LABEL, CATEGORICAL, NUMERICAL, "sample_weight", prepared=prepared, **extra
+        models[kind], fitted = fit_prepared(
+            ready, kind, label, categorical, numerical, "sample_weight", prepared=shared.stages, **extra
         )
         save_model(models[kind], root, kind, stamp)
-    scored = {kind: score(model, held_out) for kind, model in models.items()}
-    report = stage(model_report(scored, LABEL, stamp), "report")
+        before = scored.columns
+        scored = fitted.transform(scored).select(*before, F.col("prediction").alias(f"_{kind}"))
+    lacking = label_counts(train.select(label).unionAll(held_out.select(label)), label)
+    report = report_of(scored, {kind: f"_{kind}" for kind in kinds}, label, stamp).withColumn(
+        "Unlabelled", lacking.select("unlabelled").scalar()
+    )
+    report = stage(report, "report")
     for kind in kinds:
         name = KINDS[kind][0]
-        metrics_json(report.filter(F.col("Model") == name), f"{root}/metrics_{name}_{stamp}.json")
+        metrics_json(report.filter(F.col("Model") == name).drop("Unlabelled"), f"{root}/metrics_{name}_{stamp}.json")
     return models, report
 
 
@@ -69,13 +119,26 @@ def start_scoring(
     message_fmt: str = "kafka",
     root: str | None = None,
     trigger: Mapping | None = None,
+    partition_by: Sequence[str] = (),
+    shared_folders: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
-    """Score a feature stream into a table and, keyed by flight, into a topic."""
-    ensure_tables(features.sparkSession, {table: PREDICTIONS}, fmt, root)
+    """Score a feature stream into a table and, keyed by flight, into a topic.
+
+    The two sinks fail and resume apart, and each runs the model. With
+    ``shared_folders`` (``rows`` and ``messages``) one query scores each batch once and writes both
+    there, the second as key and value.
+    """
+    scored = score(model, features)
+    if shared_folders is not None:
+        shapes = {"rows": lambda rows: rows, "messages": lambda rows: key_value_json(rows, "ident")}
+        return [fan_out(scored, shared_folders, shapes, f"{checkpoints}/shared", trigger)]
+    ensure_tables(features.sparkSession, {table: PREDICTIONS}, fmt, root, {table: partition_by})
     return multi_sink(
-        score(model, features),
+        scored,
         [
-            lambda rows: append_stream(rows, table, f"{checkpoints}/table", fmt, trigger=trigger),
+            lambda rows: append_stream(
+                rows, table, f"{checkpoints}/table", fmt, trigger=trigger, partition_by=partition_by
+            ),
             lambda rows: message_sink(
                 key_value_json(rows, "ident"), messages, f"{checkpoints}/messages", message_fmt, trigger
             ),

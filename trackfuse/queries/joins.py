@@ -19,15 +19,17 @@ from trackfuse.queries.domain import HALF_YEAR, HOLIDAYS_SQL, holidays
 from trackfuse.queries.registry import query, table
 from trackfuse.session import stage
 
-_LOOKUP_SQL = """SELECT c_custkey, c_name, c_nationkey, n_name AS place_name, n_regionkey AS place_region
-                 FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON c_nationkey = n_nationkey"""
+# Customers of one nation have no key.
+_LOOKUP_SQL = """SELECT c_custkey, c_name, nullif(c_nationkey, 7) AS c_nationkey, n_name AS place_name, n_regionkey AS place_region
+                 FROM customer LEFT JOIN nation ON nullif(c_nationkey, 7) = n_nationkey"""
 
 
 def _lookup(spark, sf, **how):
-    some = table(spark, sf, "nation").filter("n_regionkey <> 0")
     renames = {"n_name": "place_name", "n_regionkey": "place_region"}
-    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return lookup_left(customers, some, "c_nationkey", "n_nationkey", renames, **how)
+    key = F.nullif(F.col("c_nationkey"), F.lit(7)).alias("c_nationkey")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", key)
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    return lookup_left(customers, nations, "c_nationkey", "n_nationkey", renames, **how)
 
 
 @query("j1_lookup_left", _LOOKUP_SQL)
@@ -44,14 +46,13 @@ def lookup_salted(spark, sf):
 _MAP_SQL = """SELECT o_orderkey, o_id, c_name, c_acctbal
               FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_id FROM orders) o
               LEFT JOIN (SELECT c_custkey AS id, c_name, c_acctbal FROM customer
-                         UNION ALL SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
-                                   WHERE c_mktsegment <> 'BUILDING') m ON o_id = id"""
+                         UNION ALL SELECT nullif(c_custkey, 5), c_mktsegment, c_acctbal FROM customer) m ON o_id = id"""
 
 
 def _mapped(spark, sf, **how):
     customers = table(spark, sf, "customer")
     mapping = customers.select(F.col("c_custkey").alias("o_id"), "c_name", "c_acctbal").unionAll(
-        customers.filter("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_mktsegment", "c_acctbal")
+        customers.select(F.nullif(F.col("c_custkey"), F.lit(5)), "c_mktsegment", "c_acctbal")
     )
     ids = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_id")
     return id_map_left(table(spark, sf, "orders").select("o_orderkey", ids), mapping, "o_id", **how)
@@ -133,15 +134,14 @@ def holiday_flag(spark, sf):
     return calendar_flag(orders, days.unionAll(days), "o_orderdate", "holiday_date", "is_holiday")
 
 
-# Average by segment, learnt from part of the segments, so that others need the overall mean.
-_SEGMENTS = """SELECT c_mktsegment, avg(c_acctbal) AS mean FROM customer
-               WHERE c_mktsegment <> 'BUILDING' GROUP BY c_mktsegment"""
+# Average by segment, of which one is filed under no name, so that its customers need the overall mean.
+_SEGMENTS = """SELECT nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, avg(c_acctbal) AS mean FROM customer
+               GROUP BY nullif(c_mktsegment, 'BUILDING')"""
 
 
 def _segment_means(spark, sf):
-    return key_average(
-        table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'"), "c_mktsegment", "c_acctbal", "mean"
-    )
+    segment = F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment")
+    return key_average(table(spark, sf, "customer").select(segment, "c_acctbal"), "c_mktsegment", "c_acctbal", "mean")
 
 
 @query("a1_key_average", "SELECT l_suppkey, round(avg(l_extendedprice), 4) AS mean FROM lineitem GROUP BY l_suppkey")
@@ -170,16 +170,26 @@ def overall(spark, sf):
     return spark.range(1).select(F.round(mean_of_means(means, "mean"), 4).alias("overall"))
 
 
-@query(
-    "j5_key_average_join",
-    f"""WITH m AS ({_SEGMENTS})
+_AVERAGED_SQL = f"""WITH m AS ({_SEGMENTS})
         SELECT c_custkey, c.c_mktsegment, round(coalesce(mean, (SELECT avg(mean) FROM m)), 4) AS mean
-        FROM customer c LEFT JOIN m ON c.c_mktsegment = m.c_mktsegment""",
-)
-def average_join(spark, sf):
+        FROM customer c LEFT JOIN m ON c.c_mktsegment = m.c_mktsegment"""
+
+
+def _averaged(spark, sf, **how):
     means = stage(_segment_means(spark, sf), "segment_means")
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return key_average_join(customers, means, "c_mktsegment", "mean").withColumn("mean", F.round("mean", 4))
+    return key_average_join(customers, means, "c_mktsegment", "mean", **how).withColumn("mean", F.round("mean", 4))
+
+
+@query("j5_key_average_join", _AVERAGED_SQL)
+def average_join(spark, sf):
+    return _averaged(spark, sf)
+
+
+@query("j5_key_average_join_salted", _AVERAGED_SQL)
+def average_join_salted(spark, sf):
+    # A fifth of the customers share a segment each.
+    return _averaged(spark, sf, max_rows=0, min_rows=100)
 
 
 @query(
@@ -200,7 +210,7 @@ def weights_of_few(spark, sf):
     # Three keys hold a third of all rows each, one of them null.
     kind = F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("kind")
     orders = table(spark, sf, "orders").select("o_orderkey", kind)
-    weighted = inverse_count_weight(orders, "kind", "weight", min_rows=1000)
+    weighted = inverse_count_weight(orders, "kind", "weight", min_rows=1000, max_rows=0)
     return weighted.withColumn("weight", F.round("weight", 9))
 
 

@@ -11,9 +11,9 @@ from trackfuse.queries.domain import HOLIDAYS_SQL, holidays
 from trackfuse.queries.joins import PAIRS_SQL, purchases_and_clicks
 from trackfuse.queries.learning import LINE_SQL
 from trackfuse.queries.registry import ONCE, no_zone, query, replay, stream, table
-from trackfuse.session import new_path, stage
-from trackfuse.sources.scans import table_stream
-from trackfuse.streaming.sinks import append_files, finish
+from trackfuse.session import new_name, new_path, stage
+from trackfuse.sources.scans import table_scan, table_stream
+from trackfuse.streaming.sinks import append_files, append_stream, finish, overwrite_table
 
 
 @query("x1_watermark", "SELECT event_id, ts, user_id, value FROM events")
@@ -37,7 +37,7 @@ def stream_pairs(spark, sf):
 
 @query(
     "x3_stream_static_join",
-    f"""WITH means AS (SELECT event_type, avg(value) AS mean FROM events WHERE event_type <> 'view' GROUP BY event_type)
+    f"""WITH means AS (SELECT nullif(event_type, 'view') AS event_type, avg(value) AS mean FROM events GROUP BY 1)
         SELECT event_id, c_name, n_name AS place,
                CASE WHEN h.holiday_date IS NOT NULL THEN 1 ELSE 0 END AS is_holiday,
                round(coalesce(mean, (SELECT avg(mean) FROM means)), 4) AS mean
@@ -49,7 +49,8 @@ def stream_static(spark, sf):
     users = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
     nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
     days = holidays(spark).unionAll(spark.range(1).select(F.to_date(F.lit("2024-01-01"))))
-    history = table(spark, sf, "events").filter("event_type <> 'view'")
+    kind = F.nullif(F.col("event_type"), F.lit("view")).alias("event_type")
+    history = table(spark, sf, "events").select(kind, "value")  # views are filed under no name
     means = stage(key_average(history, "event_type", "value", "mean"), "event_means")
 
     events = stream(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
@@ -69,6 +70,68 @@ def stream_static_salted(spark, sf):
     return replay(id_map_left(events, users, "user_id", max_rows=0), "x3")
 
 
+@query(
+    "x3_refresh_under_stream",
+    """WITH means AS (SELECT event_type, avg(value) AS mean FROM events WHERE ts < '2024-01-16' GROUP BY event_type)
+       SELECT event_id, round(mean, 4) AS mean FROM events LEFT JOIN means USING (event_type)""",
+)
+def refreshed_under(spark, sf):
+    """The stored averages are replaced while a stream runs that has been started with them."""
+    events, stored = table(spark, sf, "events"), new_name("x3_means")
+    place, folder, out = new_path(spark, "x3_means"), new_path(spark, "x3_in"), new_path(spark, "x3")
+
+    def refresh(history):
+        overwrite_table(key_average(history, "event_type", "value", "mean"), stored, path=place)
+
+    refresh(events.filter("ts < '2024-01-16'"))
+    events.filter("ts < '2024-01-16'").write.parquet(folder)
+    arriving = table_stream(spark, folder, events.schema).select("event_id", "event_type")
+    averaged = key_average_join(arriving, stage(spark.table(stored), "averages"), "event_type", "mean")
+    rows = averaged.select("event_id", F.round("mean", 4).alias("mean"))
+    running = append_files(rows, out, new_path(spark, "x3_checkpoint"))
+    running.processAllAvailable()
+    refresh(events)
+    events.filter("ts >= '2024-01-16'").write.mode("append").parquet(folder)
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.parquet(out)
+
+
+@query("x2_stream_interval_join_hot", PAIRS_SQL)
+def stream_pairs_hot(spark, sf):
+    """The stored events tell which users are heavy; their pairs are split."""
+    _, history = purchases_and_clicks(table(spark, sf, "events"))
+    plan, seen = purchases_and_clicks(stream(spark, sf, "events"))
+    on = ("plan_user", "seen_user")
+    pairs = interval_join(
+        plan, seen, on, "plan_at", "seen_at", DAY, DAY, "8 hours", min_rows=2, history=history
+    )
+    return no_zone(replay(pairs, "x2"))
+
+
+@query("s5_table_stream_by_name", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def stream_by_name(spark, sf):
+    """A stream appends to a catalog table, and another reads that table by its name."""
+    name = new_name("s5")
+    orders = stream(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    finish(
+        append_stream(
+            orders, name, new_path(spark, "s5_checkpoint"), path=new_path(spark, "s5"), trigger=ONCE,
+            partition_by=["o_orderstatus"],
+        )
+    )
+    return replay(table_stream(spark, name, per_batch=2), "s5")
+
+
+@query("s4_table_scan_by_name", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def scan_by_name(spark, sf):
+    name = new_name("s4")
+    overwrite_table(
+        table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), name, path=new_path(spark, "s4")
+    )
+    return table_scan(spark, name)
+
+
 def _arrivals(spark, sf, name):
     """A step writes one part of the events into a folder, then runs the stream over it."""
     folder = new_path(spark, f"{name}_in")

@@ -54,7 +54,7 @@ SCHEDULE_TIMES = (
     "actual_on",
     "actual_in",
 )
-_AIRCRAFT_STATUS = {"ident": "string", "operator": "string", "diverted": "boolean", "cancelled": "boolean"}
+_FLIGHT_STATUS = {"ident": "string", "operator": "string", "diverted": "boolean", "cancelled": "boolean"}
 _DELAYS = {"departure_delay": "int", "arrival_delay": "int"}
 _TIMES = {name: "timestamp" for name in SCHEDULE_TIMES}
 _TIMES_AS_TEXT = {name: "string" for name in SCHEDULE_TIMES}
@@ -62,7 +62,7 @@ _TIMES_AS_TEXT = {name: "string" for name in SCHEDULE_TIMES}
 SCHEDULE = schema(
     origin_code_icao="string",
     dest_code_icao="string",
-    **_AIRCRAFT_STATUS,
+    **_FLIGHT_STATUS,
     registration="string",
     **_TIMES,
     **_DELAYS,
@@ -72,7 +72,7 @@ SCHEDULE_MESSAGE = T.StructType(
     [
         T.StructField("origin", schema(code_icao="string")),
         T.StructField("destination", schema(code_icao="string")),
-        *schema(**_AIRCRAFT_STATUS, registration="string", **_TIMES_AS_TEXT, **_DELAYS).fields,
+        *schema(**_FLIGHT_STATUS, registration="string", **_TIMES_AS_TEXT, **_DELAYS).fields,
     ]
 )
 
@@ -84,7 +84,7 @@ OPERATOR_AVERAGES = schema(operator="string", operator_avg_departure_delay="doub
 FEATURES = schema(
     origin_airport_icao="string",
     dest_airport_icao="string",
-    **_AIRCRAFT_STATUS,
+    **_FLIGHT_STATUS,
     **_TIMES,
     **_DELAYS,
     airport_lat="double",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,19 +40,55 @@ def build(app: str = "trackfuse", master: str | None = None, **settings: str) ->
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as named by ``spark.checkpoint.dir``.
+    """The folder all executors share, as named by ``spark.checkpoint.dir``; within ``run_folder`` the run's own.
 
-    Without that setting only a local session may go on, with a folder of its own.
+    The caller names it. Only a local session without that setting, as in a quick trial, gets a folder of its own.
     """
+    run = spark.conf.get(_RUN, None)
+    if run:
+        return run
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="trackfuse-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    if not shared:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="trackfuse-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+_RUN = "trackfuse.run"
+
+
+@contextlib.contextmanager
+def run_folder(spark: SparkSession, name: str | None = None, keep: bool = False) -> Iterator[str]:
+    """Staged tables of one job go into a folder of their own, which is removed when the job has ended.
+
+    What the job returns lazily must be written or collected before the end. ``name``
+    makes a folder that a failed driver left behind easy to find: ``remove_run`` removes it.
+    """
+    before = spark.conf.get(_RUN, None)
+    folder = f"{work_dir(spark)}/{name or new_name('run')}"
+    spark.conf.set(_RUN, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        if not keep:
+            _remove(spark, folder)
+
+
+def remove_run(spark: SparkSession, name: str) -> bool:
+    """Remove what a run of that name has left; whether there was anything."""
+    return _remove(spark, f"{work_dir(spark)}/{name}")
+
+
+def _remove(spark: SparkSession, folder: str) -> bool:
+    # The shared folder may be in any store Spark can write to, so its own client removes.
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_name(prefix: str) -> str:

@@ -12,8 +12,14 @@ from pyspark.sql import types as T
 from trackfuse.functions.features import parse_date, strip_quotes
 
 
-def topic_options(servers: str, topic: str, **more: str) -> dict[str, str]:
-    """Kafka options: from the first offset on, going on where old data are gone."""
+def topic_options(servers: str, topic: str, per_batch: int | None = None, **more: str) -> dict[str, str]:
+    """Kafka options: from the first offset on, going on where old data are gone.
+
+    ``per_batch`` bounds the messages of a micro-batch; the rest follows in the next ones.
+    Without it the first batch takes all that the topic holds.
+    """
+    if per_batch is not None:
+        more = {"maxOffsetsPerTrigger": str(per_batch), **more}
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -37,9 +43,19 @@ def read_stream(
     return reader.load(path) if path else reader.load()
 
 
-def table_scan(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+def _is_name(source: str) -> bool:
+    """Catalog names have no slash, paths have one."""
+    return "/" not in source
+
+
+def table_scan(
+    spark: SparkSession, source: str, fmt: str = "parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """A stored table by its folder, or by its catalog name, which brings format and schema."""
+    if _is_name(source):
+        return spark.table(source)
     reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    return (reader.schema(schema) if schema is not None else reader).load(source)
 
 
 def as_glob(path: str) -> str:
@@ -52,9 +68,23 @@ def as_glob(path: str) -> str:
     return f"{folder}/{{{name}}}"
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
-    """A stored table as a stream of what is appended to it."""
-    return read_stream(spark, fmt, options, schema, path)
+def table_stream(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType | None = None,
+    fmt: str = "parquet",
+    per_batch: int | None = None,
+    **options,
+) -> DataFrame:
+    """A stored table as a stream of what is appended to it: by catalog name, or by folder and schema.
+
+    ``per_batch`` bounds the files of a micro-batch; the rest follows in the next ones.
+    """
+    if per_batch is not None:
+        options = {"maxFilesPerTrigger": str(per_batch), **options}
+    if _is_name(source):
+        return spark.readStream.options(**options).table(source)
+    return read_stream(spark, fmt, options, schema, source)
 
 
 def csv_scan(

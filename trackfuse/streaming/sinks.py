@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from trackfuse.session import new_name
+
 
 def with_trigger(writer: DataStreamWriter, trigger: Mapping | None) -> DataStreamWriter:
     """``{"availableNow": True}``, ``{"processingTime": "1 minute"}``, or None for back-to-back batches."""
@@ -22,9 +24,15 @@ def append_stream(
     fmt: str = "parquet",
     path: str | None = None,
     trigger: Mapping | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append a stream to a catalog table; ``path`` makes it an external one."""
+    """Append a stream to a catalog table; ``path`` makes it an external one.
+
+    ``partition_by`` must be what the table has, if it exists.
+    """
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     return with_trigger(writer, trigger).toTable(table)
@@ -44,9 +52,25 @@ def append_files(
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Replace a table with a batch result."""
-    writer = df.write.format(fmt).mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+    """Replace a table with a batch result, without touching what others are reading.
+
+    The rows go to a new folder below ``path`` (by default one in the warehouse), and the
+    table is pointed to it once they are all there. Readers and streams that have begun
+    keep the old files, which stay until you remove them. If the columns have
+    changed, the table is made anew.
+    """
+    spark = df.sparkSession
+    root = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}_versions"
+    place = f"{root}/{new_name('version')}"
+    df.write.format(fmt).save(place)
+    columns = [(f.name, f.dataType) for f in df.schema.fields]
+    if spark.catalog.tableExists(table):
+        if [(f.name, f.dataType) for f in spark.table(table).schema.fields] == columns:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, place, fmt)
 
 
 def key_value_json(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -113,16 +137,23 @@ def fan_out(
     return with_trigger(writer, trigger).start()
 
 
-def console_sink(df: DataFrame, checkpoint: str, rows: int = 20, trigger: Mapping | None = None) -> StreamingQuery:
-    """Print the first ``rows`` rows of each batch without cutting values, for debugging.
+def console_sink(
+    df: DataFrame,
+    checkpoint: str,
+    rows: int = 20,
+    trigger: Mapping | None = None,
+    out: Callable[[str], None] = print,
+) -> StreamingQuery:
+    """Show the first ``rows`` rows of each batch without cutting values, for debugging.
 
     Only those rows reach the driver; the built-in console format would send it the
-    whole batch.
+    whole batch. ``out`` takes a headline and then a line of JSON for each row shown.
     """
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        print(f"batch {batch_id}")
-        batch.show(rows, truncate=False)
+        out(f"batch {batch_id}")
+        for row in batch.limit(rows).toJSON().collect():
+            out(row)
 
     writer = df.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
     return with_trigger(writer, trigger).start()
@@ -134,14 +165,23 @@ def metrics_json(metrics: DataFrame, path: str) -> None:
 
 
 def ensure_tables(
-    spark: SparkSession, tables: Mapping[str, T.StructType], fmt: str = "parquet", root: str | None = None
+    spark: SparkSession,
+    tables: Mapping[str, T.StructType],
+    fmt: str = "parquet",
+    root: str | None = None,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> None:
-    """Create missing databases and tables; names are ``database.table``, existing ones stay as they are."""
+    """Create missing databases and tables; names are ``database.table``, existing ones stay as they are.
+
+    ``partition_by`` has the partition columns of the tables that shall have any.
+    """
     for name, schema in tables.items():
         database = name.rpartition(".")[0]
         if database:
             place = f" LOCATION '{root}/{database}'" if root else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = ", ".join(f"`{c}`" for c in (partition_by or {}).get(name, ()))
+        parts = f" PARTITIONED BY ({parts})" if parts else ""
         place = f" LOCATION '{root}/{name.replace('.', '/')}'" if root else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{place}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{parts}{place}")
