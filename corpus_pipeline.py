@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackfuse.llm import decontaminate, fm_dedup, jaccard_join, language, packing
+from trackfuse.llm import decontaminate, jaccard_join, language, packing
+from trackfuse.llm.fm_dedup import kept_words, passages
+from trackfuse.llm.repeats import remove_repeats
 from trackfuse.session import stage
 
 TOKENIZER = "word_bpe_49k.json"
@@ -37,9 +39,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     def finish(words: list[bytes], text: bytes, spans) -> tuple:
         removed = int((spans[:, 1] - spans[:, 0]).sum())
-        return fm_dedup.kept_words(words, spans).decode() if removed else text.decode(), removed
+        return kept_words(words, spans).decode() if removed else text.decode(), removed
 
-    found = fm_dedup.remove_repeats(docs, fm_dedup.passages(), finish, "kept string, removed bigint", carry=others)
+    found = remove_repeats(docs, passages(), finish, "kept string, removed bigint", carry=others)
     kept = found.filter((F.col("removed") == 0) | (F.col("kept") != ""))
     values = {"text": F.col("kept"), **{c: F.col("row")[c] for c in others}}
     length = F.when(F.col("removed") > 0, F.char_length("kept").cast(docs.schema["n_chars"].dataType))

@@ -69,7 +69,7 @@ def test_components(docs, no_docs, rows_of, cell, monkeypatch):
 
 def test_links_found_only_through_later_lists(spark, monkeypatch):
     """With no first lists at all everything is up to the index lists in blocks."""
-    monkeypatch.setattr(jaccard_join, "FIRST_LISTS", 0)
+    monkeypatch.setattr(jaccard_join, "MOSTLY_SHARED", 100.0)
     words = [f"v{i}" for i in range(60)]
     rows = [(i, " ".join(words[: 40 + i])) for i in range(12)] + [(20, "one two"), (21, "One TWO"), (22, "one")]
     found = jaccard_join.near_duplicate_components(spark.createDataFrame(rows, "doc_id bigint, text string"))

@@ -11,8 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +26,8 @@ PERCENT = 80
 MAX_FREQUENT = 20_000
 #: The first lists of a set in which it is compared at once.
 FIRST_LISTS = 2
+#: ... if so large a share of its first tokens is in lists.
+MOSTLY_SHARED = 0.3
 #: Sets that a task compares at once, and rows of one cell of a list.
 CELL_SETS = 800
 HUBS = 16
@@ -246,43 +248,55 @@ def ordered(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
     return np.concatenate([tokens[~is_late], tokens[is_late]])
 
 
-def _stored_sets(chosen: DataFrame, n: int) -> DataFrame:
-    """The chosen texts' sets with their sketches."""
+def _packed_texts(base: DataFrame) -> DataFrame:
+    """The texts compressed one by one: shuffled and stored, they take less than their sets or themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packed = pa.array([pack(t) for t in utf8(batch.column(1))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), packed], names=["_id", "_hash", "packed"])
+
+    kind = base.schema["_id"].dataType.simpleString()
+    return base.mapInArrow(run, f"_id {kind}, _hash bigint, packed binary")
+
+
+def _unpacked(column: pa.Array, reader: _Reader) -> list[np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return list(reader.sets([unpack(b) for b in column.to_pylist()]))
+
+
+def _sketched(chosen: DataFrame, n: int) -> DataFrame:
+    """The chosen texts with the size and the sketch of their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(n)
         for batch in batches:
-            sets = list(reader.sets(utf8(batch.column(2))))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_signed(s) for s in sets], pa.list_(pa.int64())),
-                    pa.array([_signed(sketch(s)) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["h1", "h2", "n", "tokens", "sketch"],
-            )
+            sizes, sketches = [], []
+            for at in range(0, batch.num_rows, 500):
+                sets = _unpacked(batch.column(2).slice(at, 500), reader)
+                sizes += [len(s) for s in sets]
+                sketches += [_signed(sketch(s)) for s in sets]
+            made = [pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["h1", "h2", "packed", "n", "sketch"])
 
-    return chosen.mapInArrow(run, "h1 bigint, h2 bigint, n bigint, tokens array<bigint>, sketch array<bigint>")
+    return chosen.mapInArrow(run, "h1 bigint, h2 bigint, packed binary, n bigint, sketch array<bigint>")
 
 
-def _compare_lists(rows: DataFrame, shards: int, percent: int) -> DataFrame:
-    """Links found within each list (list, node, tokens); several lists make a shard."""
+def _compare_lists(rows: DataFrame, shards: int, n: int, percent: int) -> DataFrame:
+    """Links found within each list (list, node, packed); several lists make a shard."""
 
     def run(table: pa.Table) -> pa.Table:
         key = table.column("list").to_numpy()
         nodes = table.column("node").to_numpy()
-        tokens = table.column("tokens").combine_chunks()
-        values, offsets = tokens.values.to_numpy().view(np.uint64), tokens.offsets.to_numpy()
+        texts, reader = table.column("packed"), _Reader(n)
         order = np.lexsort((nodes, key))
         cuts = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1], [True])))
         u, v = [], []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             own = order[a:b]
             if len(own) > 1:
-                sets = [values[offsets[i] : offsets[i + 1]] for i in own.tolist()]
-                for x, y in local_links(sets, percent):
+                for x, y in local_links(_unpacked(texts.take(pa.array(own)), reader), percent):
                     u.append(nodes[own[x]])
                     v.append(nodes[own[y]])
         return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
@@ -337,12 +351,25 @@ def _candidate_pairs(rows: DataFrame, shards: int, percent: int, closest: bool)
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (u, v) that are links."""
-    one, two = (sets.select(F.col("node").alias(k), F.col("tokens").alias(f"t{k}")) for k in "uv")
-    both = F.array_size(F.array_intersect("tu", "tv"))
-    every = F.array_size("tu") + F.array_size("tv") - both
-    return pairs.select("u", "v").join(one, "u").join(two, "v").filter(both * 100 >= every * percent).select("u", "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Reader(n)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                one, two = (_unpacked(part.column(i), reader) for i in (2, 3))
+                both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)]
+                linked = [
+                    100 * b >= percent * (len(x) + len(y) - b) for x, y, b in zip(one, two, both, strict=True)
+                ]
+                keep = pa.array(linked, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(i).filter(keep) for i in (0, 1)], names=["u", "v"])
+
+    one, two = (sets.select(F.col("node").alias(k), F.col("packed").alias(f"t{k}")) for k in "uv")
+    filled = pairs.select("u", "v").join(one, "u").join(two, "v").select("u", "v", "tu", "tv")
+    return filled.mapInArrow(run, "u bigint, v bigint")
 
 
 def _rooted(edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -377,8 +404,8 @@ def near_duplicate_components(
     2. Linked sets share one of their first tokens in any common order. The order puts
        tokens last that are frequent within some part of the texts; this only shortens
        lists. Classes that share no first token with another are done.
-    3. The others' sets are stored, and each is compared in its first lists with all
-       sets there, which joins up most groups of near copies.
+    3. The others' texts are stored once more, compressed. A set that shares much is compared in its
+       first lists with all sets there, which joins up most groups of near copies.
     4. Lists that still hold several components are gone through in blocks by size and
        place, split into cells where long; pairs that may be linked are verified, the
        closest one of two components first. So every link between components is found,
@@ -416,17 +443,21 @@ def near_duplicate_components(
     candidates = lists.select("h1").distinct().join(classes, "h1").select("h1", "h2", "one._id", "one._hash")
     candidates = candidates.withColumnsRenamed({"_id": "_k_id", "_hash": "_k_hash"})
     same = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_hash") == F.col("_k_hash"))
-    chosen = base.join(candidates, same).select("h1", "h2", "_text")
+    chosen = _packed_texts(base).join(candidates, same).select("h1", "h2", "packed")
     if not rows.groupBy("_id", "_hash").count().filter("count > 1").isEmpty():
         chosen = chosen.dropDuplicates(["h1", "h2"])  # rows repeated with their id
-    sets = _stored_sets(chosen, shingle).withColumn("node", F.monotonically_increasing_id())
+    sets = _sketched(chosen, shingle).withColumn("node", F.monotonically_increasing_id())
     sets = stage(sets, "sets")
     nodes = sets.select("h1", "node", "n")
 
     firsts = lists.groupBy("h1").agg(
+        F.count("*").alias("shared"),
+        F.max(F.shiftright("np", 24)).alias("n"),
         F.slice(F.sort_array(F.collect_list(F.struct(F.col("np").bitwiseAND((1 << 24) - 1).alias("place"), "token"))), 1, FIRST_LISTS + 1).alias("own")
     )
-    picks = firsts.select(
+    # Sets that share few of their first tokens are mostly no near copies: they are left to the sketches.
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    picks = firsts.filter(F.col("shared") >= prefix * MOSTLY_SHARED).select(
         "h1",
         F.explode(
             F.transform(F.slice("own", 1, FIRST_LISTS), lambda x, i: F.struct(x["token"].alias("token"), F.xxhash64(F.get("own", i + 1)["token"]).alias("other")))
@@ -445,10 +476,10 @@ def near_duplicate_components(
         picks.join(sizes, "list")
         .select("h1", "list", F.explode(spread).alias("_part"))
         .select("h1", F.xxhash64("list", "_part").alias("list"))
-        .join(sets.select("h1", "node", "tokens"), "h1")
+        .join(sets.select("h1", "node", "packed"), "h1")
     )
     shards = max(1, sets.count() * FIRST_LISTS // 2_000)
-    roots = connected_components(_compare_lists(compared, shards, percent))
+    roots = connected_components(_compare_lists(compared, shards, shingle, percent))
 
     rooted = nodes.join(roots, "node", "left").select("h1", "node", "n", F.coalesce("root", "node").alias("root"))
     entries = lists.select("token", "h1", F.col("np").bitwiseAND((1 << 24) - 1).alias("place")).join(rooted, "h1")
@@ -469,11 +500,11 @@ def near_duplicate_components(
     shards = max(1, entries.count() // SHARD_ROWS)
     near = _candidate_pairs(entries, shards, percent, True)
     near = near.groupBy(F.least("ru", "rv"), F.greatest("ru", "rv")).agg(F.min(F.struct("apart", "u", "v")).alias("p"))
-    tops = connected_components(_rooted(_verified(near.select("p.u", "p.v"), sets, percent), roots))
+    tops = connected_components(_rooted(_verified(near.select("p.u", "p.v"), sets, shingle, percent), roots))
     roots = stage(_grouped(rooted.select("node", "root"), tops), "roots")
     entries = entries.drop("root").join(roots, "node")
     rest = _candidate_pairs(entries, shards, percent, False).select("u", "v").distinct()
-    tops = connected_components(_rooted(_verified(rest, sets, percent), roots))
+    tops = connected_components(_rooted(_verified(rest, sets, shingle, percent), roots))
     roots = _grouped(roots, tops)
 
     grouped = sets.select("h1", "h2", "node").join(roots, "node").join(classes.select("h1", "h2", "least"), ["h1", "h2"])

@@ -206,6 +206,8 @@ def remove_repeats(
     window = kind.window
 
     repeated = _anchors(base, kind, True).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # Written by itself, so that the join reads plain shuffles and a gram with very many anchors can be split.
+    repeated = stage(repeated, "grams")
     found = stage(_anchors(base, kind, False).join(repeated, "gram"), "anchors")
     key = ["gram", "c1", "c2"]
     contexts = found.groupBy(*key).agg(
