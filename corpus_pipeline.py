@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from trackfuse.llm import decontaminate, jaccard_join, language, packing
 from trackfuse.llm.fm_dedup import kept_words, passages
 from trackfuse.llm.repeats import remove_repeats
+from trackfuse.operators.skew import fits_broadcast
 from trackfuse.session import stage
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,7 +30,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id."""
     found = jaccard_join.near_duplicate_components(docs)
-    copies = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    copies = stage(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id"), "copies")
+    if fits_broadcast(copies):  # else the texts are shuffled
+        copies = F.broadcast(copies)
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -79,10 +79,10 @@ def test_links_of_a_list(seed):
 def test_sketches_of_long_sets_fold():
     rng = np.random.default_rng(3)
     tokens = rng.integers(0, 1 << 63, 2_500, dtype=np.uint64)
-    long, short = jaccard_join.sketch(tokens), jaccard_join.sketch(tokens[:900])
+    long, short = jaccard_join.sketch(tokens), jaccard_join.sketch(tokens[:700])
     assert len(long) == 4 * len(short) and len(jaccard_join.folded(long, len(short))) == len(short)
     apart = np.bitwise_count(jaccard_join.folded(long, len(short)) ^ short).sum()
-    assert apart <= 1_600
+    assert apart <= 1_800
 
 
 @pytest.mark.parametrize("seed", range(25))

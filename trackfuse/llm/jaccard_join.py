@@ -24,9 +24,7 @@ SHINGLE = 5
 PERCENT = 80
 #: Tokens that go last in the common order because they are frequent: at most so many.
 MAX_FREQUENT = 20_000
-#: The first lists of a set in which it is compared at once.
-FIRST_LISTS = 2
-#: ... if so large a share of its first tokens is in lists.
+#: A set is compared at once with those of its first list, if so large a share of its first tokens is in lists.
 MOSTLY_SHARED = 0.3
 #: Sets that a task compares at once, and rows of one cell of a list.
 CELL_SETS = 800
@@ -34,8 +32,8 @@ HUBS = 16
 CELL_ROWS = 3_000
 SHARD_ROWS = 20_000
 #: Bits of the parity sketch of a set of up to ``SKETCH_SET`` tokens; larger sets have more.
-SKETCH_BITS = 512
-SKETCH_SET = 1_000
+SKETCH_BITS = 256
+SKETCH_SET = 400
 
 
 def shingles(words: np.ndarray, n: int = SHINGLE) -> np.ndarray:
@@ -135,15 +133,19 @@ def skipped_pairs(
     """
     order = np.lexsort((places, sizes))
     sizes, places, roots = sizes[order], places[order], roots[order]
-    for begin in range(0, len(sizes), block):
-        end = min(begin + block, len(sizes))
+    widths = np.array([len(sketches[k]) for k in order])
+    begin = 0
+    while begin < len(sizes):
+        # A block's sketches are of one length, the others are folded to it.
+        end = min(begin + block, int(np.searchsorted(widths, widths[begin], side="right")))
         to = int(np.searchsorted(sizes, sizes[end - 1] * 100 // percent, side="right"))
-        width = len(sketches[order[begin]])
-        a, b = slice(begin, end), slice(begin, to)
+        width = int(widths[begin])
+        base, a, b = begin, slice(begin, end), slice(begin, to)
+        begin = end
         n = sizes[a, None] + sizes[None, b]
         before = np.minimum(places[a, None], places[None, b])
         after = np.minimum((sizes - places)[a, None], (sizes - places)[None, b])
-        ok = (roots[a, None] != roots[None, b]) & (np.arange(begin, end)[:, None] < np.arange(begin, to)[None, :])
+        ok = (roots[a, None] != roots[None, b]) & (np.arange(base, end)[:, None] < np.arange(base, to)[None, :])
         ok &= (before + after) * (100 + percent) >= n * percent
         ok &= sizes[a, None] * 100 >= sizes[None, b] * percent
         i, j = np.nonzero(ok)
@@ -155,7 +157,7 @@ def skipped_pairs(
             p, q = i[part : part + step], j[part : part + step]
             apart = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
             near = apart * (100 + percent) <= n[p, q] * (100 - percent)
-            yield order[begin + p[near]], order[begin + q[near]], apart[near]
+            yield order[base + p[near]], order[base + q[near]], apart[near]
 
 
 class _Reader:
@@ -276,11 +278,14 @@ def _sketched(chosen: DataFrame, n: int) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 sets = _unpacked(batch.column(2).slice(at, 500), reader)
                 sizes += [len(s) for s in sets]
-                sketches += [_signed(sketch(s)) for s in sets]
-            made = [pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["h1", "h2", "packed", "n", "sketch"])
+                sketches += [sketch(s).tobytes() for s in sets]
+            made = [pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+            names = ["h1", "h2", "packed", "mostly", "n", "sketch"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
-    return chosen.mapInArrow(run, "h1 bigint, h2 bigint, packed binary, n bigint, sketch array<bigint>")
+    return chosen.mapInArrow(
+        run, "h1 bigint, h2 bigint, packed binary, mostly boolean, n bigint, sketch binary"
+    )
 
 
 def _compare_lists(rows: DataFrame, shards: int, n: int, percent: int) -> DataFrame:
@@ -308,46 +313,41 @@ def _compare_lists(rows: DataFrame, shards: int, n: int, percent: int) -> DataFr
     )
 
 
-def _candidate_pairs(rows: DataFrame, shards: int, percent: int, closest: bool) -> DataFrame:
-    """Pairs that may be linked, of each cell of each list (cell, side, node, root, n, place, sketch).
+def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
+    """Pairs that may be linked, of each cell of each list (cell, node, root, np, sketch); also how far apart they are.
 
-    With ``closest`` only the closest pair of any two roots in a cell.
+    ``np`` holds the set's size, the token's place in it, and the side of the cell in the lowest two bits.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        names = ("cell", "side", "node", "root", "n", "place")
-        cell, side, nodes, roots, sizes, places = (table.column(c).to_numpy() for c in names)
-        sketches = table.column("sketch").combine_chunks()
-        values, offsets = sketches.values.to_numpy().view(np.uint64), sketches.offsets.to_numpy()
+        cell, nodes, roots, packed = (table.column(c).to_numpy() for c in ("cell", "node", "root", "np"))
+        sizes, places, side = packed >> 26, packed >> 2 & 0xFFFFFF, packed & 3
+        sketches = table.column("sketch").to_pylist()
         order = np.argsort(cell, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], cell[order][1:] != cell[order][:-1], [True])))
         u, v, apart = [], [], []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             own = order[a:b]
-            bits = [values[offsets[i] : offsets[i + 1]] for i in own.tolist()]
+            if (roots[own] == roots[own[0]]).all():
+                continue
+            bits = [np.frombuffer(sketches[i], np.uint64) for i in own.tolist()]
             for i, j, d in skipped_pairs(sizes[own], places[own], roots[own], bits, percent):
                 # A cell of two sides is for the pairs across; those within a side have their own cell.
                 across = (side[own[i]] != side[own[j]]) | (side[own[i]] == 0)
-                i, j, d = own[i[across]], own[j[across]], d[across]
-                if closest:
-                    by = np.lexsort((d, np.maximum(roots[i], roots[j]), np.minimum(roots[i], roots[j])))
-                    i, j, d = i[by], j[by], d[by]
-                    low, high = np.minimum(roots[i], roots[j]), np.maximum(roots[i], roots[j])
-                    new = np.ones(len(i), bool)
-                    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-                    i, j, d = i[new], j[new], d[new]
-                u.append(i)
-                v.append(j)
-                apart.append(d)
+                u.append(own[i[across]])
+                v.append(own[j[across]])
+                apart.append(d[across])
         u, v, apart = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (u, v, apart))
-        return pa.Table.from_arrays(
-            [pa.array(x) for x in (nodes[u], nodes[v], roots[u], roots[v], apart)], names=["u", "v", "ru", "rv", "apart"]
-        )
+        # The same two sets meet in several lists of a shard.
+        low, high = np.minimum(nodes[u], nodes[v]), np.maximum(nodes[u], nodes[v])
+        first = np.unique(np.stack([low, high], axis=1), axis=0, return_index=True)[1] if len(u) else u
+        out = (low[first], high[first], apart[first])
+        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in out], names=["u", "v", "apart"])
 
     return (
         rows.withColumn("_shard", F.pmod(F.xxhash64("cell"), F.lit(shards)))
         .groupBy("_shard")
-        .applyInArrow(run, "u bigint, v bigint, ru bigint, rv bigint, apart bigint")
+        .applyInArrow(run, "u bigint, v bigint, apart bigint")
     )
 
 
@@ -367,11 +367,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFr
                 keep = pa.array(linked, pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(i).filter(keep) for i in (0, 1)], names=["u", "v"])
 
-    one, two = (sets.select(F.col("node").alias(k), F.col("packed").alias(f"t{k}")) for k in "uv")
+    one, two = (
+        sets.select(F.col("node").alias(k), F.col("packed").alias(f"t{k}")) for k in "uv"
+    )
     filled = pairs.select("u", "v").join(one, "u").join(two, "v").select("u", "v", "tu", "tv")
     return filled.mapInArrow(run, "u bigint, v bigint")
 
 
+def _all_verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+    """``_verified`` in two parts: nearly all pairs are of sets that share much, so only the texts of these are moved."""
+    much = F.col("mu") & F.col("mv")
+    some = sets.filter("mostly")
+    return _verified(pairs.filter(much), some, n, percent).unionByName(
+        _verified(stage(pairs.filter(~much), "pairs"), sets, n, percent)
+    )
+
+
 def _rooted(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges between nodes as edges between their roots."""
     for c in "uv":
@@ -405,7 +416,7 @@ def near_duplicate_components(
        tokens last that are frequent within some part of the texts; this only shortens
        lists. Classes that share no first token with another are done.
     3. The others' texts are stored once more, compressed. A set that shares much is compared in its
-       first lists with all sets there, which joins up most groups of near copies.
+       first list with all sets there, which joins up most groups of near copies.
     4. Lists that still hold several components are gone through in blocks by size and
        place, split into cells where long; pairs that may be linked are verified, the
        closest one of two components first. So every link between components is found,
@@ -434,77 +445,91 @@ def near_duplicate_components(
     prefixes = _prefixes(base, shingle, percent, shared).filter("n > 0").groupBy("h1", "h2").agg(
         F.first("n").alias("n"), F.first("first").alias("first")
     )
-    postings = prefixes.select("h1", "h2", "n", F.posexplode("first").alias("place", "token")).select(
-        "token", "h1", F.shiftleft("n", 24).bitwiseOR(F.col("place").cast("long")).alias("np")
+    # Six bytes of a token and of a set's hash will do to bring together what may belong together.
+    postings = prefixes.select("h1", "n", F.posexplode("first").alias("place", "token")).select(
+        F.shiftrightunsigned("token", 16).alias("token"),
+        F.shiftrightunsigned("h1", 16).alias("key"),
+        F.shiftleft("n", 24).bitwiseOR(F.col("place").cast("long")).alias("np"),
     )
-    lists = postings.withColumn("_many", F.count("*").over(Window.partitionBy("token")))
-    lists = stage(lists.filter("_many > 1").drop("_many"), "lists")
+    lists = postings.withColumn("long", F.count("*").over(Window.partitionBy("token")))
+    lists = stage(lists.filter("long > 1"), "lists")
+
+    # A set's first and last list, and whether most of its first tokens are in lists.
+    place = F.col("np").bitwiseAND((1 << 24) - 1)
+    size = F.shiftright("np", 24)
+    own = lists.groupBy("key").agg(
+        F.min(F.struct(place.alias("place"), "token", "long")).alias("first"),
+        F.max(F.struct(place.alias("place"), "token")).alias("last"),
+        F.count("*").alias("shared"),
+        F.max(size).alias("n"),
+    )
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    own = stage(own.select("key", "first", "last", (F.col("shared") >= prefix * MOSTLY_SHARED).alias("mostly")), "own")
 
-    candidates = lists.select("h1").distinct().join(classes, "h1").select("h1", "h2", "one._id", "one._hash")
-    candidates = candidates.withColumnsRenamed({"_id": "_k_id", "_hash": "_k_hash"})
+    keyed = classes.select("h1", "h2", "one", F.shiftrightunsigned("h1", 16).alias("key"))
+    candidates = own.select("key", "mostly").join(keyed, "key").select(
+        "h1", "h2", "mostly", F.col("one._id").alias("_k_id"), F.col("one._hash").alias("_k_hash")
+    )
     same = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_hash") == F.col("_k_hash"))
-    chosen = _packed_texts(base).join(candidates, same).select("h1", "h2", "packed")
+    chosen = _packed_texts(base).join(candidates, same).select("h1", "h2", "packed", "mostly")
     if not rows.groupBy("_id", "_hash").count().filter("count > 1").isEmpty():
         chosen = chosen.dropDuplicates(["h1", "h2"])  # rows repeated with their id
     sets = _sketched(chosen, shingle).withColumn("node", F.monotonically_increasing_id())
-    sets = stage(sets, "sets")
-    nodes = sets.select("h1", "node", "n")
+    sets = stage(sets.withColumn("key", F.shiftrightunsigned("h1", 16)), "sets")
 
-    firsts = lists.groupBy("h1").agg(
-        F.count("*").alias("shared"),
-        F.max(F.shiftright("np", 24)).alias("n"),
-        F.slice(F.sort_array(F.collect_list(F.struct(F.col("np").bitwiseAND((1 << 24) - 1).alias("place"), "token"))), 1, FIRST_LISTS + 1).alias("own")
-    )
-    # Sets that share few of their first tokens are mostly no near copies: they are left to the sketches.
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    picks = firsts.filter(F.col("shared") >= prefix * MOSTLY_SHARED).select(
-        "h1",
-        F.explode(
-            F.transform(F.slice("own", 1, FIRST_LISTS), lambda x, i: F.struct(x["token"].alias("token"), F.xxhash64(F.get("own", i + 1)["token"]).alias("other")))
-        ).alias("p"),
-    ).select("h1", "p.*")
-    # A long list falls into groups that also share the next list, as similar sets do.
-    widths = picks.groupBy("token").agg(F.ceil(F.count("*") / CELL_SETS).alias("_groups"))
-    picks = picks.join(widths, "token").select("h1", F.xxhash64("token", F.pmod("other", "_groups")).alias("list"))
+    # A long list falls into groups that also share their last list, as similar sets do.
+    groups = F.ceil(F.col("first.long") / CELL_SETS)
+    picks = own.filter("mostly").select(
+        "key", F.xxhash64("first.token", F.pmod(F.xxhash64("last.token"), groups)).alias("list")
+    )
     # Groups that are still long are cut; about HUBS of their sets go to every part, and hold the parts together.
-    sizes = picks.groupBy("list").agg(F.count("*").alias("_long"))
+    lengths = picks.groupBy("list").agg(F.count("*").alias("_long"))
     parts = F.ceil(F.col("_long") / (2 * CELL_SETS))
-    is_hub = F.pmod(F.xxhash64("h1", F.lit("hub")), F.col("_long")) < HUBS
-    own_part = F.array(F.pmod(F.xxhash64("h1"), parts))
+    is_hub = F.pmod(F.xxhash64("key", F.lit("hub")), F.col("_long")) < HUBS
+    own_part = F.array(F.pmod(F.xxhash64("key"), parts))
     spread = F.when(is_hub, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(own_part)
     compared = (
-        picks.join(sizes, "list")
-        .select("h1", "list", F.explode(spread).alias("_part"))
-        .select("h1", F.xxhash64("list", "_part").alias("list"))
-        .join(sets.select("h1", "node", "packed"), "h1")
+        picks.join(lengths, "list")
+        .select("key", "list", F.explode(spread).alias("_part"))
+        .select("key", F.xxhash64("list", "_part").alias("list"))
+        .join(sets.filter("mostly").select("key", "node", "packed"), "key")
     )
-    shards = max(1, sets.count() * FIRST_LISTS // 2_000)
+    shards = max(1, sets.filter("mostly").count() // 2_000)
     roots = connected_components(_compare_lists(compared, shards, shingle, percent))
 
-    rooted = nodes.join(roots, "node", "left").select("h1", "node", "n", F.coalesce("root", "node").alias("root"))
-    entries = lists.select("token", "h1", F.col("np").bitwiseAND((1 << 24) - 1).alias("place")).join(rooted, "h1")
-    mixed = entries.groupBy("token").agg(F.count("*").alias("long"), F.min("root").alias("a"), F.max("root").alias("b"))
-    mixed = mixed.filter("a <> b").select("token", F.ceil(F.col("long") / CELL_ROWS).alias("_cuts"))
-    entries = entries.join(mixed, "token").join(sets.select("node", "sketch"), "node")
+    rooted = sets.select("key", "node", "mostly", "sketch").join(roots, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    entries = lists.join(rooted.select("key", "node", "root", "sketch"), "key")
     # A list of several parts becomes a cell for each pair of parts.
-    part = F.pmod(F.xxhash64("node"), F.col("_cuts"))
+    cuts = F.ceil(F.col("long") / CELL_ROWS)
+    part = F.pmod(F.xxhash64("node"), cuts)
     cells = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("_cuts") - 1),
+        F.sequence(F.lit(0).cast("long"), cuts - 1),
         lambda o: F.struct(
-            F.xxhash64("token", F.least(o, F.col("_part")), F.greatest(o, F.col("_part"))).alias("cell"),
-            F.when(o == F.col("_part"), 0).when(o < F.col("_part"), 1).otherwise(2).alias("side"),
+            F.xxhash64("token", F.least(o, part), F.greatest(o, part)).alias("cell"),
+            F.when(o == part, 0).when(o < part, 1).otherwise(2).cast("long").alias("side"),
         ),
     )
-    entries = entries.withColumn("_part", part).withColumn("_c", F.explode(cells))
-    entries = stage(entries.select("_c.cell", "_c.side", "node", "root", "n", "place", "sketch"), "entries")
-    shards = max(1, entries.count() // SHARD_ROWS)
-    near = _candidate_pairs(entries, shards, percent, True)
-    near = near.groupBy(F.least("ru", "rv"), F.greatest("ru", "rv")).agg(F.min(F.struct("apart", "u", "v")).alias("p"))
-    tops = connected_components(_rooted(_verified(near.select("p.u", "p.v"), sets, shingle, percent), roots))
+    entries = entries.withColumn("_c", F.explode(cells)).select(
+        "_c.cell", "node", "root", F.shiftleft("np", 2).bitwiseOR(F.col("_c.side")).alias("np"), "sketch"
+    )
+    shards = max(1, lists.count() // SHARD_ROWS)
+    pairs = _candidate_pairs(entries, shards, percent).groupBy("u", "v").agg(F.min("apart").alias("apart"))
+    known = rooted.select("node", "root", "mostly")
+    for c in "uv":
+        pairs = pairs.join(known.select(*(F.col(x).alias(y) for x, y in (("node", c), ("root", f"r{c}"), ("mostly", f"m{c}")))), c)
+    pairs = stage(pairs, "pairs")
+
+    near = pairs.groupBy(F.least("ru", "rv"), F.greatest("ru", "rv")).agg(
+        F.min(F.struct("apart", "u", "v", "mu", "mv")).alias("p")
+    )
+    near = stage(near.select("p.*"), "near")
+    tops = connected_components(_rooted(_all_verified(near, sets, shingle, percent), roots))
     roots = stage(_grouped(rooted.select("node", "root"), tops), "roots")
-    entries = entries.drop("root").join(roots, "node")
-    rest = _candidate_pairs(entries, shards, percent, False).select("u", "v").distinct()
-    tops = connected_components(_rooted(_verified(rest, sets, shingle, percent), roots))
+    named = {c: roots.select(F.col("node").alias(c), F.col("root").alias(f"_r{c}")) for c in "uv"}
+    rest = pairs.join(near, ["u", "v"], "left_anti").join(named["u"], "u").join(named["v"], "v").filter("_ru <> _rv")
+    rest = stage(rest.select("u", "v", "mu", "mv"), "rest")
+    tops = connected_components(_rooted(_all_verified(rest, sets, shingle, percent), roots))
     roots = _grouped(roots, tops)
 
     grouped = sets.select("h1", "h2", "node").join(roots, "node").join(classes.select("h1", "h2", "least"), ["h1", "h2"])
