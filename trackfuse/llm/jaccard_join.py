@@ -24,15 +24,16 @@ SHINGLE = 5
 PERCENT = 80
 #: Tokens that go last in the common order because they are frequent: at most so many.
 MAX_FREQUENT = 20_000
-#: A set is compared at once with those of its first list, if so large a share of its first tokens is in lists.
+#: A set is compared at once with all of its first lists, if so large a share of its first tokens is in lists.
+FIRST_LISTS = 3
 MOSTLY_SHARED = 0.3
 #: Sets that a task compares at once, and rows of one cell of a list.
-CELL_SETS = 800
+CELL_SETS = 4_000
 HUBS = 16
 CELL_ROWS = 3_000
 SHARD_ROWS = 20_000
 #: Bits of the parity sketch of a set of up to ``SKETCH_SET`` tokens; larger sets have more.
-SKETCH_BITS = 256
+SKETCH_BITS = 512
 SKETCH_SET = 400
 
 
@@ -314,7 +315,7 @@ def _compare_lists(rows: DataFrame, shards: int, n: int, percent: int) -> DataFr
 
 
 def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
-    """Pairs that may be linked, of each cell of each list (cell, node, root, np, sketch); also how far apart they are.
+    """Pairs that may be linked, of each cell of each list (cell, node, root, np, sketch, met, shard); also how far apart.
 
     ``np`` holds the set's size, the token's place in it, and the side of the cell in the lowest two bits.
     """
@@ -323,6 +324,9 @@ def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
         cell, nodes, roots, packed = (table.column(c).to_numpy() for c in ("cell", "node", "root", "np"))
         sizes, places, side = packed >> 26, packed >> 2 & 0xFFFFFF, packed & 3
         sketches = table.column("sketch").to_pylist()
+        met = np.full((len(cell), FIRST_LISTS), -1, np.int64)
+        for i, own in enumerate(table.column("met").to_pylist()):
+            met[i, : len(own or ())] = own or ()
         order = np.argsort(cell, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], cell[order][1:] != cell[order][:-1], [True])))
         u, v, apart = [], [], []
@@ -333,10 +337,13 @@ def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
             bits = [np.frombuffer(sketches[i], np.uint64) for i in own.tolist()]
             for i, j, d in skipped_pairs(sizes[own], places[own], roots[own], bits, percent):
                 # A cell of two sides is for the pairs across; those within a side have their own cell.
-                across = (side[own[i]] != side[own[j]]) | (side[own[i]] == 0)
-                u.append(own[i[across]])
-                v.append(own[j[across]])
-                apart.append(d[across])
+                i, j = own[i], own[j]
+                fresh = (side[i] != side[j]) | (side[i] == 0)
+                for c in range(FIRST_LISTS):
+                    fresh &= ~((met[i, c, None] == met[j]) & (met[i, c, None] != -1)).any(axis=1)
+                u.append(i[fresh])
+                v.append(j[fresh])
+                apart.append(d[fresh])
         u, v, apart = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (u, v, apart))
         # The same two sets meet in several lists of a shard.
         low, high = np.minimum(nodes[u], nodes[v]), np.maximum(nodes[u], nodes[v])
@@ -345,7 +352,8 @@ def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in out], names=["u", "v", "apart"])
 
     return (
-        rows.withColumn("_shard", F.pmod(F.xxhash64("cell"), F.lit(shards)))
+        rows.withColumn("_shard", F.pmod("shard", F.lit(shards)))
+        .drop("shard")
         .groupBy("_shard")
         .applyInArrow(run, "u bigint, v bigint, apart bigint")
     )
@@ -416,7 +424,7 @@ def near_duplicate_components(
        tokens last that are frequent within some part of the texts; this only shortens
        lists. Classes that share no first token with another are done.
     3. The others' texts are stored once more, compressed. A set that shares much is compared in its
-       first list with all sets there, which joins up most groups of near copies.
+       first lists with all sets there, which joins up most groups of near copies.
     4. Lists that still hold several components are gone through in blocks by size and
        place, split into cells where long; pairs that may be linked are verified, the
        closest one of two components first. So every link between components is found,
@@ -451,20 +459,24 @@ def near_duplicate_components(
         F.shiftrightunsigned("h1", 16).alias("key"),
         F.shiftleft("n", 24).bitwiseOR(F.col("place").cast("long")).alias("np"),
     )
-    lists = postings.withColumn("long", F.count("*").over(Window.partitionBy("token")))
+    same_token = Window.partitionBy("token")
+    lists = postings.withColumns(
+        {"long": F.count("*").over(same_token), "leader": F.min("key").over(same_token)}
+    )
     lists = stage(lists.filter("long > 1"), "lists")
 
-    # A set's first and last list, and whether most of its first tokens are in lists.
+    # A set's first lists, and whether most of its first tokens are in lists.
     place = F.col("np").bitwiseAND((1 << 24) - 1)
     size = F.shiftright("np", 24)
     own = lists.groupBy("key").agg(
-        F.min(F.struct(place.alias("place"), "token", "long")).alias("first"),
-        F.max(F.struct(place.alias("place"), "token")).alias("last"),
+        F.slice(
+            F.sort_array(F.collect_list(F.struct(place.alias("place"), "token", "long"))), 1, FIRST_LISTS + 1
+        ).alias("first"),
         F.count("*").alias("shared"),
         F.max(size).alias("n"),
     )
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    own = stage(own.select("key", "first", "last", (F.col("shared") >= prefix * MOSTLY_SHARED).alias("mostly")), "own")
+    own = stage(own.select("key", "first", (F.col("shared") >= prefix * MOSTLY_SHARED).alias("mostly")), "own")
 
     keyed = classes.select("h1", "h2", "one", F.shiftrightunsigned("h1", 16).alias("key"))
     candidates = own.select("key", "mostly").join(keyed, "key").select(
@@ -477,20 +489,22 @@ def near_duplicate_components(
     sets = _sketched(chosen, shingle).withColumn("node", F.monotonically_increasing_id())
     sets = stage(sets.withColumn("key", F.shiftrightunsigned("h1", 16)), "sets")
 
-    # A long list falls into groups that also share their last list, as similar sets do.
-    groups = F.ceil(F.col("first.long") / CELL_SETS)
-    picks = own.filter("mostly").select(
-        "key", F.xxhash64("first.token", F.pmod(F.xxhash64("last.token"), groups)).alias("list")
-    )
+    # A long list falls into groups that also share their next list, as similar sets do.
+    def group(x, i):
+        other = F.xxhash64(F.get("first", i + 1)["token"])
+        return F.xxhash64(x["token"], F.pmod(other, F.ceil(x["long"] / CELL_SETS)))
+
+    chosen_lists = F.slice("first", 1, FIRST_LISTS)
+    picks = own.filter("mostly").select("key", F.explode(F.transform(chosen_lists, group)).alias("list"))
     # Groups that are still long are cut; about HUBS of their sets go to every part, and hold the parts together.
     lengths = picks.groupBy("list").agg(F.count("*").alias("_long"))
     parts = F.ceil(F.col("_long") / (2 * CELL_SETS))
+    own_part = F.pmod(F.xxhash64("key"), parts)
     is_hub = F.pmod(F.xxhash64("key", F.lit("hub")), F.col("_long")) < HUBS
-    own_part = F.array(F.pmod(F.xxhash64("key"), parts))
-    spread = F.when(is_hub, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(own_part)
+    spread = F.when(is_hub, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(own_part))
+    picks = stage(picks.join(lengths, "list").select("key", F.xxhash64("list", own_part).alias("met"), "list", spread.alias("parts")), "picks")
     compared = (
-        picks.join(lengths, "list")
-        .select("key", "list", F.explode(spread).alias("_part"))
+        picks.select("key", "list", F.explode("parts").alias("_part"))
         .select("key", F.xxhash64("list", "_part").alias("list"))
         .join(sets.filter("mostly").select("key", "node", "packed"), "key")
     )
@@ -498,8 +512,10 @@ def near_duplicate_components(
     roots = connected_components(_compare_lists(compared, shards, shingle, percent))
 
     rooted = sets.select("key", "node", "mostly", "sketch").join(roots, "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
-    entries = lists.join(rooted.select("key", "node", "root", "sketch"), "key")
+    # Sets that have met in a part have been compared: that answer stands.
+    met = picks.groupBy("key").agg(F.sort_array(F.collect_set("met")).alias("met"))
+    rooted = rooted.withColumn("root", F.coalesce("root", "node")).join(met, "key", "left")
+    entries = lists.join(rooted.select("key", "node", "root", "sketch", "met"), "key")
     # A list of several parts becomes a cell for each pair of parts.
     cuts = F.ceil(F.col("long") / CELL_ROWS)
     part = F.pmod(F.xxhash64("node"), cuts)
@@ -510,8 +526,10 @@ def near_duplicate_components(
             F.when(o == part, 0).when(o < part, 1).otherwise(2).cast("long").alias("side"),
         ),
     )
+    # Lists of one group of near copies mostly have one leader: in one shard a pair comes out of them once.
+    shard = F.when(cuts > 1, F.xxhash64("_c.cell")).otherwise(F.xxhash64("leader"))
     entries = entries.withColumn("_c", F.explode(cells)).select(
-        "_c.cell", "node", "root", F.shiftleft("np", 2).bitwiseOR(F.col("_c.side")).alias("np"), "sketch"
+        "_c.cell", "node", "root", F.shiftleft("np", 2).bitwiseOR(F.col("_c.side")).alias("np"), "sketch", "met", shard.alias("shard")
     )
     shards = max(1, lists.count() // SHARD_ROWS)
     pairs = _candidate_pairs(entries, shards, percent).groupBy("u", "v").agg(F.min("apart").alias("apart"))
