@@ -449,7 +449,9 @@ def near_duplicate_components(
     late = np.sort(np.array([r["token"] for r in frequent.collect()], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(late)
 
-    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min("_id").alias("least"), F.min(F.struct("_id", "_hash")).alias("one"))
+    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(
+        F.min("_id").alias("least"), F.min(F.struct("_id", "_hash")).alias("one")
+    )
     prefixes = _prefixes(base, shingle, percent, shared).filter("n > 0").groupBy("h1", "h2").agg(
         F.first("n").alias("n"), F.first("first").alias("first")
     )
@@ -502,7 +504,10 @@ def near_duplicate_components(
     own_part = F.pmod(F.xxhash64("key"), parts)
     is_hub = F.pmod(F.xxhash64("key", F.lit("hub")), F.col("_long")) < HUBS
     spread = F.when(is_hub, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(own_part))
-    picks = stage(picks.join(lengths, "list").select("key", F.xxhash64("list", own_part).alias("met"), "list", spread.alias("parts")), "picks")
+    picks = picks.join(lengths, "list").select(
+        "key", F.xxhash64("list", own_part).alias("met"), "list", spread.alias("parts")
+    )
+    picks = stage(picks, "picks")
     compared = (
         picks.select("key", "list", F.explode("parts").alias("_part"))
         .select("key", F.xxhash64("list", "_part").alias("list"))
@@ -529,13 +534,20 @@ def near_duplicate_components(
     # Lists of one group of near copies mostly have one leader: in one shard a pair comes out of them once.
     shard = F.when(cuts > 1, F.xxhash64("_c.cell")).otherwise(F.xxhash64("leader"))
     entries = entries.withColumn("_c", F.explode(cells)).select(
-        "_c.cell", "node", "root", F.shiftleft("np", 2).bitwiseOR(F.col("_c.side")).alias("np"), "sketch", "met", shard.alias("shard")
+        "_c.cell",
+        "node",
+        "root",
+        F.shiftleft("np", 2).bitwiseOR(F.col("_c.side")).alias("np"),
+        "sketch",
+        "met",
+        shard.alias("shard"),
     )
     shards = max(1, lists.count() // SHARD_ROWS)
     pairs = _candidate_pairs(entries, shards, percent).groupBy("u", "v").agg(F.min("apart").alias("apart"))
     known = rooted.select("node", "root", "mostly")
     for c in "uv":
-        pairs = pairs.join(known.select(*(F.col(x).alias(y) for x, y in (("node", c), ("root", f"r{c}"), ("mostly", f"m{c}")))), c)
+        names = {"node": c, "root": f"r{c}", "mostly": f"m{c}"}
+        pairs = pairs.join(known.withColumnsRenamed(names), c)
     pairs = stage(pairs, "pairs")
 
     near = pairs.groupBy(F.least("ru", "rv"), F.greatest("ru", "rv")).agg(
