@@ -211,6 +211,18 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.nearest_neighbours(df.filter("vec_id > 999"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """An id whose row is there thirty times takes one place only."""
+    vectors = np.random.default_rng(6).normal(size=(60, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(1, (vectors[0] + 0.001).tolist())] * 30
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = neighbours.nearest_neighbours(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    apart = np.sqrt(((vectors - vectors[0]) ** 2).sum(axis=1))
+    apart[0], apart[1] = np.inf, 0.0
+    assert [r.vec_id for r in found] == np.argsort(apart)[:10].tolist()
+
+
 def test_urls(spark):
     urls = ["HTTPS://A.Example.ORG/es/x?q#f", "http://example.org", "no scheme", None, "", "://", "x://h?a/b", "http://poker.com/casino",
             "http://x.net/XXX/1", "http://alphabet.net/betting", "http://y.com/fr/porn", "a://b://c.org/"]
