@@ -211,6 +211,21 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.nearest_neighbours(df.filter("vec_id > 999"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_many_lists(spark, monkeypatch):
+    """Nearly even vectors: far more lists than PROBES hold the true neighbours."""
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 20)
+    vectors = np.random.default_rng(5).normal(size=(6000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    found = neighbours.nearest_neighbours(df, F.col("vec_id") % 15 == 0).collect()
+    hits = 0
+    for q in range(0, 6000, 15):
+        apart = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        apart[q] = np.inf
+        hits += len({r.vec_id for r in found if r.query_id == q} & set(np.argsort(apart)[:10].tolist()))
+    assert hits >= 0.9 * len(found) and len(found) == 4000
+
+
 def test_neighbours_of_repeated_rows(spark):
     """An id whose row is there thirty times takes one place only."""
     vectors = np.random.default_rng(6).normal(size=(60, 4))

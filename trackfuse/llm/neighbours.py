@@ -21,9 +21,14 @@ PART_ROWS = 4_000
 #: A vector joins further lists whose centroids are at most so many times as far as the nearest one, up to COPIES.
 BOUNDARY = 1.15
 COPIES = 6
-#: A query goes through lists whose centroids are at most so many times as far as the nearest one, up to PROBES.
+#: A query goes through lists whose centroids are at most so many times as far as the nearest one, up to PROBES. Both
+#: are the least; they are widened until they hold MISSED of the true neighbours of TRIALS queries at most, each.
 RATIO = 1.5
 PROBES = 48
+TRIALS = 200
+MISSED = 0.02
+#: Wider searches compare all centroids (at most a few thousand) instead of following the graph.
+GRAPH_PROBES = 64
 _SHARD_ROWS = 20_000
 
 
@@ -133,13 +138,41 @@ class CentroidGraph:
             out.append(np.array(chosen, np.int64))
         return out
 
-    def probes_of(self, x: np.ndarray, rows: np.ndarray, least: int) -> list[np.ndarray]:
+    def probes_of(
+        self, x: np.ndarray, rows: np.ndarray, least: int, probes: int = PROBES, ratio: float = RATIO
+    ) -> list[np.ndarray]:
         """The lists a query goes through: by distance ratio, and on until they hold ``least`` rows."""
-        ids, apart = self.search(x, PROBES)
+        if probes <= GRAPH_PROBES:
+            ids, apart = self.search(x, probes)
+        else:
+            apart = _distances(x, self.centroids)
+            ids = np.argsort(apart, axis=1, kind="stable")[:, :probes]
+            apart = np.take_along_axis(apart, ids, axis=1)
         enough = np.cumsum(rows[ids], axis=1) - rows[ids] >= least
-        keep = (apart <= apart[:, :1] * RATIO + 1e-12) | ~enough
+        keep = (apart <= apart[:, :1] * ratio + 1e-12) | ~enough
         return [row[k] for row, k in zip(ids, keep, strict=True)]
 
+    def reach(self, x: np.ndarray, neighbours: list[np.ndarray], missed: float) -> tuple[int, float]:
+        """How many lists, and up to which distance ratio, hold all but a share ``missed`` of each row's neighbours."""
+        places, ratios = [], []
+        for row, own in zip(x, neighbours, strict=True):
+            if not len(own):
+                continue
+            apart = _distances(row[None], self.centroids)[0]
+            order = np.argsort(apart, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            nearest = np.array([place[lists].min() for lists in self.lists_of(own)])
+            places.append(nearest)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = apart[order[nearest]] / apart[order[0]]
+            ratios.append(np.where(nearest == 0, 1.0, ratio))
+        if not places:
+            return PROBES, RATIO
+        places, ratios = np.sort(np.concatenate(places)), np.sort(np.concatenate(ratios))
+        at = min(int(np.ceil(len(places) * (1 - missed))), len(places) - 1)
+        return max(PROBES, int(places[at]) + 1), max(RATIO, float(ratios[at]))
+
 
 def _first_ids(ids: np.ndarray, apart: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` nearest different ids, nearest first; of an id's rows the nearest counts, ties go to the smaller id."""
@@ -154,6 +187,47 @@ def _first_ids(ids: np.ndarray, apart: np.ndarray, k: int) -> np.ndarray:
     return order[np.sort(first)[:k]]
 
 
+def _true_neighbours(rows: DataFrame, queries: list, k: int, id_kind: str) -> list[np.ndarray]:
+    """Vectors of the ``k`` nearest rows of each of a few queries (id, vector), by comparing with all rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (np.array([q["query_id"] for q in queries]), np.array([q["vector"] for q in queries], np.float64))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        askers, y = shared.value
+        best: list[tuple] = [()] * len(y)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                ids, x = part.column(0).to_numpy(zero_copy_only=False), _vectors(part.column(1))
+                every = _distances(y, x)
+                for q in range(len(y)):
+                    own = np.flatnonzero(ids != askers[q])
+                    own = own[_first_ids(ids[own], every[q, own], k)]
+                    found = (ids[own], every[q, own], x[own])
+                    if best[q]:
+                        found = tuple(np.concatenate(c) for c in zip(best[q], found, strict=True))
+                        first = _first_ids(found[0], found[1], k)
+                        found = tuple(c[first] for c in found)
+                    best[q] = found
+        for q, found in enumerate(best):
+            if found and len(found[0]):
+                number = pa.array(np.full(len(found[0]), q))
+                yield pa.RecordBatch.from_arrays(
+                    [number, pa.array(found[0]), pa.array(found[1]), pa.array(list(found[2]), pa.list_(pa.float64()))],
+                    names=["q", "_id", "score", "vector"],
+                )
+
+    near = rows.mapInArrow(run, f"q bigint, _id {id_kind}, score double, vector array<double>")
+    near = near.groupBy("q", "_id").agg(F.min(F.struct("score", "vector")).alias("n"))
+    nearest = Window.partitionBy("q").orderBy("n.score", "_id")
+    near = near.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+    out: list[list] = [[] for _ in queries]
+    for r in near.select("q", "n.vector").collect():  # TRIALS times k
+        out[r["q"]].append(r["vector"])
+    return [np.array(own, np.float64) for own in out]
+
+
 def usable(vector: Column, dim: int | None = None) -> Column:
     """Vectors that take part: not null or empty, of finite numbers, not all zero."""
 
@@ -169,30 +243,60 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _routed(rows: DataFrame, shared, key: str, parts: dict | None, least: int) -> DataFrame:
-    """A row per vector and list; with ``parts`` (rows of each list) as queries, which go to every part of a list."""
+def _posted(rows: DataFrame, shared) -> DataFrame:
+    """A row per vector and list that it is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = object.__new__(CentroidGraph)
         graph.__dict__.update(shared.value)
-        counts = None
-        if parts is not None:
-            counts = np.zeros(len(graph.centroids), np.int64)
-            counts[list(parts)] = list(parts.values())
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                x = _vectors(part.column(1))
-                lists = graph.lists_of(x) if counts is None else graph.probes_of(x, counts, least)
-                owner = np.repeat(np.arange(len(lists)), [len(c) for c in lists])
-                rows_ = pa.array(owner)
+                lists = graph.lists_of(_vectors(part.column(1)))
+                rows_ = pa.array(np.repeat(np.arange(len(lists)), [len(c) for c in lists]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(rows_), part.column(1).take(rows_), pa.array(np.concatenate(lists))],
-                    names=[key, "vector", "list"],
+                    names=["_id", "vector", "list"],
+                )
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"_id {kind}, vector array<double>, list bigint")
+
+
+def _asked(rows: DataFrame, shared, counts: dict, least: int, probes: int, ratio: float, shards: int) -> DataFrame:
+    """A row per query and shard, with the cells (list, part) there that it goes through; ``counts``: rows of each list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph = object.__new__(CentroidGraph)
+        graph.__dict__.update(shared.value)
+        held = np.zeros(len(graph.centroids), np.int64)
+        held[list(counts)] = list(counts.values())
+        parts = np.maximum(-(-held // PART_ROWS), 1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                owners, shard_of, cells = [], [], []
+                for i, lists in enumerate(graph.probes_of(_vectors(part.column(1)), held, least, probes, ratio)):
+                    own = np.repeat(lists, parts[lists])
+                    number = np.arange(len(own)) - np.repeat(np.cumsum(parts[lists]) - parts[lists], parts[lists])
+                    shard = (own + number) % shards
+                    for s in np.unique(shard):
+                        owners.append(i)
+                        shard_of.append(s)
+                        cells.append(np.stack([own[shard == s], number[shard == s]], axis=1).ravel())
+                rows_ = pa.array(owners, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(rows_),
+                        part.column(1).take(rows_),
+                        pa.array(shard_of, pa.int64()),
+                        pa.array(cells, pa.list_(pa.int64())),
+                    ],
+                    names=["query_id", "vector", "shard", "cells"],
                 )
 
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"{key} {kind}, vector array<double>, list bigint")
+    kind = rows.schema["query_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"query_id {kind}, vector array<double>, shard bigint, cells array<bigint>")
 
 
 def nearest_neighbours(
@@ -208,7 +312,9 @@ def nearest_neighbours(
     Centroids are fitted on a bounded sample (``SAMPLE_ROWS``, ``SAMPLE_NUMBERS``) by
     splitting clusters until they are even, and linked into a graph. Every row goes into
     the posting list of its nearest centroid, rows near a boundary into several. A query
-    visits the lists whose centroids are not much farther than the nearest one. Lists of
+    visits the lists whose centroids are not much farther than the nearest one; how many
+    lists and how far is measured, on the true neighbours of ``TRIALS`` of the queries in
+    the whole table, so that recall does not fall as the table and its lists grow. Lists of
     more than ``PART_ROWS`` are searched in parts, so one very full list, or a vector
     that fills a third of the table, is spread. Distances are exact, in double precision;
     ties go to the smaller id, and a row is no neighbour of a query of its own id.
@@ -238,40 +344,45 @@ def nearest_neighbours(
     graph = CentroidGraph(balanced_centroids(sample, -(-len(sample) // n_lists), seed))
     shared = spark.sparkContext.broadcast(vars(graph))
 
-    postings = _routed(rows.select("_id", "vector"), shared, "_id", None, 0)
+    postings = _posted(rows.select("_id", "vector"), shared)
     counts = {r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}  # one row per centroid
     queries = rows.filter(F.coalesce("_query", F.lit(False))).select(F.col("_id").alias("query_id"), "vector")
-    visits = _routed(queries, shared, "query_id", counts, (k + 1) * COPIES)
+    probes, ratio = PROBES, RATIO
+    if len(graph.centroids) > PROBES:
+        trials = queries.orderBy(F.xxhash64("query_id", "vector", F.lit(seed)), "query_id").limit(TRIALS).collect()
+        if trials:
+            near = _true_neighbours(rows.select("_id", "vector"), trials, k, id_kind)
+            probes, ratio = graph.reach(np.array([q["vector"] for q in trials], np.float64), near, MISSED)
+    shards = max(1, sum(counts.values()) // _SHARD_ROWS)
+    visits = _asked(queries, shared, counts, (k + 1) * COPIES, probes, ratio, shards)
 
     wide = [(c, -(-n // PART_ROWS)) for c, n in counts.items() if n > PART_ROWS]
     parts = spark.createDataFrame(wide, "list bigint, parts bigint")
-    shards = max(1, sum(counts.values()) // _SHARD_ROWS)
-
-    def cells(df: DataFrame, part: Column) -> DataFrame:
-        df = df.join(F.broadcast(parts), "list", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
-        df = df.withColumn("part", part)
-        return df.withColumn("shard", F.pmod(F.xxhash64("list", "part"), F.lit(shards))).drop("parts")
-
-    postings = cells(postings, F.pmod(F.xxhash64("_id", "vector"), F.col("parts")))
-    visits = cells(visits, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    postings = postings.join(F.broadcast(parts), "list", "left")
+    part = F.pmod(F.xxhash64("_id", "vector"), F.coalesce("parts", F.lit(1)).cast("long"))
+    postings = postings.withColumn("part", part).withColumn("shard", F.pmod(F.col("list") + F.col("part"), F.lit(shards)))
+    postings = postings.drop("parts")
 
     def search(found: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if found.num_rows and asked.num_rows:
-            cell = [np.stack([t.column(c).to_numpy() for c in ("list", "part")], axis=1) for t in (found, asked)]
-            every, number = np.unique(np.concatenate(cell), axis=0, return_inverse=True)
-            mine, theirs = np.split(number.ravel(), [found.num_rows])
-            x, y = _vectors(found.column("vector")), _vectors(asked.column("vector"))
-            ids, askers = found.column("_id").to_numpy(), asked.column("query_id").to_numpy()
-            by = np.argsort(mine, kind="stable")
-            bounds = np.searchsorted(mine[by], np.arange(len(every) + 1))
-            for q in range(asked.num_rows):
-                own = by[bounds[theirs[q]] : bounds[theirs[q] + 1]]
+            lists, numbers = (found.column(c).to_numpy() for c in ("list", "part"))
+            width = numbers.max() + 1
+            cells = lists * width + numbers
+            by = np.argsort(cells, kind="stable")
+            cells = cells[by]
+            x, y = _vectors(found.column("vector"))[by], _vectors(asked.column("vector"))
+            ids, askers = found.column("_id").to_numpy()[by], asked.column("query_id").to_numpy()
+            for q, own in enumerate(asked.column("cells").to_pylist()):
+                own = np.array(own, np.int64).reshape(-1, 2)
+                own = (own[:, 0] * width + own[:, 1])[own[:, 1] < width]
+                first, last = np.searchsorted(cells, own), np.searchsorted(cells, own, side="right")
+                own = np.concatenate([np.arange(a, b) for a, b in zip(first, last, strict=True)] or [np.arange(0)])
                 own = own[ids[own] != askers[q]]
                 apart = x[own] - y[q]
                 apart = np.sqrt((apart * apart).sum(axis=1))
                 best = _first_ids(ids[own], apart, k)
-                out.append((np.full(len(best), q), own[best], apart[best]))
+                out.append((np.full(len(best), q), by[own[best]], apart[best]))
         at, own, apart = (np.concatenate(c) for c in zip(*out, strict=True)) if out else ([], [], [])
         return pa.Table.from_arrays(
             [
