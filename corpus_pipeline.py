@@ -2,8 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept, which
 is written as Parquet in between. All but the last return the columns of ``documents``.
-Ids are taken to name a row: rows of one id stay or go together, and rows without an id
-are judged like others but never go as a near copy.
+Rows are judged one by one: ids may repeat or be null.
 """
 
 from __future__ import annotations
@@ -28,12 +27,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest id."""
-    found = jaccard_join.near_duplicate_components(docs)
-    copies = stage(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id"), "copies")
-    if fits_broadcast(copies):  # else the texts are shuffled
-        copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the one of the smallest id (null last), then of the smallest text hash.
+
+    Of rows that repeat with id and text one stays, too. Texts without words are no copies.
+    """
+    found = jaccard_join.near_duplicate_components(docs, with_keys=True)
+    found = stage(found.filter("n_shingles > 0").select("doc_id", "text_hash", "group"), "groups")
+    # Rows of one id and text are told apart by no more than their number.
+    each = found.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("times"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    best = each.groupBy("group").agg(F.count("*").alias("several"), F.max("times").alias("most"), F.min(order).alias("best"))
+    best = best.filter("several > 1 OR most > 1")
+    key = {"_id": F.col("doc_id"), "_hash": F.col("text_hash")}
+    judged = each.join(best, "group").withColumn("kept", order.eqNullSafe(F.col("best")))
+    judged = judged.filter("NOT kept OR times > 1").select(*(v.alias(k) for k, v in key.items()), "kept")
+    judged = stage(judged, "copies")
+    if fits_broadcast(judged):  # else the texts are shuffled
+        judged = F.broadcast(judged)
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
+    marked = docs.withColumn("_text_hash", text_hash).join(judged, same, "left")
+    alone = marked.filter("kept IS NULL").select(*docs.columns)
+    once = marked.filter("kept").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    return alone.unionByName(once)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

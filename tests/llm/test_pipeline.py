@@ -41,6 +41,22 @@ def test_one_of_each_group_stays(kept):
     assert {r.doc_id for r in kept["near_copies"]} == wanted
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, null ids and different texts of one id: each component keeps a row, also without its passages."""
+    def text(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(1, text("a")), (1, text("a")), (2, text("b")), (None, text("b")), (None, text("c")), (None, text("c"))]
+    rows += [(4, text("d")), (5, text("d")), (5, text("e")), (None, text("f")), (7, text("g", 50)), (7, text("g", 51))]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], docs.schema)
+    found = corpus_pipeline.near_copies(spark, docs, SMALL)
+    left = sorted((r.text.split()[0], r.doc_id or 0) for r in found.collect())
+    assert left == [("a0", 1), ("b0", 2), ("c0", 0), ("d0", 4), ("e0", 5), ("f0", 0), ("g0", 7)]
+    after = corpus_pipeline.repeated_passages(spark, found, SMALL).collect()
+    assert sorted(r.text for r in after) == sorted(r.text for r in found.collect())
+
+
 def test_passages_go(kept):
     before = {r.doc_id: r for r in kept["near_copies"]}
     texts = [r.text for r in kept["near_copies"]]

@@ -411,6 +411,7 @@ def near_duplicate_components(
     text_col: str = "text",
     shingle: int = SHINGLE,
     percent: int = PERCENT,
+    with_keys: bool = False,
 ) -> DataFrame:
     """Components of documents linked by the Jaccard similarity of their sets of word shingles.
 
@@ -430,6 +431,9 @@ def near_duplicate_components(
        closest one of two components first. So every link between components is found,
        without a limit on partners or list lengths.
 
+    ``with_keys`` adds text_hash (``xxhash64`` of the text, null as empty) and group, which is
+    equal for the rows of one component and no others, also without ids; null for texts without words.
+
     Null texts have no words. Ids may repeat; a null id takes part, and is the component
     only where no id is there. Other columns are ignored; an empty table gives an empty one.
     """
@@ -563,12 +567,16 @@ def near_duplicate_components(
     roots = _grouped(roots, tops)
 
     grouped = sets.select("h1", "h2", "node").join(roots, "node").join(classes.select("h1", "h2", "least"), ["h1", "h2"])
-    least = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    component = grouped.join(least, "root").groupBy("h1", "h2").agg(F.min("component").alias("component"))
+    least = grouped.groupBy("root").agg(F.min("least").alias("component"), F.min(F.struct("h1", "h2")).alias("group"))
+    component = grouped.select("h1", "h2", "root").join(least, "root")
+    component = component.groupBy("h1", "h2").agg(F.min("component").alias("component"), F.min("group").alias("group"))
     named = classes.select("h1", "h2", "least").join(component, ["h1", "h2"], "left")
-    named = named.select("h1", "h2", F.coalesce("component", "least").alias("component_id"))
+    own = F.coalesce("group", F.struct("h1", "h2"))
+    named = named.select("h1", "h2", F.coalesce("component", "least").alias("component_id"), own.alias("group"))
+    keys = [F.col("_hash").alias("text_hash"), "group"] if with_keys else []
     return rows.join(named, ["h1", "h2"], "left").select(
         F.col("_id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
+        *keys,
     )
