@@ -37,7 +37,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     each = found.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("times"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     best = each.groupBy("group").agg(F.count("*").alias("several"), F.max("times").alias("most"), F.min(order).alias("best"))
-    best = best.filter("several > 1 OR most > 1")
+    best = stage(best.filter("several > 1 OR most > 1"), "best")
+    if fits_broadcast(best):  # else a large group is split by the join
+        best = F.broadcast(best)
     key = {"_id": F.col("doc_id"), "_hash": F.col("text_hash")}
     judged = each.join(best, "group").withColumn("kept", order.eqNullSafe(F.col("best")))
     judged = judged.filter("NOT kept OR times > 1").select(*(v.alias(k) for k, v in key.items()), "kept")
