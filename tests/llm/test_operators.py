@@ -181,6 +181,34 @@ def test_languages(spark):
     assert language.identify_languages(spark.createDataFrame([(1, long)], "doc_id int, text string"), model).count() == 1
 
 
+def _labelled(spark, texts):
+    """Rows that are learned from and further ones that are not, for {label: text number -> text}."""
+    rows = [(i, make(i), lang) for n, (lang, make) in enumerate(texts.items()) for i in range(1000 * n, 1000 * n + 40)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+
+def _share_right(df, model=None):
+    model = model or language.learn_languages(df)
+    tested = df.filter(language.held_out("doc_id"))
+    found = language.identify_languages(tested, model).join(df.select("doc_id", "lang"), "doc_id").collect()
+    return np.mean([r.lang_pred == r.lang for r in found])
+
+
+def _prose(first, letters, seed, spaced=True):
+    """A maker of texts of 300 words drawn from 500 that are made of ``letters`` letters from code point ``first`` on."""
+    rng = np.random.default_rng(seed)
+    words = ["".join(chr(first + c) for c in rng.integers(0, letters, rng.integers(2, 6))) for _ in range(500)]
+    return lambda i: (" " if spaced else "").join(np.random.default_rng(i).choice(words, 300))
+
+
+def test_languages_of_many_scripts(spark):
+    """Two languages in each of several scripts, two scripts of thousands of letters among them."""
+    scripts = {"la": (0x61, 26), "cy": (0x430, 32), "gr": (0x3B1, 17), "ar": (0x627, 20), "th": (0xE01, 40), "ka": (0x3041, 80)}
+    texts = {f"{s}{k}": _prose(*at, seed=10 * n + k) for n, (s, at) in enumerate(scripts.items()) for k in range(2)}
+    texts |= {f"{s}{k}": _prose(*at, seed=90 + k + at[1], spaced=False) for s, at in {"zh": (0x4E00, 6000), "ko": (0xAC00, 3000)}.items() for k in range(2)}
+    assert _share_right(_labelled(spark, texts)) >= 0.98
+
+
 def test_neighbours(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PART_ROWS", 40)
     monkeypatch.setattr(neighbours, "LIST_ROWS", 20)

@@ -19,8 +19,6 @@ from trackfuse.llm.words import CHUNK_BYTES, per_worker
 SAMPLE_CHARS = 60_000
 SAMPLE_DOCS = 120
 MAX_LANGUAGES = 200
-#: Letters each language tells apart; rarer ones count as one further letter.
-ALPHABET = 120
 #: A parse starts afresh after so many characters, so that texts of any length are parsed side by side.
 SEGMENT = 256
 UNKNOWN = "und"
@@ -41,16 +39,16 @@ def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(lowered), "<u4").astype(np.int64), sizes
 
 
-def _suffix_automaton(symbols: Sequence[int], n_symbols: int) -> np.ndarray:
-    """Transitions of the smallest automaton of all substrings: a row per state, 0 where none goes on."""
-    moves, length, link, last = [[0] * n_symbols], [0], [-1], 0
+def _suffix_automaton(symbols: Sequence[int]) -> list[dict[int, int]]:
+    """Transitions of the smallest automaton of all substrings, for each state; state 0 is the first."""
+    moves, length, link, last = [{}], [0], [-1], 0
     for c in symbols:
         new = len(moves)
-        moves.append([0] * n_symbols)
+        moves.append({})
         length.append(length[last] + 1)
         link.append(0)
         at = last
-        while at >= 0 and not moves[at][c]:
+        while at >= 0 and c not in moves[at]:
             moves[at][c] = new
             at = link[at]
         if at >= 0:
@@ -59,49 +57,96 @@ def _suffix_automaton(symbols: Sequence[int], n_symbols: int) -> np.ndarray:
                 link[new] = known
             else:
                 copy = len(moves)
-                moves.append(list(moves[known]))
+                moves.append(dict(moves[known]))
                 length.append(length[at] + 1)
                 link.append(link[known])
-                while at >= 0 and moves[at][c] == known:
+                while at >= 0 and moves[at].get(c) == known:
                     moves[at][c] = copy
                     at = link[at]
                 link[known] = link[new] = copy
         last = new
-    return np.array(moves, np.int32)
+    return moves
+
+
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Table:
+    """An automaton's transitions in a hash table, by ``state * width + symbol``; as large as they are many."""
+
+    def __init__(self, moves: list[dict[int, int]], width: int):
+        states = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
+        symbols = np.fromiter((c for m in moves for c in m), np.int64, len(states))
+        to = np.fromiter((t for m in moves for t in m.values()), np.int32, len(states))
+        self.width = width
+        self.start = np.zeros(width, np.int32)
+        self.start[symbols[states == 0]] = to[states == 0]
+        bits = max(4, int(2 * len(states)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.to = np.zeros(1 << bits, np.int32)
+        keys = states * width + symbols
+        at, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            put = free[np.unique(at[free], return_index=True)[1]]
+            self.keys[at[put]], self.to[at[put]] = keys[put], to[put]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _SPREAD) >> self.shift).view(np.int64)
+
+    def next(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a symbol does not go on and begins a new phrase."""
+        keys = states * self.width + symbols
+        at = self._slots(keys)
+        found = self.keys[at]
+        fresh = found != keys
+        to = self.to[at]
+        open_ = np.flatnonzero(fresh & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
+            found = self.keys[at[open_]]
+            hit = open_[found == keys[open_]]
+            fresh[hit], to[hit] = False, self.to[at[hit]]
+            open_ = open_[(found >= 0) & (found != keys[open_])]
+        return np.where(fresh, self.start[symbols], to), fresh
 
 
 @dataclass
 class LanguageModel:
-    """A parsing table per language over one common alphabet.
+    """A parsing table per language; the alphabet has every letter of all learned texts, whatever their scripts.
 
-    ``tables[l][state, symbol]`` is twice the next state, plus one where the symbol does
-    not go on and begins a new phrase. ``sizes[l]`` is the length of the learned text.
+    ``tables[l]`` has the transitions that occur only, so it does not grow with the
+    alphabet. ``sizes[l]`` is the length of the learned text.
     """
 
     names: list[str]
     alphabet: np.ndarray
-    tables: list[np.ndarray]
+    tables: list[Table]
     sizes: list[int]
 
     @staticmethod
-    def learn(samples: dict[str, list[str]], chars: int = SAMPLE_CHARS, alphabet: int = ALPHABET) -> LanguageModel:
+    def learn(samples: dict[str, list[str]], chars: int = SAMPLE_CHARS) -> LanguageModel:
         names = sorted(samples)
         letters = _letter_table()
         codes = {n: _codes(samples[n])[0] for n in names}
-        every = np.concatenate([*codes.values(), np.empty(0, np.int64)])
-        found, counts = np.unique(every[letters[every]], return_counts=True)
-        common = np.sort(found[np.argsort(-counts, kind="stable")][:alphabet])
+        cut = {n: _squeeze(np.where(letters[c], c, -1), -1)[0][:chars] for n, c in codes.items()}
+        every = np.unique(np.concatenate([*cut.values(), np.empty(0, np.int64)]))
+        alphabet = every[every >= 0]
         tables, sizes = [], []
         for name in names:
-            symbols = _squeeze(_symbols(codes[name], common, letters))[0][:chars]
-            moves = _suffix_automaton(symbols.tolist(), len(common) + 2)
-            table = np.where(moves > 0, moves * 2, moves[0][None, :] * 2 + 1).astype(np.int32)
-            tables.append(table)
+            symbols = _symbols(cut[name], alphabet, letters)
+            tables.append(Table(_suffix_automaton(symbols.tolist()), len(alphabet) + 2))
             sizes.append(max(len(symbols), 2))
-        return LanguageModel(names, common, tables, sizes)
+        return LanguageModel(names, alphabet, tables, sizes)
 
     def rates(self, texts: Sequence[str], letters: np.ndarray) -> np.ndarray:
-        """Phrases per symbol, times the bits that name a place in the learned text: a row per text."""
+        """Bits per symbol: a phrase's name a place in the learned text, an unknown letter's also one in the alphabet.
+
+        A row per text. Without the latter a language of little text would be cheap for any text.
+        """
         codes, sizes = _codes(texts)
         symbols, kept = _squeeze(_symbols(codes, self.alphabet, letters))
         ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -116,16 +161,16 @@ class LanguageModel:
         order = np.argsort(-size, kind="stable")
         begin, size, owner = begin[order], size[order], owner[order]
         alive = len(size) - np.searchsorted(size[::-1], np.arange(SEGMENT), side="right")
+        whole = np.repeat(np.arange(len(texts)), lengths)
         for i, (table, learned) in enumerate(zip(self.tables, self.sizes, strict=True)):
-            flat, width = table.ravel(), table.shape[1]
             state, phrases = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
             for step in range(int(size[0]) if len(size) else 0):
                 n = alive[step]
-                to = flat[(state[:n] >> 1) * width + symbols[begin[:n] + step]]
-                phrases[:n] += to & 1
-                state[:n] = to
-            total = np.bincount(owner, phrases + 1, len(texts))
-            out[:, i] = total * np.log2(learned) / np.maximum(lengths, 1)
+                state[:n], fresh = table.next(state[:n], symbols[begin[:n] + step])
+                phrases[:n] += fresh
+            unknown = np.bincount(whole, table.start[symbols] == 0, len(texts))
+            total = np.bincount(owner, phrases + 1, len(texts)) * np.log2(learned) + unknown * np.log2(table.width)
+            out[:, i] = total / np.maximum(lengths, 1)
         return out
 
     def predict(self, texts: Sequence[str], letters: np.ndarray) -> tuple[list[str], list[float]]:
@@ -153,9 +198,9 @@ def _symbols(codes: np.ndarray, alphabet: np.ndarray, letters: np.ndarray) -> np
     return np.where(known, at + 2, np.where(letters[codes], _OTHER, _SPACE))
 
 
-def _squeeze(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _squeeze(symbols: np.ndarray, blank: int = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """One space for each run of what is no letter; also the places kept."""
-    space = symbols == _SPACE
+    space = symbols == blank
     keep = np.flatnonzero(~(space & np.concatenate(([False], space[:-1]))))
     return symbols[keep], keep
 
