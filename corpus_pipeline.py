@@ -21,8 +21,14 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; those of no language (no letter, no text) go."""
-    found = language.identify_languages(docs, language.learn_languages(docs), carry=docs.columns)
+    """Documents in one of the learned languages; those of no language (no letter, no text) go.
+
+    Where no language could be learned, all with a letter stay.
+    """
+    model = language.learn_languages(docs)
+    if not model.names:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = language.identify_languages(docs, model, carry=docs.columns)
     return found.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 

@@ -209,6 +209,29 @@ def test_languages_of_many_scripts(spark):
     assert _share_right(_labelled(spark, texts)) >= 0.98
 
 
+def test_long_and_rare_labels_are_learned(spark, monkeypatch):
+    """Labels of long texts only, and more labels than two hundred."""
+    short = _prose(0x430, 32, 1)
+    long = _prose(0x61, 26, 2)
+    df = _labelled(spark, {"short": short, "long": lambda i: " ".join(long(100 * i + k) for k in range(60))})
+    assert df.filter("lang = 'long'").agg(F.min(F.octet_length("text"))).first()[0] > 60_000
+    assert _share_right(df) == 1
+    makers = {f"l{n:03}": _prose(0x61, 26, 1000 + n) for n in range(205)}
+    rows = [(4 * n + i, make(i)[:900], lang) for n, (lang, make) in enumerate(makers.items()) for i in range(4)]
+    many = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    known = {r.lang for r in many.filter(~language.held_out("doc_id")).select("lang").distinct().collect()}
+    assert set(language.learn_languages(many).names) == known and len(known) > 200
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """A third of a language's rows is one text that sorts first."""
+    copy, make = "aaaa " * 600, _prose(0x62, 25, 3)
+    df = _labelled(spark, {"a": lambda i: copy if i % 3 else make(i), "b": _prose(0x62, 25, 4)})
+    df = df.unionByName(df.filter(F.col("text") == copy).withColumn("doc_id", F.col("doc_id") + 500))
+    model = language.learn_languages(df)
+    assert model.sizes[0] > 15_000 and _share_right(df, model) == 1
+
+
 def test_neighbours(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PART_ROWS", 40)
     monkeypatch.setattr(neighbours, "LIST_ROWS", 20)

@@ -92,6 +92,12 @@ def test_empty_table(spark):
         assert function(spark, docs, SMALL).count() == 0
 
 
+def test_nothing_learned_drops_nothing(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20).withColumn("lang", F.lit(None).cast("string"))
+    wanted = sum(any(c.isalpha() for c in r.text or "") for r in docs.collect())
+    assert corpus_pipeline.language_id(spark, docs, SMALL).count() == wanted > 0
+
+
 def test_each_operator_has_a_query():
     assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 11))
     assert TOKENIZER.endswith(".json") and F is not None

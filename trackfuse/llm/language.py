@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 
 from trackfuse.llm.words import CHUNK_BYTES, per_worker
 
-#: Bounds of the sample that is learned from: characters per language, documents per language, languages.
+#: Bounds of the sample that is learned from: characters per language, documents per language, characters in all (each
+#: of very many languages gets fewer).
 SAMPLE_CHARS = 60_000
 SAMPLE_DOCS = 120
-MAX_LANGUAGES = 200
+SAMPLE_TOTAL = 3_000_000
 #: A parse starts afresh after so many characters, so that texts of any length are parsed side by side.
 SEGMENT = 256
 UNKNOWN = "und"
@@ -220,28 +221,35 @@ def learn_languages(
 ) -> LanguageModel:
     """Learn from a sample of the labelled rows that are not held out.
 
-    The sample is bounded: about ``sample_docs`` whole documents per language, drawn by a
-    hash of their ids, of which ``sample_chars`` characters are learned, for the
-    ``MAX_LANGUAGES`` most frequent labels. Documents over ``sample_chars`` bytes are not
-    drawn. Ties and repeated rows change nothing but the draw.
+    The sample is bounded: about ``sample_docs`` different texts per label, drawn by hash,
+    of which ``sample_chars`` characters are learned in hash order; fewer where
+    ``SAMPLE_TOTAL`` does not suffice for all labels, but every label is learned. Of a long
+    text its beginning is taken: all that may be learned where a label has two texts or
+    one, down to an eighth of it where it has many. Copies count once.
     """
-    usable = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).filter(
-        ~held_out(id_col)
-        & F.col("_lang").isNotNull()
-        & F.col("_text").isNotNull()
-        & (F.octet_length("_text") <= sample_chars)
+    usable = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(lang_col).alias("_lang")).filter(
+        ~held_out(id_col) & F.col("_lang").isNotNull() & F.col("_text").isNotNull()
     )
-    counts = usable.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
+    different = F.approx_count_distinct(F.xxhash64("_text"), 0.02).alias("n")
+    counts = usable.groupBy("_lang").agg(different).collect()  # one row per label
     if not counts:
         return LanguageModel([], np.empty(0, np.int64), [], [])
+    chars = max(1, min(sample_chars, SAMPLE_TOTAL // len(counts)))
     # Small languages come whole; the draw of large ones is widened so as not to fall short.
-    share = F.create_map(*(F.lit(v) for r in counts for v in (r["_lang"], min(1.0, 1.3 * sample_docs / r["count"]))))
-    draw = F.pmod(F.xxhash64(F.lit("draw"), F.col(id_col).cast("string")), F.lit(1 << 30)) / (1 << 30)
-    drawn = usable.filter(draw < share[F.col("_lang")]).select("_lang", "_text").limit(2 * sample_docs * len(counts))
+    shares = [
+        (r["_lang"], min(1.0, 1.3 * sample_docs / max(r["n"], 1)), max(chars // 8, min(chars, 2 * chars // max(r["n"], 1)), 1))
+        for r in counts
+    ]
+    shares = docs.sparkSession.createDataFrame(
+        shares, T.StructType([usable.schema["_lang"]]).add("share", "double").add("piece", "integer")
+    )
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "_text"), F.lit(1 << 30)) / (1 << 30)
+    drawn = usable.withColumn("draw", draw).join(F.broadcast(shares), "_lang").filter("draw < share")
+    drawn = drawn.select("_lang", "draw", F.expr("substring(_text, 1, piece)").alias("_text")).distinct()
     samples: dict[str, list[str]] = {}
     for row in sorted(drawn.collect()):
         samples.setdefault(row["_lang"], []).append(row["_text"] + " ")
-    return LanguageModel.learn(samples, sample_chars)
+    return LanguageModel.learn(samples, chars)
 
 
 def identify_languages(
