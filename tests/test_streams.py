@@ -282,3 +282,23 @@ def test_overwrite_and_metrics(spark, tmp_path):
     assert spark.table("replaced").count() == 2
     metrics_json(spark.sql("SELECT 'm' Model, 0.5 R2"), str(tmp_path / "m"))
     assert len(list((tmp_path / "m").glob("part-*.json"))) == 1
+
+
+def test_console_query_shows_few_rows_and_proves_all(spark, monkeypatch):
+    """Only a few lines come to the driver; a sink that shows other rows gives no result."""
+    from trackfuse.queries import sinks
+
+    folder, real, lines = "/root/testdata/sf0.001", sinks.console_sink, []
+
+    def kept(df, checkpoint, rows, trigger, out, *more):
+        return real(df, checkpoint, rows, trigger, lambda line: (lines.append(line), out(line)), *more)
+
+    monkeypatch.setattr(sinks, "console_sink", kept)
+    stored = spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert sinks.console(spark, folder).count() == stored > len(lines)
+
+    def wrong(df, *more):
+        return real(df.withColumn("o_orderkey", -df.o_orderkey), *more)
+
+    monkeypatch.setattr(sinks, "console_sink", wrong)
+    assert sinks.console(spark, folder).count() == 0

@@ -143,17 +143,21 @@ def console_sink(
     rows: int = 20,
     trigger: Mapping | None = None,
     out: Callable[[str], None] = print,
+    counts: str | None = None,
 ) -> StreamingQuery:
     """Show the first ``rows`` rows of each batch without cutting values, for debugging.
 
     Only those rows reach the driver; the built-in console format would send it the
     whole batch. ``out`` takes a headline and then a line of JSON for each row shown.
+    ``counts`` is a folder to which each batch writes its number of rows (``batch=<id>``).
     """
 
     def show(batch: DataFrame, batch_id: int) -> None:
         out(f"batch {batch_id}")
         for row in batch.limit(rows).toJSON().collect():
             out(row)
+        if counts:
+            batch.agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
 
     writer = df.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
     return with_trigger(writer, trigger).start()
