@@ -271,10 +271,15 @@ def identify_languages(
     Null texts and texts without a letter are ``und`` with score 0. Rows are judged one by
     one, so repeated rows stay; other columns are ignored; an empty table gives an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    # Plain values only: executors need not be able to import this module.
+    plain = vars(model) | {"tables": [vars(t) for t in model.tables]}
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, model = per_worker("letters", _letter_table), LanguageModel(**shared.value)
+        model.tables = [object.__new__(Table) for _ in model.tables]
+        for table, values in zip(model.tables, shared.value["tables"], strict=True):
+            table.__dict__.update(values)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "").to_pylist()
             names, scores, at = [], [], 0
