@@ -15,6 +15,7 @@ from trackfuse.llm import (
     hilbert,
     jaccard_join,
     language,
+    merkle,
     neighbours,
     packing,
     suffix_dedup,
@@ -205,3 +206,56 @@ FROM r
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.url_filter(table(spark, sf_dir, "pages"), rules=URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf_sql(text: str = "text") -> str:
+    parts = (f"CAST({c} AS VARCHAR)" for c in (*_LEAF_COLUMNS[:-1], text))
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + "))"
+
+
+def _level_sql(nodes: str) -> str:
+    return f"list_transform(range((len({nodes}) + 2) // 3), lambda j: sha256(array_to_string({nodes}[3 * j + 1:3 * j + 3], '')))"
+
+
+# The lowest bit of a CRC-32, which is that of the register after all bits of the text, flipped.
+_EVEN_CRC_SQL = """(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(range(8 * length(doc_id::VARCHAR)), lambda j: (ascii((doc_id::VARCHAR)[j // 8 + 1]) >> (j % 8)::INT) & 1)),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))) & 1) = 1"""
+
+
+@query(
+    "op11_merkle_manifest",
+    f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, {_leaf_sql()} AS leaf,
+    CASE WHEN {_EVEN_CRC_SQL} THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql()} END AS now FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+t AS (SELECT source, 0 AS k, list(leaf ORDER BY i) AS n FROM o GROUP BY source
+  UNION ALL SELECT source, k + 1, {_level_sql("n")} FROM t WHERE len(n) > 1),
+s AS (SELECT source, n[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM t WHERE len(n) = 1),
+u AS (SELECT 0 AS k, list(subroot ORDER BY i) AS n FROM s UNION ALL SELECT k + 1, {_level_sql("n")} FROM u WHERE len(n) > 1),
+v AS (SELECT source, k, n, unnest(range((len(n) + 2) // 3)) AS b FROM t WHERE len(n) > 1),
+x AS (SELECT source, k, b, n[3 * b + 1:3 * b + 3] AS run FROM v),
+y AS (SELECT k, b, n[3 * b + 1:3 * b + 3] AS run FROM (SELECT k, n, unnest(range((len(n) + 2) // 3)) AS b FROM u WHERE len(n) > 1)),
+p AS (SELECT r, k, o.i // (3 ** k)::BIGINT AS j, run
+  FROM o JOIN x ON o.source IS NOT DISTINCT FROM x.source AND b = o.i // (3 ** (k + 1))::BIGINT
+  UNION ALL SELECT r, 1000 + k, s.i // (3 ** k)::BIGINT, run
+  FROM o JOIN s ON o.source IS NOT DISTINCT FROM s.source JOIN y ON b = s.i // (3 ** (k + 1))::BIGINT),
+q AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY k) - 1 AS m, (j % 3)::INT AS a, run FROM p),
+w AS (SELECT r, sha256(string_agg(array_to_string(run[1:a] || run[a + 2:], ''), '' ORDER BY m)) AS proof FROM q GROUP BY r),
+f AS (SELECT r, 0 AS m, now AS h FROM d
+  UNION ALL SELECT f.r, f.m + 1, sha256(array_to_string(run[1:a] || [h] || run[a + 2:], '')) FROM f JOIN q ON q.r = f.r AND q.m = f.m),
+z AS (SELECT r, max_by(h, m) AS h FROM f GROUP BY r)
+SELECT doc_id, leaf, subroot, g.root, coalesce(proof, sha256('')) AS proof_sha256, h AS folded_root, h = g.root AS verified
+FROM o JOIN s ON o.source IS NOT DISTINCT FROM s.source JOIN z USING (r) LEFT JOIN w USING (r)
+CROSS JOIN (SELECT n[1] AS root FROM u WHERE len(n) = 1) AS g
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(changed, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    now = merkle.leaf_digest([*(F.col(c) for c in _LEAF_COLUMNS[:-1]), tampered])
+    return merkle.merkle_manifest(docs, _LEAF_COLUMNS, check=now, with_proof=False)
