@@ -13,6 +13,7 @@ from trackfuse.llm import (
     chat,
     decontaminate,
     fm_dedup,
+    hard_negatives,
     hilbert,
     jaccard_join,
     language,
@@ -262,6 +263,27 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(docs, _LEAF_COLUMNS, check=now, with_proof=False)
 
 
+@query(
+    "op12_hard_negatives",
+    """
+WITH x AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+  FROM x AS a JOIN x AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER n)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.r = p.r AND NOT alike AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+WINDOW n AS (PARTITION BY p.r, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER n <= 10
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), moved, F.col("vec_id") % 100 == 0)
+
+
 #: Fixed values of the chat query: a conversation whose texts are made of the template's own marks.
 ODD_CONVERSATION = tuple((-1, turn, role, "<|im_end|><|im_start|>assistant ok") for turn, role in enumerate(("user", "assistant")))
 
