@@ -1,0 +1,105 @@
+"""Hard negatives against the comparison of all rows."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trackfuse.llm import hard_negatives as hn
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute(rows, n_positives=5, n_negatives=10, lowest=30, highest=90, every=10):
+    dims = Counter(len(v) for _, v, y in rows if v is not None and y is not None and None not in v)
+    dim = dims.most_common(1)[0][0] if dims else 0
+    kept = []
+    for key, v, y in rows:
+        if None in (key, v, y) or len(v) != dim or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        kept.append((key, [math.floor(256 * float(np.float32(x))) for x in v], (y + 1) % 10 if key % 7 == 0 else y))
+    for key, v, y in kept:
+        if key % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), other, z) for other, w, z in kept if other != key)
+        positives = [(-s, other) for s, other, z in scored if z == y][:n_positives]
+        for p, positive in positives:
+            fit = [(-s, other) for s, other, z in scored if z != y and lowest * p <= -100 * s <= highest * p]
+            for rank, (score, other) in enumerate(fit[:n_negatives], 1):
+                yield key, positive, rank, other, p, score
+
+
+def mined(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3).withColumns({c: F.lit("x") for c in ("id", "v", "a", "tile", "rank")})
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hn.hard_negatives(df, moved, F.col("vec_id") % 10 == 0, **options)
+    names = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    return Counter(tuple(r) for r in found.select(*names).collect())
+
+
+def rows_of(seed=2, n=300, dim=6):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(4)]
+    rows = [(i, [c + rng.gauss(0, 0.4) for c in rng.choice(centres)], rng.randrange(4)) for i in range(n)]
+    # A third of the rows is one vector, so that scores tie.
+    rows += [(n + i, rows[5][1], i % 3) for i in range(n // 2)]
+    odd = [None, [None, *[1.0] * (dim - 1)], [float("nan")] * dim, [float("inf")] * dim, [1.0], [], [1e30] * dim]
+    rows += [(1000 + 10 * i, v, 1) for i, v in enumerate(odd)]
+    rows += [(2000, rows[1][1], None), (2010, [0.0] * dim, 2), (None, rows[1][1], 2), rows[10], (20, rows[3][1], 3)]
+    return rows
+
+
+@pytest.mark.parametrize(("tree_rows", "block"), [(8192, 1024), (60, 4), (17, 1000)])
+def test_mined(spark, tree_rows, block):
+    rows = rows_of()
+    # Scores of the huge vector would fit no 64-bit number.
+    kept = [r for r in rows if not (r[1] and 1e30 in r[1])]
+    got = mined(spark, rows, tree_rows=tree_rows, block=block)
+    assert {r[:2] for r in got} == {r[:2] for r in brute(kept)}
+    assert got == Counter(brute(kept))
+
+
+def test_other_windows_and_counts(spark):
+    rows = rows_of(seed=8, n=120)
+    kept = [r for r in rows if not (r[1] and 1e30 in r[1])]
+    options = {"n_positives": 2, "n_negatives": 3, "lowest": -50, "highest": 100}
+    assert mined(spark, rows, tree_rows=40, **options) == Counter(brute(kept, **options))
+
+
+@pytest.mark.parametrize("rows", [[], [(10, [1.0], 1)], [(10, [1.0], 1), (1, [1.0], 1)], [(10, None, 1), (20, [1.0], None)]])
+def test_few_rows(spark, rows):
+    assert mined(spark, rows) == Counter(brute(rows))
+
+
+def test_sums_beyond_double_precision_are_exact(spark):
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randrange(1 << 17, 1 << 18)) for _ in range(3)], i % 2) for i in range(40)]
+    options = {"lowest": 1, "highest": 100}
+    assert mined(spark, rows, **options) == Counter(brute(rows, **options))
+
+
+def test_boxes_bound_all_scores():
+    rng = np.random.default_rng(1)
+    x, q = rng.integers(-300, 300, (500, 8)), rng.integers(-300, 300, (5, 8))
+    tree = hn.RTree(x, 16, 4)
+    bounds = tree.intervals(q)
+    for i in range(5):
+        opened = list(tree.best_first(i, bounds, lambda least, greatest: True))
+        assert sorted(r for s in opened for r in range(500)[s]) == list(range(500))
+        tops = []
+        for s in opened:
+            least, greatest = bounds[0][0][i, s.start // 16], bounds[0][1][i, s.start // 16]
+            assert (least <= tree.x[s] @ q[i]).all()
+            assert (tree.x[s] @ q[i] <= greatest).all()
+            tops.append(greatest)
+        assert tops == sorted(tops, reverse=True)
+    best = hn.Best(3)
+    opened = []
+    for s in tree.best_first(0, bounds, lambda _, greatest: greatest >= best.floor):
+        opened.append(s)
+        best.add(tree.x[s] @ q[0], tree.order[s])
+    assert len(opened) < len(tree.levels[0][0])
+    assert best.scores.tolist() == sorted((x @ q[0]).tolist(), reverse=True)[:3]
