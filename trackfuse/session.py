@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     # A join may be split on skew even when that costs a shuffle further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Batches that go to Python workers end at so many bytes, however long the rows are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
