@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import public_tokenizers
@@ -24,6 +25,7 @@ from trackfuse.llm import (
     token_counts,
     url_filter,
 )
+from trackfuse.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,10 +43,14 @@ URL_RULES = (
 
 def query(name: str, sql: str | None = None):
     def register(make):
-        QUERIES[name] = make
+        @functools.wraps(make)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return make(configure(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
-        return make
+        return run
 
     return register
 
