@@ -15,7 +15,7 @@ from trackfuse.llm import decontaminate, jaccard_join, language, packing
 from trackfuse.llm.fm_dedup import kept_words, passages
 from trackfuse.llm.repeats import remove_repeats
 from trackfuse.operators.skew import fits_broadcast
-from trackfuse.session import stage
+from trackfuse.session import configure, stage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -101,6 +101,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
