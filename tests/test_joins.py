@@ -284,3 +284,40 @@ def test_weights_sum_to_one_per_entity(spark):
     got = enrich.inverse_count_weight(df, "k").groupBy("k").agg(F.sum("sample_weight").alias("w")).collect()
     assert len(got) == 4
     assert all(r.w == pytest.approx(1.0) for r in got)
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_broadcast_rows": 0}])
+@pytest.mark.parametrize("epochs", [False, True])
+def test_interval_join_in_the_night_clocks_go_back(spark, rows, bounds, epochs):
+    """01:30 comes twice in this zone; the bounds of the read must mean the right one."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        second = 1_793_514_600.25  # 06:30 UTC, 01:30 for the second time
+        plan = spark.range(1).select(F.lit("a").alias("p"), F.timestamp_seconds(F.lit(second)).alias("planned"))
+        times = [second - 300.5, second + 300, second + 300.25, second + 301, second - 3600 * 2]
+        obs = spark.createDataFrame([("a", t) for t in times], "o string, epoch double")
+        obs = obs.withColumn("seen", F.timestamp_micros((F.col("epoch") * 1_000_000).cast("bigint")))
+        how = {**bounds, "obs_epoch": "epoch"} if epochs else bounds
+        found = interval_join(plan, obs, ("p", "o"), "planned", "seen", 600, 300, **how)
+        assert rows(found, "epoch") == [(second - 300.5,), (second + 300,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("kinds", [("timestamp_ntz", "timestamp_ntz"), ("timestamp", "timestamp_ntz"), ("timestamp_ntz", "timestamp")])
+def test_interval_join_of_zone_less_times(spark, rows, kinds):
+    """In the night clocks go forward, with bounds and bins, each way gives what the plain condition gives."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        night = dt.datetime(2026, 3, 8)
+        plans = [("a", night + dt.timedelta(minutes=m)) for m in range(0, 360, 35)]
+        seen = [("a", night + dt.timedelta(minutes=m)) for m in range(0, 360, 7)]
+        plan = spark.createDataFrame(plans, "p string, planned timestamp_ntz").withColumn("planned", F.col("planned").cast(kinds[0]))
+        obs = spark.createDataFrame(seen, "o string, seen timestamp_ntz").withColumn("seen", F.col("seen").cast(kinds[1]))
+        within = F.expr("seen BETWEEN planned - INTERVAL 900 SECOND AND planned + INTERVAL 900 SECOND")
+        wanted = rows(plan.join(obs, (F.col("p") == F.col("o")) & within), "planned", "seen")
+        assert rows(interval_join(plan, obs, ("p", "o"), "planned", "seen", 900, 900), "planned", "seen") == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -69,3 +69,15 @@ def non_finite_to_null(df: DataFrame) -> DataFrame:
 def parse_date(text: Column) -> Column:
     """Date written in a string; null where there is none."""
     return F.try_to_date(text)
+
+
+def clock_micros(ts: Column, kind: T.DataType) -> Column:
+    """Microseconds that rise with the time, for comparing times of one ``kind`` in any session zone.
+
+    A timestamp counts from the epoch. A zone-less time is read as it stands, as if clocks never
+    changed: as an instant of the session's zone it could come out before an earlier one.
+    """
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(ts.cast("timestamp"))
+    seconds = F.unix_date(ts.cast("date")).cast("bigint") * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return seconds * 1_000_000 + F.date_format(ts, "SSSSSS").cast("bigint")

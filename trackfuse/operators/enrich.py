@@ -56,10 +56,21 @@ def mean_of_means(averages: DataFrame, col: str) -> Column:
     return averages.select(F.avg(col)).scalar()
 
 
-def key_average_join(df: DataFrame, averages: DataFrame, key: str, col: str, **join) -> DataFrame:
-    """Left join to a stored table of per-key means; gaps get the mean of the means."""
-    joined = sized_join(df, averages.select(key, col), [key], "left", **join)
-    return joined.withColumn(col, F.coalesce(F.col(col), mean_of_means(averages, col)))
+def key_average_join(
+    df: DataFrame, averages: DataFrame, key: str, col: str, fold: str | None = None, **join
+) -> DataFrame:
+    """Left join to a stored table of per-key means; gaps get the mean of the means.
+
+    With ``fold``, a column of both sides, the means are those of ``out_of_fold_averages``: a row
+    gets its key's mean for its own fold, and a gap the mean of the means for that fold.
+    """
+    if fold is None:
+        joined = sized_join(df, averages.select(key, col), [key], "left", **join)
+        return joined.withColumn(col, F.coalesce(F.col(col), mean_of_means(averages, col)))
+    joined = sized_join(df, averages.select(key, fold, col), [key, fold], "left", unique_right=True, **join)
+    gaps = averages.groupBy(fold).agg(F.avg(col).alias("mean"))  # one row per fold
+    gaps = gaps.agg(F.map_from_entries(F.collect_list(F.struct(fold, "mean")))).scalar()
+    return joined.withColumn(col, F.coalesce(F.col(col), F.try_element_at(gaps, F.col(fold))))
 
 
 def inverse_count_weight(

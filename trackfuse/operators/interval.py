@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackfuse.functions.features import clock_micros
 from trackfuse.operators.skew import (
     MAX_BROADCAST_BYTES,
     MAX_BROADCAST_ROWS,
@@ -18,6 +21,7 @@ from trackfuse.operators.skew import (
 from trackfuse.session import stage
 
 DAY = 24 * 3600
+EPOCH = datetime.datetime(1970, 1, 1)
 BINS_PER_WINDOW = 2
 # A repeated plan row is a row of join state in a stream, so bins are wider there.
 STREAM_BINS_PER_WINDOW = 1
@@ -41,9 +45,16 @@ def drop_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(keys) if df.isStreaming else df.dropDuplicates(keys)
 
 
-def _bin(ts: Column, width: int) -> Column:
-    # Any monotone bin number will do: both sides use the same one.
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(width)).cast("long")
+def _bin(ts: Column, width: int, kind: T.DataType) -> Column:
+    # Any bin number that rises with the time will do: both sides use the same one.
+    return F.floor(clock_micros(ts.cast(kind), kind) / F.lit(width * 1_000_000)).cast("long")
+
+
+def _literal(micros: int, kind: T.DataType) -> Column:
+    """The time ``clock_micros`` gave, as a constant that reaches the scan."""
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_micros(F.lit(micros))
+    return F.lit(str(EPOCH + datetime.timedelta(microseconds=micros))).cast("timestamp_ntz")
 
 
 def interval_join(
@@ -74,8 +85,9 @@ def interval_join(
     where it is itself a query.
 
     In a batch the earliest and latest window, measured with the plan's size, bound the
-    observations that are read at all. The bounds are literals of the time column's type;
-    where it is derived from a stored column of epoch seconds, name that as ``obs_epoch``.
+    observations that are read at all. The bounds are instants, whatever the session's zone, or zone-less
+    times where both sides have such; where the time is derived from a stored column of epoch
+    seconds, name that as ``obs_epoch``.
 
     With ``delay`` both sides are streams: the watermark sits on the very columns of the
     range condition, so rows leave the state once no partner can come. A plan is kept once
@@ -95,7 +107,10 @@ def interval_join(
     streaming = plan.isStreaming or obs.isStreaming
     bins = STREAM_BINS_PER_WINDOW if streaming else BINS_PER_WINDOW
     width = max((before + after) // bins, 1)
-    first, last = F.col(plan_ts) - seconds(before), F.col(plan_ts) + seconds(after)
+    # Spark compares a zone-less time with a timestamp as timestamps.
+    zone_less = all(isinstance(side.schema[c].dataType, T.TimestampNTZType) for side, c in ((plan, plan_ts), (obs, obs_ts)))
+    kind = T.TimestampNTZType() if zone_less else T.TimestampType()
+    first, last = (F.col(plan_ts) - seconds(before)).cast(kind), (F.col(plan_ts) + seconds(after)).cast(kind)
     in_range = (F.col(obs_ts) >= first) & (F.col(obs_ts) <= last)
 
     if stage_plan and not streaming:
@@ -105,26 +120,25 @@ def interval_join(
         size = plan.agg(
             F.count("*").alias("rows"),
             stored_width(plan).alias("bytes"),
-            F.min(first).cast("string").alias("first"),
-            F.max(last).cast("string").alias("last"),
+            F.min(clock_micros(first, kind)).alias("first"),
+            F.max(clock_micros(last, kind)).alias("last"),
         ).first()
         # Each plan row comes back once per bin it touches.
         broadcast_plan = size.rows <= max_broadcast_rows // (bins + 2) and (size.bytes or 0) <= MAX_BROADCAST_BYTES // (bins + 2)
         if size["first"] is not None:
-            kind = obs.schema[obs_ts].dataType
-            lower, upper = (F.lit(size[c]).cast(kind) for c in ("first", "last"))
-            obs = obs.filter((F.col(obs_ts) >= lower) & (F.col(obs_ts) <= upper))
-            if obs_epoch:
-                from_, to = (F.unix_seconds(F.lit(size[c]).cast("timestamp")) for c in ("first", "last"))
+            seen_at = F.col(obs_ts) if obs.schema[obs_ts].dataType == kind else F.col(obs_ts).cast(kind)
+            obs = obs.filter((seen_at >= _literal(size["first"], kind)) & (seen_at <= _literal(size["last"], kind)))
+            if obs_epoch and not zone_less:  # whole seconds that hold the bounds, as epochs may have fractions
+                from_, to = size["first"] // 1_000_000, -(-size["last"] // 1_000_000)
                 obs = obs.filter((F.col(obs_epoch) >= from_) & (F.col(obs_epoch) <= to))
     plans = (
         plan.filter(F.col(plan_id).isNotNull() & F.col(plan_ts).isNotNull())
-        .withColumn("_bin", F.explode(F.sequence(_bin(first, width), _bin(last, width))))
+        .withColumn("_bin", F.explode(F.sequence(_bin(first, width, kind), _bin(last, width, kind))))
         .withColumn("_id", F.col(plan_id))
     )
     seen = (
         obs.filter(F.col(obs_id).isNotNull() & F.col(obs_ts).isNotNull())
-        .withColumn("_bin", _bin(F.col(obs_ts), width))
+        .withColumn("_bin", _bin(F.col(obs_ts), width, kind))
         .withColumn("_id", F.col(obs_id))
     )
     keys = ["_id", "_bin"]

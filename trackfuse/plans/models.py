@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trackfuse.functions.draws import fold_of
 from trackfuse.functions.features import entity_id
 from trackfuse.learning.stages import KINDS
 from trackfuse.learning.train import (
@@ -21,6 +22,7 @@ from trackfuse.learning.train import (
     save_model,
     score,
 )
+from trackfuse.operators.averages import out_of_fold_join
 from trackfuse.operators.enrich import inverse_count_weight
 from trackfuse.operators.sampling import bootstrap_sample, random_split
 from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL, PREDICTION_TABLE, PREDICTIONS
@@ -36,6 +38,8 @@ from trackfuse.streaming.sinks import (
 )
 
 ENTITY = ("ident", "origin_airport_icao", "scheduled_out")
+#: The average of the label among the features, and what it is the average of.
+AVERAGED = ("operator", "operator_avg_departure_delay")
 
 
 def training_rows(
@@ -46,15 +50,23 @@ def training_rows(
     categorical: Sequence[str] = CATEGORICAL,
     numerical: Sequence[str] = NUMERICAL,
     label: str = LABEL,
+    folds: int | None = None,
+    averaged: tuple[str, str] = AVERAGED,
 ) -> DataFrame:
     """Bootstrap, entity id and weight, in this order: the weights count drawn copies.
 
-    The draw is written once, because counting and weighting both read it.
+    The draw is written once, because counting and weighting both read it. The stored averages
+    of the label hold the row's own label, which at scoring time nobody knows. With ``folds``
+    the column ``averaged`` (its key, and its name) is made anew from entities of other folds.
     """
-    columns = [*entity, *categorical, *numerical, label]
-    drawn = stage(bootstrap_sample(features.select(*dict.fromkeys(columns)), fraction, seed), "drawn")
-    named = drawn.withColumn("flight_id", entity_id(*(F.col(c) for c in entity)))
-    return inverse_count_weight(named, "flight_id", "sample_weight")
+    columns = [*entity, *categorical, *numerical, label, *(averaged if folds else ())]
+    rows = features.select(*dict.fromkeys(columns)).withColumn("flight_id", entity_id(*(F.col(c) for c in entity)))
+    if folds:
+        key, name = averaged
+        rows = stage(rows.drop(name).withColumn("_fold", fold_of("flight_id", folds)), "folded")
+        rows = out_of_fold_join(rows, key, label, "_fold", folds, name).drop("_fold")
+    drawn = stage(bootstrap_sample(rows, fraction, seed), "drawn")
+    return inverse_count_weight(drawn, "flight_id", "sample_weight")
 
 
 def train_all(
@@ -71,16 +83,17 @@ def train_all(
     fraction: float = 1.0,
     seeds: tuple[int, int] = (42, 45),
     parts: tuple[DataFrame, DataFrame] | None = None,
+    folds: int | None = None,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit, save and evaluate each kind on one split; returns the models and the report.
 
     Columns, label, entity, drawn fraction and the seeds of draw and split are the
-    caller's. ``parts`` hands in (training, held-out) rows with a ``sample_weight`` instead.
+    caller's; ``folds`` keeps a row's own label out of the averages (``training_rows``). ``parts`` hands in (training, held-out) rows with a ``sample_weight`` instead.
     Rows are indexed and filled once for all kinds, and one pass over the held-out rows
     evaluates all of them. Rows without a label are left out; the report counts them.
     """
     if parts is None:
-        rows = training_rows(features, fraction, seeds[0], entity, categorical, numerical, label)
+        rows = training_rows(features, fraction, seeds[0], entity, categorical, numerical, label, folds)
         parts = random_split(rows, test, seeds[1], split_by="flight_id" if by_entity else None)
     train, held_out = parts
     stamp = run_stamp()

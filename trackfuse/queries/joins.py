@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trackfuse.functions.draws import fold_of
+from trackfuse.operators.averages import as_of_average, out_of_fold_join
 from trackfuse.operators.enrich import (
     calendar_flag,
     id_map_left,
@@ -234,3 +236,86 @@ def newest_of_each(spark, sf):
 @query("t2_latest_n", "SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10")
 def newest(spark, sf):
     return latest_n(table(spark, sf, "orders"), "o_orderdate", 10, ["o_orderkey"])
+
+
+# Orders of the lowest priority are filed under none; pending ones have no price yet. A customer's orders are in one fold.
+_FOLDS = 5
+_FOLD_ROWS = f"""SELECT o_orderkey, o_custkey, nullif(o_orderpriority, '5-LOW') AS kind,
+      CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price,
+      (CAST('0x' || substr(md5('45|' || o_custkey), 1, 8) AS BIGINT) % {_FOLDS})::INT AS fold FROM orders"""
+
+
+def _folded(spark, sf):
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("kind"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"),
+        fold_of("o_custkey", _FOLDS).alias("fold"),
+    )
+
+
+_OUT_OF_FOLD_SQL = f"""WITH o AS ({_FOLD_ROWS}),
+    m AS (SELECT f.fold, o.kind, avg(price) AS mean FROM range({_FOLDS}) AS f(fold) JOIN o ON o.fold <> f.fold GROUP BY f.fold, o.kind),
+    g AS (SELECT fold, avg(mean) AS mean FROM m GROUP BY fold)
+    SELECT o_orderkey, o.fold, round(coalesce(m.mean, g.mean), 4) AS mean
+    FROM o LEFT JOIN m ON m.fold = o.fold AND m.kind = o.kind LEFT JOIN g ON g.fold = o.fold"""
+
+
+def _out_of_fold(spark, sf, **how):
+    joined = out_of_fold_join(_folded(spark, sf), "kind", "price", "fold", _FOLDS, "mean", **how)
+    return joined.select("o_orderkey", "fold", F.round("mean", 4).alias("mean"))
+
+
+@query("a1_out_of_fold", _OUT_OF_FOLD_SQL)
+def out_of_fold(spark, sf):
+    return _out_of_fold(spark, sf)
+
+
+@query("a1_out_of_fold_salted", _OUT_OF_FOLD_SQL)
+def out_of_fold_salted(spark, sf):
+    return _out_of_fold(spark, sf, max_rows=0, min_rows=100)
+
+
+@query(
+    "a1_out_of_fold_rare",
+    f"""WITH o AS (SELECT *, o_custkey AS k FROM ({_FOLD_ROWS})),
+        m AS (SELECT f.fold, k, avg(price) AS mean FROM range({_FOLDS}) AS f(fold) JOIN o ON o.fold <> f.fold
+              WHERE price IS NOT NULL GROUP BY f.fold, k),
+        g AS (SELECT fold, avg(mean) AS mean FROM m GROUP BY fold)
+        SELECT o_orderkey, round(g.mean, 4) AS mean FROM o JOIN g ON g.fold = o.fold""",
+)
+def out_of_fold_rare(spark, sf):
+    """A key that is the entity itself: other folds never know it, so every row gets the mean of their means."""
+    rows = out_of_fold_join(_folded(spark, sf), "o_custkey", "price", "fold", _FOLDS, "mean")
+    return rows.select("o_orderkey", F.round("mean", 4).alias("mean"))
+
+
+# A delay, a whole number, so that sums are exact in any order, is known a month after the order.
+_AS_OF_SQL = """WITH o AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS kind, o_orderdate AS ts,
+        CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 120 * 60 END AS delay FROM orders),
+    u AS (SELECT o_orderkey, kind, ts, NULL AS v FROM o UNION ALL SELECT NULL, kind, ts + INTERVAL 30 DAY, delay FROM o WHERE delay IS NOT NULL)
+    SELECT o_orderkey, kind, round(mean, 9) AS mean FROM (SELECT o_orderkey, kind, avg(v) OVER (PARTITION BY kind ORDER BY ts
+      RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS mean FROM u) WHERE o_orderkey IS NOT NULL"""
+
+
+def _as_of(spark, sf, **how):
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("kind"),
+        F.col("o_orderdate").alias("ts"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey") % 120 * 60).alias("delay"),
+    )
+    known = rows.withColumn("known", F.col("ts") + F.expr("INTERVAL 30 DAYS"))
+    found = as_of_average(rows, known, "kind", "delay", "ts", "known", "mean", **how)
+    return found.select("o_orderkey", "kind", F.round("mean", 9).alias("mean"))
+
+
+@query("a1_as_of_average", _AS_OF_SQL)
+def as_of(spark, sf):
+    return _as_of(spark, sf)
+
+
+@query("a1_as_of_average_salted", _AS_OF_SQL)
+def as_of_salted(spark, sf):
+    return _as_of(spark, sf, width=30 * DAY, max_rows=0, min_rows=100)
