@@ -21,6 +21,7 @@ LONG = {
     "e1_ingest_positions",
     "e1_ingest_schedule",
     "e2_features_stream",
+    "e2_features_versioned",
     "e3_score_stream",
     "e3_score_stream_shared",
     "e3_train_score",

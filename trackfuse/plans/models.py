@@ -25,6 +25,7 @@ from trackfuse.learning.train import (
 from trackfuse.operators.averages import out_of_fold_join
 from trackfuse.operators.enrich import inverse_count_weight
 from trackfuse.operators.sampling import bootstrap_sample, random_split
+from trackfuse.plans.features import AVERAGED
 from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL, PREDICTION_TABLE, PREDICTIONS
 from trackfuse.session import stage
 from trackfuse.streaming.sinks import (
@@ -38,8 +39,6 @@ from trackfuse.streaming.sinks import (
 )
 
 ENTITY = ("ident", "origin_airport_icao", "scheduled_out")
-#: The average of the label among the features, and what it is the average of.
-AVERAGED = ("operator", "operator_avg_departure_delay")
 
 
 def training_rows(

@@ -11,9 +11,12 @@ from trackfuse.queries.domain import HOLIDAYS_SQL, holidays
 from trackfuse.queries.joins import PAIRS_SQL, purchases_and_clicks
 from trackfuse.queries.learning import LINE_SQL
 from trackfuse.queries.registry import ONCE, no_zone, query, replay, stream, table
-from trackfuse.session import new_name, new_path, stage
+from trackfuse.session import file_system, new_name, new_path, stage
 from trackfuse.sources.scans import table_scan, table_stream
+from trackfuse.streaming.averages import drop_merged, keep_averages, kept_averages, merge_averages
+from trackfuse.streaming.progress import batch_progress, watch_batches
 from trackfuse.streaming.sinks import append_files, append_stream, finish, overwrite_table
+from trackfuse.streaming.versions import publish_version, read_version, versioned_join, versions_used
 
 
 @query("x1_watermark", "SELECT event_id, ts, user_id, value FROM events")
@@ -189,3 +192,91 @@ def stream_scores(spark, sf):
     scored = score(model, stream(spark, sf, "lineitem"))
     rounded = scored.select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("prediction"))
     return replay(rounded, "x7")
+
+
+def _forget_last_batch(spark, checkpoint):
+    """As after a crash: the last batch has written its rows, but nobody noted that it was done."""
+    fs, commits = file_system(spark, f"{checkpoint}/commits")
+    numbers = [int(f.getPath().getName()) for f in fs.listStatus(commits) if f.getPath().getName().isdigit()]
+    fs.delete(commits.suffix(f"/{max(numbers)}"), False)
+
+
+@query("a1_incremental_average", "SELECT event_type, round(avg(value), 4) AS mean FROM events GROUP BY event_type")
+def incremental(spark, sf):
+    """Three parts, each a run of its own; the second is run twice, and older batches are merged in between."""
+    path, checkpoint = new_path(spark, "a1_kept"), new_path(spark, "a1_checkpoint")
+    step = _arrivals(spark, sf, "a1")
+
+    def run(events):
+        finish(keep_averages(events, "event_type", "value", path, checkpoint, ONCE))
+
+    step(run, "ts < '2024-01-10'")
+    step(run, "ts >= '2024-01-10' AND ts < '2024-01-20'")
+    _forget_last_batch(spark, checkpoint)
+    step(run, "ts >= '2024-01-20'")
+    merge_averages(spark, path)
+    drop_merged(spark, path)
+    return kept_averages(spark, path, "event_type", "mean").withColumn("mean", F.round("mean", 4))
+
+
+@query(
+    "x3_versioned_static",
+    """WITH m AS (SELECT 1 AS version, event_type, avg(value) AS mean FROM events WHERE ts < '2024-01-16' GROUP BY event_type
+               UNION ALL SELECT 2, event_type, avg(value) FROM events GROUP BY event_type)
+       SELECT event_id, version::BIGINT AS version, round(mean, 4) AS mean FROM events
+       JOIN m ON m.event_type = events.event_type AND version = CASE WHEN ts < '2024-01-16' THEN 1 ELSE 2 END""",
+)
+def versioned(spark, sf):
+    """New averages are published between two batches; the second batch is run again after a third publication."""
+    events = table(spark, sf, "events")
+    means, folder, out, checkpoint = (new_path(spark, f"x3_{n}") for n in ("means", "in", "out", "checkpoint"))
+
+    def publish(history):
+        publish_version(key_average(history, "event_type", "value", "mean"), means)
+
+    def enrich(batch, means):
+        return key_average_join(batch, means, "event_type", "mean").select("event_id", F.round("mean", 4).alias("mean"))
+
+    def run(part):
+        if part:
+            events.filter(part).write.mode("append").parquet(folder)
+        arriving = table_stream(spark, folder, events.schema)
+        finish(versioned_join(arriving, {"means": means}, enrich, out, checkpoint, ONCE))
+
+    publish(events.filter("ts < '2024-01-16'"))
+    run("ts < '2024-01-16'")
+    publish(events)
+    run("ts >= '2024-01-16'")
+    publish(events.limit(0))
+    _forget_last_batch(spark, f"{checkpoint}/stream")
+    run(None)
+    assert read_version(spark, means).isEmpty()
+    written_ = spark.read.schema("event_id bigint, mean double, batch bigint").parquet(out)
+    return written_.join(versions_used(spark, checkpoint), "batch").select("event_id", "version", "mean")
+
+
+@query(
+    "x4_late_counts",
+    """SELECT count(*) + count(*) FILTER (ts < '2024-01-15') AS rows_in, count(*) FILTER (ts < '2024-01-15') AS dropped_late FROM events""",
+)
+def late_counts(spark, sf):
+    """The old events arrive once more, after the mark has passed them: so many were dropped."""
+    told, out, checkpoint = (new_path(spark, f"x4_{n}") for n in ("progress", "out", "checkpoint"))
+    step = _arrivals(spark, sf, "x4")
+    queries = set()
+
+    def run(events):
+        once = drop_repeats(watermark(events, "ts", "8 hours"), ["event_id"])
+        running = append_files(once, out, checkpoint, trigger=ONCE)
+        finish(running)
+        listener.wait_for(running)
+        queries.add(running.id)
+
+    listener = watch_batches(spark, told)
+    try:
+        step(run, "ts < '2024-01-20'")
+        step(run, "ts >= '2024-01-20' OR ts < '2024-01-15'")
+    finally:
+        spark.streams.removeListener(listener)
+    rows = batch_progress(spark, told).filter(F.col("query").isin(*queries))
+    return rows.agg(F.sum("rows_in").alias("rows_in"), F.sum("dropped_late").alias("dropped_late"))

@@ -87,10 +87,15 @@ def remove_run(spark: SparkSession, name: str) -> bool:
     return _remove(spark, f"{work_dir(spark)}/{name}")
 
 
+def file_system(spark: SparkSession, place: str) -> tuple:
+    """Hadoop's client of the store that ``place`` is in, and the path; any store that Spark can write to."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def _remove(spark: SparkSession, folder: str) -> bool:
-    # The shared folder may be in any store Spark can write to, so its own client removes.
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    fs, path = file_system(spark, folder)
+    return fs.delete(path, True)
 
 
 def new_name(prefix: str) -> str:
