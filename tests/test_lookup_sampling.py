@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackfuse.operators.lookup import latest_for_key, latest_n, latest_per_key
-from trackfuse.operators.sampling import bootstrap_sample, random_split
+from trackfuse.operators.sampling import bootstrap_sample, poisson_bootstrap, random_split
 
 SCORED = [("a", 1, 1, 0.5), ("a", 3, 1, float("nan")), ("a", 3, 2, float("inf")), ("b'", None, 9, 1.0), ("c", 2, 5, 2.0)]
 
@@ -62,3 +62,38 @@ def test_split_is_a_partition(spark, by):
 def test_split_ends(spark):
     assert random_split(spark.range(100), 0.0)[1].count() == 0
     assert random_split(spark.range(100), 1.0)[0].count() == 0
+
+
+MANY = [("a", 1.5)] * 700 + [("b", None)] * 5 + [(None, 2.0)] * 4 + [(f"c{i}", float(i)) for i in range(3000)]
+
+
+def drawn_rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_poisson_bootstrap_does_not_depend_on_partitions(spark):
+    df = spark.createDataFrame(MANY, "k string, v double")
+    first = drawn_rows(poisson_bootstrap(df))
+    for other in (df.repartition(7), df.orderBy(F.rand(2)).coalesce(1)):
+        assert drawn_rows(poisson_bootstrap(other)) == first
+        assert drawn_rows(poisson_bootstrap(other, part_rows=13)) == first
+    assert first != drawn_rows(poisson_bootstrap(df, seed=43))
+    assert set(first) <= set(MANY) and abs(len(first) - len(MANY)) < 6 * len(MANY) ** 0.5
+    assert abs(first.count(("a", 1.5)) - 700) < 6 * 700**0.5
+    assert 0.33 < 1 - len({k for k, _ in first if k and k[0] == "c"}) / 3000 < 0.41  # 1 / e are left out
+
+
+def test_poisson_bootstrap_by_a_key(spark):
+    df = spark.range(5000).withColumn("v", F.rand(1))
+    drawn = poisson_bootstrap(df, 0.5, by=["id"])
+    assert "Exchange" not in drawn._jdf.queryExecution().executedPlan().toString()
+    assert abs(drawn.count() - 2500) < 6 * 2500**0.5
+    assert drawn_rows(drawn.select("id")) == drawn_rows(poisson_bootstrap(df.select("id"), 0.5, by=["id"]))
+
+
+def test_poisson_bootstrap_ends(spark):
+    df = spark.range(1000)
+    assert poisson_bootstrap(df, 0.0).count() == 0 and poisson_bootstrap(df.limit(0)).count() == 0
+    assert abs(poisson_bootstrap(df, 30.0).count() - 30_000) < 6 * 30_000**0.5
+    with pytest.raises(ValueError, match="draws"):
+        poisson_bootstrap(df, -1.0)

@@ -21,6 +21,7 @@ from trackfuse.streaming.sinks import (
     metrics_json,
     multi_sink,
     overwrite_table,
+    remove_versions,
 )
 
 ONCE = {"availableNow": True}
@@ -302,3 +303,59 @@ def test_console_query_shows_few_rows_and_proves_all(spark, monkeypatch):
 
     monkeypatch.setattr(sinks, "console_sink", wrong)
     assert sinks.console(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("managed", [True, False])
+def test_overwriting_a_partitioned_table(spark, tmp_path, rows, managed):
+    schema = spark.createDataFrame([], "a int, p string, q int").schema
+    name, root = f"over{int(managed)}.t", None if managed else str(tmp_path / "store")
+    ensure_tables(spark, {name: schema}, root=root, partition_by={name: ["p", "q"]})
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'x', 1), (2, 'y', 1), (3, NULL, 2)")
+    old = spark.table(name)
+    assert len(old.inputFiles()) == 3
+    path = str(tmp_path / "versions")
+    # Columns come in any order; the table keeps its own.
+    overwrite_table(spark.createDataFrame([("z", 9, 4), (None, 7, 5)], "p string, q int, a int"), name, path=path)
+    assert spark.table(name).columns == ["a", "p", "q"]
+    assert rows(spark.table(name)) == [(4, "z", 9), (5, None, 7)]
+    assert len(rows(old)) == 3
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["p", "q"]
+    spark.sql(f"INSERT INTO {name} VALUES (6, 'w', 1)")
+    assert rows(spark.table(name)) == [(4, "z", 9), (5, None, 7), (6, "w", 1)]
+    for i in range(3):
+        overwrite_table(spark.createDataFrame([(i, "z", 9)], schema), name, path=path)
+    assert len(remove_versions(spark, name, keep=1)) == 2 and remove_versions(spark, name, keep=1) == []
+    assert rows(spark.table(name)) == [(2, "z", 9)]
+    # Other columns, or other partitions: the table is made anew, and readers keep what they had.
+    old = spark.table(name)
+    assert old.inputFiles()
+    overwrite_table(spark.createDataFrame([(1, 2.0)], "p int, b double"), name, path=path, partition_by=["p"])
+    assert rows(spark.table(name)) == [(2.0, 1)] and rows(old) == [(2, "z", 9)]
+    overwrite_table(spark.createDataFrame([(1, 2.0)], "p int, b double"), name, path=path, partition_by=[])
+    assert not any(c.isPartition for c in spark.catalog.listColumns(name))
+    assert rows(spark.table(name)) == [(1, 2.0)]
+
+
+def test_readers_of_a_managed_table_outlive_other_columns(spark, tmp_path, rows):
+    ensure_tables(spark, {"over2.t": spark.createDataFrame([], "a int").schema})
+    spark.sql("INSERT INTO over2.t VALUES (1)")
+    old = spark.table("over2.t")
+    assert old.inputFiles()
+    overwrite_table(spark.createDataFrame([("x",)], "b string"), "over2.t", path=str(tmp_path / "v"))
+    assert rows(old) == [(1,)] and rows(spark.table("over2.t")) == [("x",)]
+
+
+def test_partitions_listed_by_the_catalog_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x")], "a int, p string")
+    df.write.partitionBy("p").saveAsTable("listed_by_catalog")
+    with pytest.raises(ValueError, match="catalog lists"):
+        overwrite_table(df, "listed_by_catalog", path=str(tmp_path))
+
+
+def test_a_stream_appends_to_a_partitioned_table_that_is_replaced_later(spark, tmp_path, rows):
+    put(spark, tmp_path / "in", [("a", 1), ("b", 2)], "p string, n int")
+    feed = table_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    finish(append_stream(feed, "appended_parts", str(tmp_path / "ck"), path=str(tmp_path / "t"), trigger=ONCE, partition_by=["p"]))
+    assert rows(spark.table("appended_parts"), "p", "n") == [("a", 1), ("b", 2)]
+    overwrite_table(spark.createDataFrame([("c", 3)], "p string, n int"), "appended_parts", path=str(tmp_path / "v"))
+    assert rows(spark.table("appended_parts"), "p", "n") == [("c", 3)]

@@ -24,7 +24,7 @@ from trackfuse.learning.train import (
 )
 from trackfuse.operators.averages import out_of_fold_join
 from trackfuse.operators.enrich import inverse_count_weight
-from trackfuse.operators.sampling import bootstrap_sample, random_split
+from trackfuse.operators.sampling import bootstrap_sample, poisson_bootstrap, random_split
 from trackfuse.plans.features import AVERAGED
 from trackfuse.schemas import CATEGORICAL, LABEL, NUMERICAL, PREDICTION_TABLE, PREDICTIONS
 from trackfuse.session import stage
@@ -51,10 +51,12 @@ def training_rows(
     label: str = LABEL,
     folds: int | None = None,
     averaged: tuple[str, str] = AVERAGED,
+    stable: bool = False,
 ) -> DataFrame:
     """Bootstrap, entity id and weight, in this order: the weights count drawn copies.
 
-    The draw is written once, because counting and weighting both read it. The stored averages
+    The draw is written once, because counting and weighting both read it; a ``stable`` one depends on
+    the rows' values alone (``poisson_bootstrap``) and needs no copy. The stored averages
     of the label hold the row's own label, which at scoring time nobody knows. With ``folds``
     the column ``averaged`` (its key, and its name) is made anew from entities of other folds.
     """
@@ -64,7 +66,7 @@ def training_rows(
         key, name = averaged
         rows = stage(rows.drop(name).withColumn("_fold", fold_of("flight_id", folds)), "folded")
         rows = out_of_fold_join(rows, key, label, "_fold", folds, name).drop("_fold")
-    drawn = stage(bootstrap_sample(rows, fraction, seed), "drawn")
+    drawn = poisson_bootstrap(rows, fraction, seed) if stable else stage(bootstrap_sample(rows, fraction, seed), "drawn")
     return inverse_count_weight(drawn, "flight_id", "sample_weight")
 
 

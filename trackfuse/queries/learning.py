@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trackfuse.learning.stages import assemble, mean_impute, one_hot, string_index
 from trackfuse.learning.train import fit_model, model_report, save_model, score
 from trackfuse.operators.enrich import inverse_count_weight
-from trackfuse.operators.sampling import bootstrap_sample, random_split
+from trackfuse.operators.sampling import bootstrap_sample, poisson_bootstrap, poisson_steps, random_split
 from trackfuse.queries.registry import query, table
 from trackfuse.queries.sinks import METRICS_SQL, fixed_metrics
 from trackfuse.session import new_path, stage
@@ -51,6 +52,42 @@ def bootstrap(spark, sf):
     )
 
 
+def _drawn_sql(source: str, values: tuple[str, ...], nth: str) -> str:
+    """The draws of ``poisson_bootstrap`` in SQL: a digest of seed and values, as a number, against the Poisson steps."""
+    parts = "".join(f" || coalesce('|' || CAST({v} AS VARCHAR), '-')" for v in (*values, nth))
+    draw = f"CAST('0x' || substr(md5('42'{parts}), 1, 13) AS BIGINT) / CAST(16 AS DOUBLE) ** 13"
+    steps = ", ".join(map(repr, poisson_steps(1.0)))
+    return f"SELECT *, len(list_filter([{steps}], lambda s: u >= s)) AS times FROM (SELECT *, {draw} AS u FROM ({source}))"
+
+
+_EQUAL_ROWS = """SELECT o_custkey % 40 AS k, nullif(o_orderstatus, 'P') AS status,
+    row_number() OVER (PARTITION BY o_custkey % 40, nullif(o_orderstatus, 'P')) AS nth FROM orders"""
+
+
+@query(
+    "r1_poisson_bootstrap",
+    f"""SELECT k, status, sum(times)::BIGINT AS drawn FROM ({_drawn_sql(_EQUAL_ROWS, ("k", "status"), "nth")})
+        WHERE times > 0 GROUP BY k, status""",
+)
+def poisson(spark, sf):
+    """Few different rows, each many times over; drawn from another partitioning than they are stored in."""
+    status = F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status")
+    rows = table(spark, sf, "orders").select((F.col("o_custkey") % 40).alias("k"), status)
+    drawn = poisson_bootstrap(rows.repartition(7, F.rand(1)), part_rows=50)
+    return drawn.groupBy("k", "status").agg(F.count("*").alias("drawn"))
+
+
+@query(
+    "r1_poisson_by_key",
+    f"""SELECT o_orderkey, o_totalprice, unnest(range(times)) + 1 AS copy
+        FROM ({_drawn_sql("SELECT o_orderkey, o_totalprice, 1 AS nth FROM orders", ("o_orderkey",), "nth")})""",
+)
+def poisson_by_key(spark, sf):
+    drawn = poisson_bootstrap(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), by=["o_orderkey"])
+    number = Window.partitionBy("o_orderkey").orderBy("o_totalprice")  # as many as a row's copies
+    return drawn.withColumn("copy", F.row_number().over(number).cast("bigint"))
+
+
 _SPLIT_SQL = "SELECT count(*) AS total, count(DISTINCT {key}) AS keys, true AS size_fits FROM {table}"
 
 

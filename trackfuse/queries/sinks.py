@@ -9,7 +9,7 @@ from trackfuse.learning.stages import assemble, linear
 from trackfuse.learning.train import evaluate, run_stamp, save_model
 from trackfuse.operators.enrich import key_average
 from trackfuse.queries.registry import ONCE, query, stream, table
-from trackfuse.session import new_name, new_path
+from trackfuse.session import new_name, new_path, stage
 from trackfuse.sources.decode import decode_flat_json
 from trackfuse.sources.scans import load_model
 from trackfuse.streaming.sinks import (
@@ -24,6 +24,7 @@ from trackfuse.streaming.sinks import (
     metrics_json,
     multi_sink,
     overwrite_table,
+    remove_versions,
 )
 
 
@@ -53,6 +54,30 @@ def overwrite(spark, sf):
     return spark.table(name)
 
 
+@query(
+    "k2_overwrite_partitioned",
+    """SELECT 'after' AS seen, o_orderkey, o_totalprice, o_orderpriority AS part FROM orders WHERE o_orderpriority <> '5-LOW'
+       UNION ALL SELECT 'before', o_orderkey, o_totalprice, nullif(o_orderstatus, 'P') FROM orders""",
+)
+def overwrite_partitioned(spark, sf):
+    """A partitioned table is replaced by one with other partitions while somebody reads it; then old versions go."""
+    base, root, orders = new_name("k2"), new_path(spark, "k2"), table(spark, sf, "orders")
+    name = f"{base}.orders"
+    columns = ("o_orderkey", "o_totalprice")
+    first = orders.select(*columns, F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("part"))
+    ensure_tables(spark, {name: first.schema}, root=root, partition_by={name: ["part"]})
+    first.write.insertInto(name)
+    overwrite_table(first, name, path=f"{root}/orders")
+    reader = spark.table(name).select(F.lit("before").alias("seen"), "*")
+    before = reader.inputFiles()  # the reader has begun: it knows its files
+    second = orders.filter("o_orderpriority <> '5-LOW'").select(*columns, F.col("o_orderpriority").alias("part"))
+    overwrite_table(second, name, path=f"{root}/orders")
+    seen = stage(reader, "before")
+    assert remove_versions(spark, name, keep=0) and before
+    after = spark.table(name).select(F.lit("after").alias("seen"), "*")
+    return after.unionAll(seen)
+
+
 _MESSAGE_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS key,
        '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || CASE WHEN o_orderstatus <> 'P'
        THEN ',"status":"' || o_orderstatus || '"' ELSE '' END || '}' AS value FROM orders"""

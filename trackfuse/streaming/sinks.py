@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import contextlib
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from trackfuse.session import new_name
+from trackfuse.session import file_system, new_name
 
 
 def with_trigger(writer: DataStreamWriter, trigger: Mapping | None) -> DataStreamWriter:
@@ -35,7 +36,8 @@ def append_stream(
         writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
-    return with_trigger(writer, trigger).toTable(table)
+    with _partitions_by_folder(df.sparkSession):
+        return with_trigger(writer, trigger).toTable(table)
 
 
 def append_files(
@@ -51,26 +53,95 @@ def append_files(
     return with_trigger(writer.option("checkpointLocation", checkpoint), trigger).start(path)
 
 
-def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
+_LISTED = "spark.sql.hive.manageFilesourcePartitions"
+
+
+@contextlib.contextmanager
+def _partitions_by_folder(spark: SparkSession) -> Iterator[None]:
+    """Tables made here find their partitions in their folder, not in a list of the catalog's.
+
+    So one statement, which points the table to another folder, replaces all partitions at once.
+    """
+    before = spark.conf.get(_LISTED)
+    spark.conf.set(_LISTED, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTED, before)
+
+
+def _make_table(
+    spark: SparkSession,
+    name: str,
+    fields: Sequence[T.StructField],
+    fmt: str,
+    place: str | None,
+    partition_by: Sequence[str],
+) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    at = f" LOCATION '{place}'" if place else ""
+    with _partitions_by_folder(spark):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{parts}{at}")
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def overwrite_table(
+    df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None, partition_by: Sequence[str] | None = None
+) -> None:
     """Replace a table with a batch result, without touching what others are reading.
 
     The rows go to a new folder below ``path`` (by default one in the warehouse), and the
     table is pointed to it once they are all there. Readers and streams that have begun
-    keep the old files, which stay until you remove them. If the columns have
-    changed, the table is made anew.
+    keep the old files, which stay until ``remove_versions``. A partitioned table stays so, all its partitions
+    being replaced in that one step, unless ``partition_by`` says otherwise. If columns or partitioning have
+    changed, the table is made anew, and is not there for a moment.
+
+    A table whose partitions the catalog lists, as Spark's own ``saveAsTable`` makes, cannot be pointed
+    elsewhere in one step and is refused; those of ``ensure_tables`` and ``append_stream`` are not of that kind.
     """
     spark = df.sparkSession
+    there = spark.catalog.tableExists(table)
+    old = [c.name for c in spark.catalog.listColumns(table) if c.isPartition] if there else []
+    parts = old if partition_by is None else list(partition_by)
+    described = _described(spark, table) if there else {}
+    if old and described.get("Partition Provider") == "Catalog":
+        raise ValueError(f"the catalog lists the partitions of {table}; make it by ensure_tables")
+    df = df.select(*(c for c in df.columns if c not in parts), *parts)
     root = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}_versions"
     place = f"{root}/{new_name('version')}"
-    df.write.format(fmt).save(place)
-    columns = [(f.name, f.dataType) for f in df.schema.fields]
-    if spark.catalog.tableExists(table):
-        if [(f.name, f.dataType) for f in spark.table(table).schema.fields] == columns:
+    writer = df.write.format(fmt)
+    (writer.partitionBy(*parts) if parts else writer).save(place)
+    if there:
+        same = [[(f.name, f.dataType) for f in side.schema.fields] for side in (df, spark.table(table))]
+        if same[0] == same[1] and parts == old:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
             spark.catalog.refreshTable(table)
             return
+        if described.get("Type") == "MANAGED":
+            # What is dropped with the table is an empty folder, not what others are reading.
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{root}/{new_name('dropped')}'")
         spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, place, fmt)
+    _make_table(spark, table, df.schema.fields, fmt, place, parts)
+
+
+def remove_versions(spark: SparkSession, table: str, keep: int = 1) -> list[str]:
+    """Remove what ``overwrite_table`` has left behind but for the newest ``keep`` old versions; returns the folders removed.
+
+    Only for versions that nobody reads any more.
+    """
+    now = _described(spark, table)["Location"].rstrip("/")
+    fs, root = file_system(spark, now.rpartition("/")[0])
+    found = [f for f in fs.listStatus(root) if f.getPath().getName().startswith("version_")]
+    found = [f for f in found if f.getPath().getName() != now.rpartition("/")[2]]
+    found.sort(key=lambda f: (f.getModificationTime(), f.getPath().getName()), reverse=True)
+    gone = [f.getPath() for f in found[keep:]]
+    for folder in gone:
+        fs.delete(folder, True)
+    return [folder.toString() for folder in gone]
 
 
 def key_value_json(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -184,8 +255,5 @@ def ensure_tables(
         if database:
             place = f" LOCATION '{root}/{database}'" if root else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parts = ", ".join(f"`{c}`" for c in (partition_by or {}).get(name, ()))
-        parts = f" PARTITIONED BY ({parts})" if parts else ""
-        place = f" LOCATION '{root}/{name.replace('.', '/')}'" if root else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{parts}{place}")
+        place = f"{root}/{name.replace('.', '/')}" if root else None
+        _make_table(spark, name, schema.fields, fmt, place, (partition_by or {}).get(name, ()))
