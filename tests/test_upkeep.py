@@ -9,7 +9,8 @@ from trackfuse.plans.features import refresh_averages, start_average_upkeep
 from trackfuse.schemas import FEATURES
 from trackfuse.session import file_system
 from trackfuse.sources.scans import table_stream
-from trackfuse.streaming.averages import drop_merged, keep_averages, kept_averages, merge_averages
+from trackfuse.streaming.averages import keep_averages, kept_averages, merge_averages
+from trackfuse.streaming.batches import append_batches, batch_stream, bloom_filter, compact_batches, drop_merged, read_batches
 from trackfuse.streaming.progress import batch_progress, late_rows, watch_batches
 from trackfuse.streaming.sinks import append_files, ensure_tables, finish
 from trackfuse.streaming.versions import (

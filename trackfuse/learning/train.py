@@ -10,6 +10,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackfuse.learning.encoding import HASH_SIZE, hash_encode, target_means
 from trackfuse.learning.stages import FILLED, KINDS, assemble, mean_impute, one_hot, string_index
 from trackfuse.operators.project import drop_derived
 
@@ -30,12 +31,26 @@ def label_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def prepare(
-    train: DataFrame, label: str, categorical: Sequence[str] = (), numerical: Sequence[str] = (), keep_raw: bool = False
+    train: DataFrame,
+    label: str,
+    categorical: Sequence[str] = (),
+    numerical: Sequence[str] = (),
+    keep_raw: bool = False,
+    hashed: Sequence[str] = (),
+    averaged: Sequence[str] = (),
+    weight: str | None = None,
+    hash_size: int = HASH_SIZE,
 ) -> list:
-    """Category indexer and imputer fitted on the labelled rows, one pass each, for any number of models."""
+    """Category indexer and imputer fitted on the labelled rows, one pass each, for any number of models.
+
+    ``hashed`` and ``averaged`` are categories of very many values, encoded by hash and by the label's
+    mean (``encoding``): neither has a list on the driver.
+    """
     rows = labelled(train, label)
     fitted = [string_index(categorical).fit(rows)] if categorical else []
-    return fitted + ([mean_impute(numerical, keep_raw).fit(rows)] if numerical else [])
+    fitted += [mean_impute(numerical, keep_raw).fit(rows)] if numerical else []
+    fitted += [hash_encode(hashed, hash_size)] if hashed else []
+    return fitted + ([target_means(averaged, label, weight).fit(rows)] if averaged else [])
 
 
 def fit_model(
@@ -48,20 +63,25 @@ def fit_model(
     keep_raw: bool = False,
     estimator: Estimator | None = None,
     prepared: list | None = None,
+    hashed: Sequence[str] = (),
+    averaged: Sequence[str] = (),
+    hash_size: int = HASH_SIZE,
     **params,
 ) -> PipelineModel:
     """Index, encode (linear model only), impute, assemble and fit.
 
     ``estimator`` may be any Spark ML regressor in place of the one of ``kind``.
-    ``prepared`` hands in what ``prepare`` fitted on the same rows.
+    ``prepared`` hands in what ``prepare`` fitted on the same rows. ``hashed`` and ``averaged`` are further
+    categories, of very many values (``prepare``).
     """
-    used = [*categorical, *numerical, label, *([weight] if weight else [])]
+    used = [*categorical, *numerical, *hashed, *averaged, label, *([weight] if weight else [])]
     rows = labelled(train, label).select(*dict.fromkeys(used))
     if prepared is None:
-        prepared = prepare(rows, label, categorical, numerical, keep_raw)
+        prepared = prepare(rows, label, categorical, numerical, keep_raw, hashed, averaged, weight, hash_size)
     ready = PipelineModel(list(prepared)).transform(rows)
+    more = ["hashed_vec"] * bool(hashed) + [f"{c}_mean_idx" for c in averaged]
     return fit_prepared(
-        ready, kind, label, categorical, numerical, weight, keep_raw, estimator, prepared=prepared, **params
+        ready, kind, label, categorical, numerical, weight, keep_raw, estimator, prepared=prepared, more=more, **params
     )[0]
 
 
@@ -76,9 +96,10 @@ def fit_prepared(
     estimator: Estimator | None = None,
     *,
     prepared: Sequence,
+    more: Sequence[str] = (),
     **params,
 ) -> tuple[PipelineModel, PipelineModel]:
-    """Fit on rows that the ``prepared`` stages have been applied to.
+    """Fit on rows that the ``prepared`` stages have been applied to; ``more`` names further columns of theirs.
 
     Returns the whole model, for raw rows, and its part for prepared ones.
     """
@@ -87,7 +108,7 @@ def fit_prepared(
     if categorical and estimator.hasParam("maxBins"):
         estimator.set(estimator.getParam("maxBins"), needed_bins(prepared[0], estimator.getOrDefault("maxBins")))
     filled = [c + FILLED for c in numerical] if keep_raw else list(numerical)
-    inputs = [f"{c}_vec" if encoded else f"{c}_idx" for c in categorical] + filled
+    inputs = [f"{c}_vec" if encoded else f"{c}_idx" for c in categorical] + filled + list(more)
     encoder = [one_hot(categorical)] if categorical and encoded else []
     fitted = Pipeline(stages=[*encoder, assemble(inputs), estimator]).fit(labelled(ready, label))
     return PipelineModel([*prepared, *fitted.stages]), fitted

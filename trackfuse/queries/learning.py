@@ -353,3 +353,33 @@ def batch_scores(spark, sf):
 def loaded(spark, sf):
     path = save_model(_line(spark, sf), new_path(spark, "s11"), "linear_regression")
     return _line_scores(load_model(path), spark, sf)
+
+
+# The parts are an id of many values. Its mean price, mixed with ten rows of the overall mean, is the one feature.
+@query(
+    "m2_target_means",
+    """WITH a AS (SELECT avg(l_extendedprice) AS m FROM lineitem),
+            p AS (SELECT l_partkey, (sum(l_extendedprice) + 10 * any_value(m)) / (count(*) + 10) AS x FROM lineitem, a GROUP BY l_partkey),
+            f AS (SELECT regr_slope(l_extendedprice, x) AS slope, regr_intercept(l_extendedprice, x) AS base FROM lineitem JOIN p USING (l_partkey))
+       SELECT l_orderkey, l_linenumber, round(base + slope * x, 2) AS prediction FROM lineitem JOIN p USING (l_partkey), f""",
+)
+def target_encoded(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    model = fit_model(lines, "linear_regression", "l_extendedprice", averaged=["l_partkey"])
+    return _line_scores(model, spark, sf)
+
+
+@query("m2_hashed", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS off, true AS spread FROM lineitem")
+def hash_encoded(spark, sf):
+    """A linear model without intercept on hashed parts: each place's score must be the mean price of its rows."""
+    lines = table(spark, sf, "lineitem")
+    how = {"hashed": ["l_partkey"], "hash_size": 512, "fitIntercept": False}
+    model = fit_model(lines, "linear_regression", "l_extendedprice", **how)
+    scored = model.transform(lines.select("l_partkey", "l_extendedprice"))
+    place = vector_to_array("hashed_vec")
+    scored = scored.select("l_extendedprice", "prediction", F.array_position(place, F.lit(1.0)).alias("place"))
+    means = scored.groupBy("place").agg(
+        F.count("*").alias("n"), F.avg("l_extendedprice").alias("mean"), F.min("prediction").alias("low"), F.max("prediction").alias("high")
+    )
+    off = F.greatest(F.abs(F.col("low") - F.col("mean")), F.abs(F.col("high") - F.col("mean"))) > 0.01
+    return means.agg(F.sum("n").alias("rows"), F.count_if(off).alias("off"), (F.count("*") > 400).alias("spread"))

@@ -13,7 +13,8 @@ from trackfuse.queries.learning import LINE_SQL
 from trackfuse.queries.registry import ONCE, no_zone, query, replay, stream, table
 from trackfuse.session import file_system, new_name, new_path, stage
 from trackfuse.sources.scans import table_scan, table_stream
-from trackfuse.streaming.averages import drop_merged, keep_averages, kept_averages, merge_averages
+from trackfuse.streaming.averages import keep_averages, kept_averages, merge_averages
+from trackfuse.streaming.batches import append_batches, batch_folders, bloom_filter, compact_batches, drop_merged, read_batches
 from trackfuse.streaming.progress import batch_progress, watch_batches
 from trackfuse.streaming.sinks import append_files, append_stream, finish, overwrite_table
 from trackfuse.streaming.versions import publish_version, read_version, versioned_join, versions_used
@@ -280,3 +281,29 @@ def late_counts(spark, sf):
         spark.streams.removeListener(listener)
     rows = batch_progress(spark, told).filter(F.col("query").isin(*queries))
     return rows.agg(F.sum("rows_in").alias("rows_in"), F.sum("dropped_late").alias("dropped_late"))
+
+
+_SCANNED_SQL = """SELECT 'all' AS seen, event_id, user_id FROM events UNION ALL SELECT 'reader', event_id, user_id FROM events
+       WHERE ts < '2024-01-20' UNION ALL SELECT 'user', event_id, user_id FROM events WHERE user_id = 42"""
+
+
+@query("k1_compacted", _SCANNED_SQL)
+def compacted(spark, sf):
+    """Batches are merged into fewer files, sorted by user, while a reader is at work and the stream goes on."""
+    path, checkpoint = new_path(spark, "k1_batches"), new_path(spark, "k1_checkpoint")
+    step, files = _arrivals(spark, sf, "k1"), bloom_filter("user_id")
+
+    def run(events):
+        finish(append_batches(events.select("event_id", "user_id"), path, checkpoint, ONCE, options=files))
+
+    step(run, "ts < '2024-01-10'")
+    step(run, "ts >= '2024-01-10' AND ts < '2024-01-20'")
+    reader = read_batches(spark, path)
+    merged = compact_batches(spark, path, ["user_id"], spare=0, options=files)
+    step(run, "ts >= '2024-01-20'")
+    seen = stage(reader.select(F.lit("reader").alias("seen"), "*"), "reader")
+    assert merged == 1 and len(batch_folders(spark, path)[1]) == 2
+    drop_merged(spark, path)
+    rows = read_batches(spark, path)
+    one = rows.filter("user_id = 42").select(F.lit("user").alias("seen"), "*")
+    return rows.select(F.lit("all").alias("seen"), "*").unionAll(seen).unionAll(one)

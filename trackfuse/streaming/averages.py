@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trackfuse.session import file_system
-from trackfuse.streaming.sinks import with_trigger
-from trackfuse.streaming.versions import numbered_folders
-
-
-def _partials(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """Sum and count per key; null values count for nothing, yet their key is kept, as in ``key_average``."""
-    return rows.groupBy(key).agg(F.sum(F.col(value).cast("double")).alias("total"), F.count(value).alias("n"))
+from trackfuse.streaming.batches import append_batches, merge_batches, read_batches
 
 
 def keep_averages(
@@ -23,63 +16,27 @@ def keep_averages(
 ) -> StreamingQuery:
     """Keep sum and count per key of everything the stream brings, one small table per batch.
 
-    A batch writes its own folder, ``path/batch=<id>``: run again after a failure it replaces what it
-    wrote, so no row counts twice. What is written is as large as the batch has keys.
+    A batch writes its own folder (``append_batches``): run again after a failure it replaces what it
+    wrote, so no row counts twice. What is written is as large as the batch has keys. Null
+    values count for nothing, yet their key is kept, as in ``key_average``.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _partials(batch, key, value).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return with_trigger(writer, trigger).start()
-
+    def partials(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.sum(F.col(value).cast("double")).alias("total"), F.count(value).alias("n"))
 
-def _kept(spark: SparkSession, path: str) -> tuple[int, list[str]]:
-    """The newest merged folder's last batch (-1 without one), and the folders that hold each batch once."""
-    merged = max(numbered_folders(spark, f"{path}/merged", "upto"), default=-1)
-    later = [f"{path}/batch={b}" for b in numbered_folders(spark, path, "batch") if b > merged]
-    return merged, ([f"{path}/merged/upto={merged}"] if merged >= 0 else []) + later
+    return append_batches(stream, path, checkpoint, trigger, partials)
 
 
-def _read(spark: SparkSession, folders: list[str]) -> DataFrame:
-    # Named folders, not their parent: what they hold is known, and no half-written one is among them.
-    return spark.read.parquet(*folders)
+def _summed(partials: DataFrame) -> DataFrame:
+    key = next(c for c in partials.columns if c not in ("total", "n"))
+    return partials.groupBy(key).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
 def kept_averages(spark: SparkSession, path: str, key: str, out: str) -> DataFrame:
     """``(key, out)`` over all complete batches: the means that ``key_average`` gives on all their rows."""
-    _, folders = _kept(spark, path)
-    if not folders:
-        raise ValueError(f"no batch has been kept at {path} yet")
-    sums = _read(spark, folders).groupBy(key).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    return sums.select(key, F.try_divide("total", "n").alias(out))
+    return _summed(read_batches(spark, path)).select(key, F.try_divide("total", "n").alias(out))
 
 
 def merge_averages(spark: SparkSession, path: str, spare: int = 1) -> int | None:
-    """Merge the batches into one folder, so that reading does not grow with the number of batches.
-
-    The newest ``spare`` batches stay apart: only the last batch of a stream may ever be run again.
-    Readers see the merged folder once it is whole and then pass by the batches in it, which
-    ``drop_merged`` removes. Returns the last batch merged, None if there was nothing to merge.
-    """
-    merged, folders = _kept(spark, path)
-    batches = [b for b in numbered_folders(spark, path, "batch") if b > merged]
-    batches = batches[: len(batches) - spare] if spare else batches
-    if not batches:
-        return None
-    base = [f"{path}/merged/upto={merged}"] if merged >= 0 else []
-    rows = _read(spark, base + [f"{path}/batch={b}" for b in batches])
-    key = next(c for c in rows.columns if c not in ("total", "n"))
-    sums = rows.groupBy(key).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    sums.write.mode("overwrite").parquet(f"{path}/merged/upto={batches[-1]}")
-    return batches[-1]
-
-
-def drop_merged(spark: SparkSession, path: str) -> None:
-    """Remove batches and older merged folders that the newest merged one holds; no reader of those may be at work."""
-    merged, _ = _kept(spark, path)
-    gone = [f"{path}/batch={b}" for b in numbered_folders(spark, path, "batch") if b <= merged]
-    gone += [f"{path}/merged/upto={b}" for b in numbered_folders(spark, f"{path}/merged", "upto") if b < merged]
-    for folder in gone:
-        fs, at = file_system(spark, folder)
-        fs.delete(at, True)
+    """Merge the batches' sums, so that reading does not grow with the number of batches (``merge_batches``)."""
+    return merge_batches(spark, path, _summed, spare)
