@@ -21,6 +21,7 @@ MAX_ENTRIES = 1_000_000
 
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWERED = str.maketrans(_UPPER, _LOWER)
 _WORD = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
 
@@ -50,7 +51,7 @@ class Vocabulary:
 
         self.found = ahocorasick.Automaton()
         for kind, terms in (("soft", soft), ("strict", strict)):
-            for term in terms:
+            for term in (t.translate(_LOWERED) for t in terms):
                 self.found.add_word(term, (kind, term))
         self.empty = not len(self.found)
         if not self.empty:
@@ -112,7 +113,7 @@ def url_filter(
 
     Rows are judged one by one: repeated rows each get their verdict, extra columns are
     ignored, an empty table gives an empty one. A null url, and one without ``://``, has
-    an empty host and path and no rule; a null url is allowed. Terms must be lower case.
+    an empty host and path and no rule; a null url is allowed. Terms are A-Z lower-cased, too.
     """
     if len(strict) + len(soft) + len(rules) > MAX_ENTRIES:
         raise ValueError(f"more than {MAX_ENTRIES} terms and rules")
