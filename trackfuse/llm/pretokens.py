@@ -19,8 +19,10 @@ _LETTERS = "a-zªµºß-öø-ÿ"
 _DIGITS = "0-9²³¹¼-¾"
 _QUICK = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_DIGITS}{_LETTERS}]+")
 _ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
-#: Distinct words a worker remembers; beyond, it starts afresh.
-MEMO = 150_000
+#: Bytes of words and ids that a worker remembers from the latest use on; as many from before may be there besides.
+MEMO_BYTES = 40_000_000
+#: What a remembered word takes besides its letters and ids.
+_ENTRY = 160
 # Byte-level models write a byte as the letter of its number, or as one from 256 on where that is no visible letter.
 _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {
@@ -37,7 +39,7 @@ class PieceTable:
     the tokenizer's. The memo's keys are pre-tokens or whole words, as ``learn`` is given them.
     """
 
-    def __init__(self, path: str, memo: int = MEMO):
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already take all cores
         from tokenizers import Tokenizer
 
@@ -47,7 +49,8 @@ class PieceTable:
         self.added = [t["content"] for t in spec.get("added_tokens") or ()]
         self.quick = self._is_word_kind(spec)
         self.memo: dict[str, bytes] = {}
-        self.limit = memo
+        self._older: dict[str, bytes] = {}
+        self._held, self._limit = 0, memo_bytes
 
     @staticmethod
     def _is_word_kind(spec: dict) -> bool:
@@ -96,11 +99,19 @@ class PieceTable:
         return out
 
     def learn(self, words) -> None:
-        """Make sure that the memo has all of ``words``."""
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > self.limit:
-            self.memo, new = {}, list(words)
-        self.memo.update(zip(new, self._encode_words(new), strict=True))
+        """Make sure that the memo has all of ``words``.
+
+        A full memo becomes the older one, from which what is used again is taken over. So frequent
+        words stay known, and what goes is what has not been used since the last change.
+        """
+        if self._held > self._limit:
+            self._older, self.memo, self._held = self.memo, {}, 0
+        missing = [w for w in words if w not in self.memo]
+        again = {w: self._older[w] for w in missing if w in self._older}
+        new = [w for w in missing if w not in again]
+        again.update(zip(new, self._encode_words(new), strict=True))
+        self.memo.update(again)
+        self._held += sum(map(len, again)) + sum(map(len, again.values())) + _ENTRY * len(again)
 
     def whole(self, text: str) -> bytes:
         """The ids of a text that goes through the tokenizer as it is."""
