@@ -98,6 +98,34 @@ def test_nothing_learned_drops_nothing(spark):
     assert corpus_pipeline.language_id(spark, docs, SMALL).count() == wanted > 0
 
 
+CLASHES = ("kept", "_id", "_text_hash", "row", "lang_pred", "n_hit", "_text", "group", "removed", "spans", "_hash")
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_columns_of_any_name_keep_their_values(spark, stage):
+    """Columns that are called like what a stage makes come through it as they are."""
+    name, function = corpus_pipeline.STAGES[stage]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    plain = sorted((r.doc_id, r.text) for r in function(spark, docs, SMALL).collect())
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in CLASHES})
+    found = function(spark, docs, SMALL)
+    assert found.columns == docs.columns
+    rows = found.collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == plain
+    assert all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHES), name
+
+
+def test_rows_of_many_megabytes(spark):
+    """Batches end at so many bytes, so that rows of any length pass without many of them being held at once."""
+    words = " ".join(f"word{i}" for i in range(150_000))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(30)
+    long = spark.createDataFrame([(20_000 + i, f"{words} number {i}", "en", "s", 1) for i in range(12)], docs.schema).coalesce(1)
+    docs = docs.unionByName(long)
+    for number in (0, 3):
+        function = corpus_pipeline.STAGES[number][1]
+        assert {r.doc_id for r in function(spark, docs, SMALL).select("doc_id").collect()} >= {20_000 + i for i in range(12)}
+
+
 def test_each_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 14))
     assert TOKENIZER.endswith(".json") and F is not None

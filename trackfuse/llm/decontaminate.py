@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackfuse.llm.words import alnum_words, sha256, utf8
+from trackfuse.llm.words import alnum_words, sha256, text_of, utf8
 from trackfuse.session import stage
 
 WINDOW = 10
@@ -239,7 +239,7 @@ def find_leaks(
                     zip(batch.column("items").to_pylist(), batch.column("spans").to_pylist(), strict=True)
                 )
                 sizes, items_of, spans_of = [], [], []
-                for text, before in zip(utf8(batch.column(1)), earlier, strict=True):
+                for text, before in zip(utf8(text_of(batch, text_col)), earlier, strict=True):
                     words = alnum_words(text)
                     spans, names = automaton.scan(
                         np.fromiter((number(w, -1) for w in words), np.int32, len(words))
@@ -253,23 +253,23 @@ def find_leaks(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
-                        batch.column(1),
+                        *(batch.column(batch.schema.get_field_index(c)) for c in carried),
                         pa.array(sizes, pa.int64()),
                         pa.array(items_of, pa.list_(pa.string())),
                         pa.array(spans_of, pa.list_(pa.int32())),
-                        *(batch.column(batch.schema.get_field_index(c)) for c in carried),
                     ],
-                    names=["_id", "_text", "n_words", "items", "spans", *carried],
+                    names=["_id", *carried, "n_words", "items", "spans"],
                 )
 
         return run
 
-    carried = ["row"] if carry else []
     row = [F.struct(*carry).alias("row")] if carry else []
-    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *row)
-    schema = T.StructType([*found.schema[:2]]).add("n_words", T.LongType())
+    # A text that is carried is not sent a second time.
+    text = [] if text_col in carry else [F.col(text_col).cast("string").alias("_text")]
+    found = docs.select(F.col(id_col).alias("_id"), *text, *row)
+    carried = found.columns[1:]
+    schema = T.StructType([*found.schema]).add("n_words", T.LongType())
     schema = schema.add("items", T.ArrayType(T.StringType())).add("spans", T.ArrayType(T.IntegerType()))
-    schema = T.StructType([*schema, *found.schema[2:]])
     context, first = docs.sparkSession.sparkContext, True
     for automaton in _blocks(items, item_id_col, item_text_col, window, block_words):
         if not first:
@@ -282,7 +282,7 @@ def find_leaks(
         lambda n, i: n + (F.get("spans", i + 1) - F.get("spans", i)).cast("long"),
     )
     n_hit = F.when(F.array_size("spans") > 0, hit).otherwise(F.lit(0).cast("long"))
-    return found.select(F.col("_id").alias(id_col), "n_words", n_hit.alias("n_hit"), "items", "spans", *carried)
+    return found.select(F.col("_id").alias(id_col), "n_words", n_hit.alias("n_hit"), "items", "spans", *(["row"] if carry else []))
 
 
 def _union(a: list[int], b: list[int]) -> list[int]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackfuse.llm.words import CHUNK_BYTES, per_worker
+from trackfuse.llm.words import CHUNK_BYTES, per_worker, text_of
 
 #: Bounds of the sample that is learned from: characters per language, documents per language, characters in all (each
 #: of very many languages gets fewer).
@@ -281,7 +281,7 @@ def identify_languages(
         for table, values in zip(model.tables, shared.value["tables"], strict=True):
             table.__dict__.update(values)
         for batch in batches:
-            texts = pc.fill_null(batch.column(1), "").to_pylist()
+            texts = pc.fill_null(text_of(batch, text_col), "").to_pylist()
             names, scores, at = [], [], 0
             while at < len(texts):
                 end, size = at + 1, len(texts[at])
@@ -292,12 +292,15 @@ def identify_languages(
                 names += n
                 scores += s
                 at = end
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in carried]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *batch.columns[2:]],
-                names=[id_col, "lang_pred", "score", *batch.schema.names[2:]],
+                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *kept],
+                names=[id_col, "lang_pred", "score", *carried],
             )
 
-    row = [F.struct(*carry).alias("row")] if carry else []
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), *row)
+    carried = ["row"] if carry else []
+    # A text that is carried is not sent a second time.
+    text = [] if text_col in carry else [F.col(text_col).cast("string").alias("_text")]
+    rows = docs.select(F.col(id_col), *text, *([F.struct(*carry).alias("row")] if carry else []))
     shape = T.StructType([rows.schema[0]]).add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(judge, T.StructType([*shape, *rows.schema[2:]]))
+    return rows.mapInArrow(judge, T.StructType([*shape, *(rows.schema[c] for c in carried)]))

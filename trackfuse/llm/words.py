@@ -41,13 +41,27 @@ def sha256(data: bytes) -> str:
 
 
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:
-    """What ``make`` gave on its first call in this process: Python workers serve many tasks."""
+    """What ``make`` gave on its first call in this process: Python workers serve many tasks.
+
+    Only the latest key's value is kept: workers also live through the stages that follow, and the tables
+    of one stage are of no use to the next.
+    """
     kept = vars(sys.modules["pyspark"]).setdefault("_kept_by_trackfuse", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 
 
+def text_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of a batch that has them as ``_text``, or else in the struct ``row`` under ``text_col``."""
+    at = batch.schema.get_field_index("_text")
+    if at >= 0:
+        return batch.column(at)
+    row = batch.column(batch.schema.get_field_index("row"))
+    return pc.cast(row.field(text_col), pa.string())
+
+
 class WordNumbers:
     """64-bit numbers of words, equal in every task; remembers the words of a task up to a limit."""
 
