@@ -52,11 +52,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = stage(judged, "copies")
     if fits_broadcast(judged):  # else the texts are shuffled
         judged = F.broadcast(judged)
+    # The row travels as a whole, so its columns may have any names.
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    marked = docs.withColumn("_text_hash", text_hash).join(judged, same, "left")
-    alone = marked.filter("kept IS NULL").select(*docs.columns)
-    once = marked.filter("kept").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), text_hash.alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_hash") == F.col("_hash"))
+    marked = rows.join(judged, same, "left")
+    alone = marked.filter("kept IS NULL").select("row.*")
+    once = marked.filter("kept").dropDuplicates(["_id", "_hash"]).select("row.*")
     return alone.unionByName(once)
 
 
