@@ -244,7 +244,8 @@ def merkle_manifest(
     leaves = docs.select(F.col(id_col).alias("_id"), F.col(group_col).alias("tree"), digest.alias("digest"), held.alias("held"))
     # Most rows are held to what they are; the others alone carry a second digest.
     leaves = leaves.withColumn("held", F.nullif(F.col("held"), F.col("digest")))
-    leaves = numbered(leaves, "tree", ["_id", "digest"], "leaves")
+    # Ranges are cut from a sample of the rows, so they are read twice; the texts are read once.
+    leaves = numbered(stage(leaves, "digests"), "tree", ["_id", "digest"], "leaves")
     layers = _layers(leaves, arity, levels)
 
     subroots = layers[-1].select(F.lit(0).alias("tree"), F.col("tree").alias("_name"), "digest")
