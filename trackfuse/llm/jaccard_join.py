@@ -524,7 +524,11 @@ def near_duplicate_components(
     # Sets that have met in a part have been compared: that answer stands.
     met = picks.groupBy("key").agg(F.sort_array(F.collect_set("met")).alias("met"))
     rooted = rooted.withColumn("root", F.coalesce("root", "node")).join(met, "key", "left")
-    entries = lists.join(rooted.select("key", "node", "root", "sketch", "met"), "key")
+    # A list of one component has nothing more to tell. Most are: they end here, before sketches are moved.
+    ends = lists.select("key", "token").join(rooted.select("key", "root"), "key").groupBy("token")
+    several = ends.agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token")
+    several = stage(several, "several")
+    entries = lists.join(several, "token").join(rooted.select("key", "node", "root", "sketch", "met"), "key")
     # A list of several parts becomes a cell for each pair of parts.
     cuts = F.ceil(F.col("long") / CELL_ROWS)
     part = F.pmod(F.xxhash64("node"), cuts)
@@ -546,7 +550,7 @@ def near_duplicate_components(
         "met",
         shard.alias("shard"),
     )
-    shards = max(1, lists.count() // SHARD_ROWS)
+    shards = max(1, lists.join(several, "token", "left_semi").count() // SHARD_ROWS)
     pairs = _candidate_pairs(entries, shards, percent).groupBy("u", "v").agg(F.min("apart").alias("apart"))
     known = rooted.select("node", "root", "mostly")
     for c in "uv":
