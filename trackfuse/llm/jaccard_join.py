@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackfuse.llm.components import connected_components
-from trackfuse.llm.words import CHUNK_BYTES, WordNumbers, gram_hashes, mix, per_worker, spaced_words, utf8
+from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, mix, spaced_numbers, utf8
 from trackfuse.session import stage
 
 SHINGLE = 5
@@ -41,7 +41,8 @@ def shingles(words: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     """Sorted distinct numbers of the runs of ``n`` words; shorter texts are one run as a whole."""
     if not len(words):
         return words
-    return np.unique(gram_hashes(words, n) if len(words) >= n else mix(gram_hashes(words, len(words)) + np.uint64(n)))
+    found = np.sort(gram_hashes(words, n) if len(words) >= n else mix(gram_hashes(words, len(words)) + np.uint64(n)))
+    return found[np.concatenate(([True], found[1:] != found[:-1]))]
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -165,11 +166,11 @@ class _Reader:
     """Shingle sets of texts."""
 
     def __init__(self, n: int):
-        self.numbers, self.n = per_worker("numbers", WordNumbers), n
+        self.n = n
 
     def sets(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        for t in texts:
-            yield shingles(self.numbers.of(spaced_words(t.lower())), self.n)
+        for words in spaced_numbers(texts):
+            yield shingles(words, self.n)
 
 
 def _set_hash(tokens: np.ndarray) -> tuple[int, int]:
