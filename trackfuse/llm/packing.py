@@ -135,10 +135,9 @@ def token_pieces(
         for batch in batches:
             column, rows, at = pc.fill_null(batch.column(1), ""), [], 0
             for texts in chunks(column.to_pylist()):
-                words = [table.words(t) for t in texts]
-                table.learn(set().union(*(w for w in words if w)))
-                of = table.memo.__getitem__
-                for text, mine in zip(texts, words, strict=True):
+                of = table.renew().__getitem__
+                for text in texts:
+                    mine = table.words(text)
                     ids = (table.whole(text) if mine is None else b"".join(map(of, mine))) + end
                     for piece, begin in enumerate(range(0, len(ids), width)):
                         own = ids[begin : begin + width]

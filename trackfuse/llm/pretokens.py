@@ -6,7 +6,7 @@ import json
 import os
 import re
 import struct
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
@@ -20,9 +20,11 @@ _DIGITS = "0-9²³¹¼-¾"
 _QUICK = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_DIGITS}{_LETTERS}]+")
 _ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
 #: Bytes of words and ids that a worker remembers from the latest use on; as many from before may be there besides.
-MEMO_BYTES = 40_000_000
+MEMO_BYTES = 48_000_000
 #: What a remembered word takes besides its letters and ids.
 _ENTRY = 160
+#: Pre-tokens whose pieces a worker has at hand while it encodes words.
+PRE_TOKENS = 100_000
 # Byte-level models write a byte as the letter of its number, or as one from 256 on where that is no visible letter.
 _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {
@@ -30,6 +32,22 @@ _BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {
 }
 
 
+class _Memo(dict):
+    """Words to ids. A word that is not there is taken over from the older memo, or else encoded."""
+
+    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes]):
+        super().__init__()
+        self.encode, self.older, self.held = encode, older, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        self.held += len(word) + len(ids) + _ENTRY
+        return ids
+
+
 class PieceTable:
     """The ids of each distinct pre-token, as little-endian unsigned 32-bit numbers, found once and remembered.
 
@@ -48,9 +66,9 @@ class PieceTable:
             spec = json.load(f)
         self.added = [t["content"] for t in spec.get("added_tokens") or ()]
         self.quick = self._is_word_kind(spec)
-        self.memo: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-        self._held, self._limit = 0, memo_bytes
+        self.memo, self._limit = _Memo(self._word, {}), memo_bytes
+        self._pieces: dict[str, list[int]] = {}
+        self._tokenize = self.tokenizer.model.tokenize
 
     @staticmethod
     def _is_word_kind(spec: dict) -> bool:
@@ -82,36 +100,29 @@ class PieceTable:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _encode_words(self, words: Sequence[str]) -> list[bytes]:
-        """The ids of each word, from the model alone: a call of the whole tokenizer costs more than a word."""
-        if not self.quick:
-            return self._encode(words)
-        pieces, known, out = self.tokenizer.model.tokenize, {}, []
-        for word in words:
-            ids: list[int] = []
-            for token in _QUICK.findall(word):
-                own = known.get(token)
-                if own is None:
-                    letters = token if token.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, token.encode()))
-                    own = known[token] = [p.id for p in pieces(letters)]
-                ids += own
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
-        return out
-
-    def learn(self, words) -> None:
-        """Make sure that the memo has all of ``words``.
+    def _word(self, word: str) -> bytes:
+        """The ids of a word, from the model alone: a call of the whole tokenizer costs more than a word."""
+        known, tokenize, ids = self._pieces, self._tokenize, []
+        for token in _QUICK.findall(word):
+            own = known.get(token)
+            if own is None:
+                if len(known) >= PRE_TOKENS:
+                    known.clear()
+                letters = token if token.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, token.encode()))
+                own = known[token] = [p.id for p in tokenize(letters)]
+            ids += own
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def renew(self) -> _Memo:
+        """The memo, to look words up in; to be asked for anew for each part of the texts.
 
         A full memo becomes the older one, from which what is used again is taken over. So frequent
         words stay known, and what goes is what has not been used since the last change.
         """
-        if self._held > self._limit:
-            self._older, self.memo, self._held = self.memo, {}, 0
-        missing = [w for w in words if w not in self.memo]
-        again = {w: self._older[w] for w in missing if w in self._older}
-        new = [w for w in missing if w not in again]
-        again.update(zip(new, self._encode_words(new), strict=True))
-        self.memo.update(again)
-        self._held += sum(map(len, again)) + sum(map(len, again.values())) + _ENTRY * len(again)
+        if self.memo.held > self._limit:
+            older, self.memo.older = self.memo, {}
+            self.memo = _Memo(self._word, older)
+        return self.memo
 
     def whole(self, text: str) -> bytes:
         """The ids of a text that goes through the tokenizer as it is."""

@@ -32,8 +32,8 @@ def count_tokens(table: PieceTable, texts: list[str]) -> list[int]:
     """Each text's number of tokens."""
     frequencies = [None if (words := table.split(t)) is None else Counter(words) for t in texts]
     distinct = set().union(*(f for f in frequencies if f))
-    table.learn(distinct)
-    pieces = {w: len(table.memo[w]) // 4 for w in distinct}
+    memo = table.renew()
+    pieces = {w: len(memo[w]) // 4 for w in distinct}
     return [
         len(table.whole(t)) // 4 if f is None else sum(n * pieces[w] for w, n in f.items())
         for t, f in zip(texts, frequencies, strict=True)
