@@ -170,3 +170,21 @@ def test_vocabulary_and_rules():
     assert rules.of("notexample.org", "/es/1") == ("org/", "allow")
     assert rules.of("org", "/") == ("org/", "allow")
     assert rules.of("example.net", "/") is None and rules.of("", "/") is None and rules.of("example.org", "") is None
+
+
+def test_numbers_of_words():
+    """Equal words, lower-cased, have equal numbers wherever they stand; texts of any length and of no words."""
+    from trackfuse.llm.words import SpacedNumbers
+
+    numbers = SpacedNumbers()
+    long = b"x" * 700_000
+    texts = [b"", b" \t\n", b"Ab aB\x0bcd", "é É z".encode(), b"ab " * 300_000, long + b" y", long.upper(), long + b"x z ", b"cd"]
+    found = [n.tolist() for n in numbers.of(texts)]
+    known = {}
+    for text, own in zip(texts, found, strict=True):
+        words = text.lower().split()
+        assert len(words) == len(own)
+        for word, number in zip(words, own, strict=True):
+            assert known.setdefault(word, number) == number
+    assert len(set(known.values())) == len(known) == 9
+    assert [n.tolist() for t in texts for n in numbers.of([t])] == found

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackfuse.llm.components import connected_components
-from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, mix, spaced_numbers, utf8
+from trackfuse.llm.words import CHUNK_BYTES, SpacedNumbers, gram_hashes, mix, utf8
 from trackfuse.session import stage
 
 SHINGLE = 5
@@ -166,10 +166,10 @@ class _Reader:
     """Shingle sets of texts."""
 
     def __init__(self, n: int):
-        self.n = n
+        self.numbers, self.n = SpacedNumbers(), n
 
     def sets(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        for words in spaced_numbers(texts):
+        for words in self.numbers.of(texts):
             yield shingles(words, self.n)
 
 

@@ -96,56 +96,62 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, base, np.uint64))))
 
 
-def _numbered(text: bytes, powers: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and numbers of the words of a piece of text: differences of running sums of a polynomial."""
-    data = np.frombuffer(text, np.uint8)
-    space = _SPACE[data]
-    edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
-    begins, ends = edges[::2], edges[1::2]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_NUMBERS[data] * powers[: len(data)])))
-    numbers = (sums[ends] - sums[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)
-    for i in np.flatnonzero(ends - begins > _LONG_WORD).tolist():
-        # Long words can be made to have one polynomial.
-        numbers[i] = xxhash.xxh3_64_intdigest(text[begins[i] : ends[i]].lower())
-    return begins, mix(numbers)
-
-
-def spaced_numbers(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """For each text the 64-bit numbers of its words, A-Z lower-cased runs of anything but ASCII white space.
-
-    Words are equal if, and but for chance only if, their numbers are. No word is looked up or held.
+class SpacedNumbers:
+    """64-bit numbers of words, A-Z lower-cased runs of anything but ASCII white space.
+
+    Words are equal if, and but for chance only if, their numbers are. No word is looked up or held: a word's
+    number is a polynomial of its bytes, the difference of running sums over the text. To be made once a task.
     """
-    powers = _powers(_BASE, _NUMBERED_BYTES)
-    inverse = _powers(pow(_BASE, -1, 1 << 64), _NUMBERED_BYTES)
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and size + len(texts[end]) < _NUMBERED_BYTES:
-            size += len(texts[end]) + 1
-            end += 1
-        if end > at:
-            begins, numbers = _numbered(b" ".join(texts[at:end]), powers, inverse)
-            starts = np.cumsum([0, *(len(t) + 1 for t in texts[at:end])])
-            yield from np.split(numbers, np.searchsorted(begins, starts[1:-1]))
-            at = end
-            continue
-        # A text too long for one go is cut where there is white space.
-        parts, text, begin = [], texts[at], 0
+
+    def __init__(self):
+        self.powers = _powers(_BASE, _NUMBERED_BYTES)
+        self.inverse = _powers(pow(_BASE, -1, 1 << 64), _NUMBERED_BYTES)
+
+    def _piece(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of the words of a piece of text."""
+        data = np.frombuffer(text, np.uint8)
+        space = _SPACE[data]
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
+        begins, ends = edges[::2], edges[1::2]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_NUMBERS[data] * self.powers[: len(data)])))
+        numbers = (sums[ends] - sums[begins]) * self.inverse[begins] + (ends - begins).astype(np.uint64)
+        for i in np.flatnonzero(ends - begins > _LONG_WORD).tolist():
+            # Long words can be made to have one polynomial.
+            numbers[i] = xxhash.xxh3_64_intdigest(text[begins[i] : ends[i]].lower())
+        return begins, mix(numbers)
+
+    def _long(self, text: bytes) -> np.ndarray:
+        """The numbers of a text that is too long for one go: it is cut where there is white space."""
+        parts, begin = [], 0
         while begin < len(text):
             piece = text[begin : begin + _NUMBERED_BYTES]
             if begin + len(piece) < len(text):
-                last = len(piece.rstrip(_NOT_SPACE))
-                if last:
-                    piece = piece[:last]
-                else:  # one word that goes on for very long
-                    length = len(text[begin:].split(None, 1)[0])
-                    parts.append(mix(np.array([xxhash.xxh3_64_intdigest(text[begin : begin + length].lower())], np.uint64)))
-                    begin += length
-                    continue
-            parts.append(_numbered(piece, powers, inverse)[1])
-            begin += len(piece)
-        yield np.concatenate(parts)
-        at += 1
+                piece = piece[: len(piece.rstrip(_NOT_SPACE))]
+            if piece:
+                parts.append(self._piece(piece)[1])
+                begin += len(piece)
+            else:  # one word that goes on for very long
+                word = text[begin:].split(None, 1)[0]
+                parts.append(mix(np.array([xxhash.xxh3_64_intdigest(word.lower())], np.uint64)))
+                begin += len(word)
+        return np.concatenate(parts)
+
+    def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The numbers of each text's words; short texts are worked on together."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size + len(texts[end]) < _NUMBERED_BYTES:
+                size += len(texts[end]) + 1
+                end += 1
+            if end == at:
+                yield self._long(texts[at])
+                at += 1
+                continue
+            begins, numbers = self._piece(b" ".join(texts[at:end]))
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts[at:end])])
+            yield from np.split(numbers, np.searchsorted(begins, starts[1:-1]))
+            at = end
 
 
 _NOT_SPACE = bytes(b for b in range(256) if not (b == 32 or 9 <= b <= 13))
