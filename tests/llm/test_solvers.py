@@ -186,5 +186,5 @@ def test_numbers_of_words():
         assert len(words) == len(own)
         for word, number in zip(words, own, strict=True):
             assert known.setdefault(word, number) == number
-    assert len(set(known.values())) == len(known) == 9
+    assert len(set(known.values())) == len(known) == 8
     assert [n.tolist() for t in texts for n in numbers.of([t])] == found

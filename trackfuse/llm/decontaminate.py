@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackfuse.llm.words import alnum_words, sha256, text_of, utf8
+from trackfuse.llm.words import alnum_words, sha256, text_of, trimmed, utf8
 from trackfuse.session import stage
 
 WINDOW = 10
@@ -274,7 +274,7 @@ def find_leaks(
     for automaton in _blocks(items, item_id_col, item_text_col, window, block_words):
         if not first:
             found = stage(found, "leaks")
-        found = found.mapInArrow(scan(context.broadcast(vars(automaton)), first), schema)
+        found = found.mapInArrow(trimmed(scan(context.broadcast(vars(automaton)), first)), schema)
         first = False
     hit = F.aggregate(
         F.sequence(F.lit(0), F.array_size("spans") - 2, F.lit(2)),

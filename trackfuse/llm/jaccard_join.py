@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackfuse.llm.components import connected_components
-from trackfuse.llm.words import CHUNK_BYTES, SpacedNumbers, gram_hashes, mix, utf8
+from trackfuse.llm.words import CHUNK_BYTES, SpacedNumbers, gram_hashes, mix, trimmed, utf8
 from trackfuse.session import stage
 
 SHINGLE = 5
@@ -217,7 +217,7 @@ def _measure(base: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(nulls, names=_MEASURED)
 
     kind = base.schema["_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"_id {kind}, " + ", ".join(f"{c} bigint" for c in _MEASURED[1:]))
+    return base.mapInArrow(trimmed(run), f"_id {kind}, " + ", ".join(f"{c} bigint" for c in _MEASURED[1:]))
 
 
 _MEASURED = ["_id", "_hash", "n", "h1", "h2", "token", "times"]
@@ -240,7 +240,7 @@ def _prefixes(base: DataFrame, n: int, percent: int, late) -> DataFrame:
                 names=["h1", "h2", "n", "first"],
             )
 
-    return base.select("_text").mapInArrow(run, "h1 bigint, h2 bigint, n bigint, first array<bigint>")
+    return base.select("_text").mapInArrow(trimmed(run), "h1 bigint, h2 bigint, n bigint, first array<bigint>")
 
 
 def ordered(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
@@ -262,7 +262,7 @@ def _packed_texts(base: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), packed], names=["_id", "_hash", "packed"])
 
     kind = base.schema["_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"_id {kind}, _hash bigint, packed binary")
+    return base.mapInArrow(trimmed(run), f"_id {kind}, _hash bigint, packed binary")
 
 
 def _unpacked(column: pa.Array, reader: _Reader) -> list[np.ndarray]:
@@ -286,7 +286,7 @@ def _sketched(chosen: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
     return chosen.mapInArrow(
-        run, "h1 bigint, h2 bigint, packed binary, mostly boolean, n bigint, sketch binary"
+        trimmed(run), "h1 bigint, h2 bigint, packed binary, mostly boolean, n bigint, sketch binary"
     )
 
 
@@ -380,7 +380,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFr
         sets.select(F.col("node").alias(k), F.col("packed").alias(f"t{k}")) for k in "uv"
     )
     filled = pairs.select("u", "v").join(one, "u").join(two, "v").select("u", "v", "tu", "tv")
-    return filled.mapInArrow(run, "u bigint, v bigint")
+    return filled.mapInArrow(trimmed(run), "u bigint, v bigint")
 
 
 def _all_verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:

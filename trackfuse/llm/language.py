@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackfuse.llm.words import CHUNK_BYTES, per_worker, text_of
+from trackfuse.llm.words import CHUNK_BYTES, per_worker, text_of, trimmed
 
 #: Bounds of the sample that is learned from: characters per language, documents per language, characters in all (each
 #: of very many languages gets fewer).
@@ -303,4 +303,4 @@ def identify_languages(
     text = [] if text_col in carry else [F.col(text_col).cast("string").alias("_text")]
     rows = docs.select(F.col(id_col), *text, *([F.struct(*carry).alias("row")] if carry else []))
     shape = T.StructType([rows.schema[0]]).add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(judge, T.StructType([*shape, *(rows.schema[c] for c in carried)]))
+    return rows.mapInArrow(trimmed(judge), T.StructType([*shape, *(rows.schema[c] for c in carried)]))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from trackfuse.llm.pretokens import PieceTable
 from trackfuse.llm.token_counts import chunks
+from trackfuse.llm.words import trimmed
 from trackfuse.session import stage
 
 CAPACITY = 4096
@@ -158,7 +159,7 @@ def token_pieces(
 
     kind = docs.schema[id_col].dataType.simpleString()
     fields = f"`{id_col}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, nth bigint, part int"
-    return docs.select(id_col, text_col).mapInArrow(cut, fields + (", ids array<int>" if with_ids else ""))
+    return docs.select(id_col, text_col).mapInArrow(trimmed(cut), fields + (", ids array<int>" if with_ids else ""))
 
 
 def pack(
@@ -222,4 +223,4 @@ def pack(
     own = [c for c in pieces.columns if c not in ("nth", "part")]
     ranked = pieces.join(bases.hint("merge"), ["length", "part"]).select(*own, "nth", "base", "part")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields[:-3])
-    return ranked.mapInArrow(place, fields + ", sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(trimmed(place), fields + ", sequence_id bigint, offset bigint")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, utf8
+from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, trimmed, utf8
 from trackfuse.session import stage
 
 #: Contexts that one task searches at a time.
@@ -140,9 +140,9 @@ def _anchors(base: DataFrame, kind: Passages, counting: bool) -> DataFrame:
                     )
 
     if counting:
-        return base.mapInArrow(run, "gram bigint")
+        return base.mapInArrow(trimmed(run), "gram bigint")
     id_kind = base.schema["_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"gram bigint, c1 bigint, c2 bigint, _id {id_kind}, _hash bigint, place bigint")
+    return base.mapInArrow(trimmed(run), f"gram bigint, c1 bigint, c2 bigint, _id {id_kind}, _hash bigint, place bigint")
 
 
 _NOTHING = np.empty(0, np.uint64)
@@ -276,7 +276,7 @@ def remove_repeats(
         f"_open array<struct<gram:bigint,own:boolean,hot:boolean,first:bigint,context:binary>>, {fields}",
     )
     own_shape = T.StructType([*([rows.schema["_row"]] if carry else [])])
-    first_pass = stage(noted.mapInArrow(read, T.StructType([*opened_shape, *own_shape])), "texts")
+    first_pass = stage(noted.mapInArrow(trimmed(read), T.StructType([*opened_shape, *own_shape])), "texts")
     out = [F.col("_row").alias("row")] if carry else []
     ready = first_pass.filter(F.col("_text").isNull()).select(F.col("_id").alias(id_col), *names, *out)
     waiting = first_pass.filter(F.col("_text").isNotNull()).select("_id", "_hash", "_text", "_spans", *carried)
@@ -306,7 +306,7 @@ def remove_repeats(
             )
 
     joined = _left_join(waiting, more).select("_id", "_text", "_spans", "more", *carried)
-    closed = joined.mapInArrow(close, T.StructType([*_shape(spark, f"_id {id_kind}, {fields}"), *own_shape]))
+    closed = joined.mapInArrow(trimmed(close), T.StructType([*_shape(spark, f"_id {id_kind}, {fields}"), *own_shape]))
     return ready.unionByName(closed.select(F.col("_id").alias(id_col), *names, *out))
 
 

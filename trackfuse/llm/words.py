@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
@@ -53,6 +55,25 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for a task's batches, after which what the allocators hold on to goes back to the system.
+
+    Python workers live on between tasks and stages; without it each keeps the most that any task has taken.
+    """
+
+    @functools.wraps(run)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others need no telling
+            if trim is not None:
+                trim(0)
+
+    return each
+
+
 def text_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
     """The texts of a batch that has them as ``_text``, or else in the struct ``row`` under ``text_col``."""
     at = batch.schema.get_field_index("_text")
