@@ -15,7 +15,7 @@ from trackfuse.llm import decontaminate, jaccard_join, language, packing
 from trackfuse.llm.fm_dedup import kept_words, passages
 from trackfuse.llm.repeats import remove_repeats
 from trackfuse.operators.skew import fits_broadcast
-from trackfuse.session import configure, stage
+from trackfuse.session import configure, new_path, run_folder, stage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -37,8 +37,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that repeat with id and text one stays, too. Texts without words are no copies.
     """
-    found = jaccard_join.near_duplicate_components(docs, with_keys=True)
-    found = stage(found.filter("n_shingles > 0").select("doc_id", "text_hash", "group"), "groups")
+    groups = new_path(spark, "groups")
+    with run_folder(spark):  # what the join has written besides goes once the groups are known
+        found = jaccard_join.near_duplicate_components(docs, with_keys=True)
+        found.filter("n_shingles > 0").select("doc_id", "text_hash", "group").write.parquet(groups)
+    found = spark.read.parquet(groups)
     # Rows of one id and text are told apart by no more than their number.
     each = found.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("times"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
