@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackfuse.llm.components import connected_components
@@ -460,17 +460,18 @@ def near_duplicate_components(
     prefixes = _prefixes(base, shingle, percent, shared).filter("n > 0").groupBy("h1", "h2").agg(
         F.first("n").alias("n"), F.first("first").alias("first")
     )
+    # Written, as it is read twice: to count the lists, and to fill those of several sets.
+    prefixes = stage(prefixes.select(F.shiftrightunsigned("h1", 16).alias("key"), "n", "first"), "prefixes")
     # Six bytes of a token and of a set's hash will do to bring together what may belong together.
-    postings = prefixes.select("h1", "n", F.posexplode("first").alias("place", "token")).select(
+    postings = prefixes.select("key", "n", F.posexplode("first").alias("place", "token")).select(
         F.shiftrightunsigned("token", 16).alias("token"),
-        F.shiftrightunsigned("h1", 16).alias("key"),
+        "key",
         F.shiftleft("n", 24).bitwiseOR(F.col("place").cast("long")).alias("np"),
     )
-    same_token = Window.partitionBy("token")
-    lists = postings.withColumns(
-        {"long": F.count("*").over(same_token), "leader": F.min("key").over(same_token)}
-    )
-    lists = stage(lists.filter("long > 1"), "lists")
+    # Added up before the shuffle, so a token of very many sets is no task's burden; the join splits it, too.
+    lengths = postings.groupBy("token").agg(F.count("*").alias("long"), F.min("key").alias("leader"))
+    lengths = stage(lengths.filter("long > 1"), "lengths")
+    lists = stage(postings.join(lengths, "token"), "lists")
 
     # A set's first lists, and whether most of its first tokens are in lists.
     place = F.col("np").bitwiseAND((1 << 24) - 1)
