@@ -146,11 +146,16 @@ class LanguageModel:
     def rates(self, texts: Sequence[str], letters: np.ndarray) -> np.ndarray:
         """Bits per symbol: a phrase's name a place in the learned text, an unknown letter's also one in the alphabet.
 
+        A phrase is the longest match from where the last one ended; the text is parsed in segments of ``SEGMENT``
+        symbols. A symbol that the learned text lacks is one phrase together with the match after it.
+
         A row per text. Without the latter a language of little text would be cheap for any text.
         """
         codes, sizes = _codes(texts)
-        symbols, kept = _squeeze(_symbols(codes, self.alphabet, letters))
         ends = np.concatenate(([0], np.cumsum(sizes)))
+        # A text's first space is its own, whatever text goes before it.
+        starts = ends[:-1][sizes > 0]
+        symbols, kept = _squeeze(_symbols(codes, self.alphabet, letters), starts=starts)
         bounds = np.searchsorted(kept, ends)  # the texts' places among what is left
         lengths = np.diff(bounds)
         n_segments = -(-lengths // SEGMENT)
@@ -199,10 +204,12 @@ def _symbols(codes: np.ndarray, alphabet: np.ndarray, letters: np.ndarray) -> np
     return np.where(known, at + 2, np.where(letters[codes], _OTHER, _SPACE))
 
 
-def _squeeze(symbols: np.ndarray, blank: int = _SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """One space for each run of what is no letter; also the places kept."""
+def _squeeze(symbols: np.ndarray, blank: int = _SPACE, starts: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """One space for each run of what is no letter; also the places kept. Runs end at ``starts``."""
     space = symbols == blank
-    keep = np.flatnonzero(~(space & np.concatenate(([False], space[:-1]))))
+    goes_on = np.concatenate(([False], space[:-1]))[: len(space)]
+    goes_on[np.asarray(starts, np.int64)] = False
+    keep = np.flatnonzero(~(space & goes_on))
     return symbols[keep], keep
 
 
