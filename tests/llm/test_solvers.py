@@ -1,13 +1,14 @@
 """The parts that run within a task, against plain versions."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
 from tests.llm import brute
-from trackfuse.llm import decontaminate, fm_dedup, hilbert, jaccard_join, neighbours, packing, suffix_dedup
+from trackfuse.llm import decontaminate, fm_dedup, hilbert, jaccard_join, language, neighbours, packing, suffix_dedup
 from trackfuse.llm.url_filter import Rules, Vocabulary
 
 
@@ -154,6 +155,53 @@ def test_graph_finds_near_centroids():
     assert (np.diff(apart, axis=1) >= 0).all()
 
 
+def test_graph_reaches_every_centroid():
+    """Far islands, and wishes of any width: all are found, in the order that a comparison with all gives."""
+    rng = np.random.default_rng(3)
+    islands = np.concatenate([rng.normal(size=(40, 8)) + 1_000 * k for k in range(8)])
+    graph = neighbours.CentroidGraph(islands, degree=6, entries=4)
+    asked = np.concatenate([rng.normal(size=(5, 8)), rng.normal(size=(5, 8)) + 3_000])
+    true = np.argsort(neighbours._distances(asked, islands), axis=1, kind="stable")
+    for wanted in (len(islands), 2 * len(islands)):
+        assert np.array_equal(graph.search(asked, wanted, 20)[0], true)
+    lists = graph.probes_of(asked, np.ones(len(islands), np.int64), least=250, probes=250, ratio=1.0)
+    assert all(len(own) == len(set(own.tolist())) == 250 for own in lists)
+    assert np.mean([len(set(own) & set(t[:250])) for own, t in zip(lists, true, strict=True)]) >= 240
+    assert graph.probes_of(asked[:0], np.ones(len(islands), np.int64), least=1) == []
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_cross_parsing(seed):
+    """Rates against a parse by plain substring search."""
+    rng = random.Random(seed)
+
+    def prose(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    samples = {"a": prose("abcde ", 400), "b": prose("cdefgh ", 90), "c": prose("xy", 1 + seed)}
+    model = language.LanguageModel.learn({k: [v] for k, v in samples.items()})
+    texts = [prose("abcdefghxyzé 1.", rng.choice([0, 1, 5, 255, 256, 257, 700])) for _ in range(8)] + ["", "zz", " a"]
+    learned = {k: re.sub("[^a-zé]+", " ", v) for k, v in samples.items()}
+    alphabet = set("".join(learned.values())) - {" "}
+    wanted = []
+    for text in (re.sub("[^a-zé]+", " ", t) for t in texts):
+        row = []
+        for name in sorted(learned):
+            phrases = 0
+            for at in range(0, len(text), language.SEGMENT):
+                phrases, match = phrases + 1, ""
+                for c in text[at : at + language.SEGMENT]:
+                    if match + c in learned[name]:
+                        match += c
+                    else:
+                        phrases, match = phrases + 1, c if c in learned[name] else ""
+            unknown = sum(c not in learned[name] for c in text)
+            bits = phrases * np.log2(max(len(learned[name]), 2)) + unknown * np.log2(len(alphabet) + 2)
+            row.append(bits / max(len(text), 1))
+        wanted.append(row)
+    assert np.allclose(model.rates(texts, language._letter_table()), wanted)
+
+
 def test_equal_points_make_one_centroid():
     assert len(neighbours.balanced_centroids(np.ones((500, 4)), 10)) == 1
 

@@ -27,8 +27,8 @@ RATIO = 1.5
 PROBES = 48
 TRIALS = 200
 MISSED = 0.02
-#: Wider searches compare all centroids (at most a few thousand) instead of following the graph.
-GRAPH_PROBES = 64
+#: Numbers that a step of the graph search gathers at a time.
+STEP_NUMBERS = 2_000_000
 _SHARD_ROWS = 20_000
 
 
@@ -78,7 +78,8 @@ class CentroidGraph:
             apart = _distances(centroids[at : at + 512], centroids)
             apart[np.arange(len(apart)), np.arange(at, at + len(apart))] = np.inf if n > 1 else 0
             links[at : at + 512] = np.argsort(apart, axis=1)[:, :degree]
-        self.links = links
+        # The ring of all centroids leaves none out of reach.
+        self.links = np.concatenate([links, (np.arange(n)[:, None] + 1) % n], axis=1)
         self.entries = np.sort(np.random.default_rng(seed).choice(n, min(entries, n), replace=False))
 
     def search(self, x: np.ndarray, wanted: int, step: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -142,12 +143,11 @@ class CentroidGraph:
         self, x: np.ndarray, rows: np.ndarray, least: int, probes: int = PROBES, ratio: float = RATIO
     ) -> list[np.ndarray]:
         """The lists a query goes through: by distance ratio, and on until they hold ``least`` rows."""
-        if probes <= GRAPH_PROBES:
-            ids, apart = self.search(x, probes)
-        else:
-            apart = _distances(x, self.centroids)
-            ids = np.argsort(apart, axis=1, kind="stable")[:, :probes]
-            apart = np.take_along_axis(apart, ids, axis=1)
+        # A wide search opens more centroids in a step, for fewer queries at a time.
+        step = max(4, min(probes, len(self.centroids)) // 16)
+        block = max(1, STEP_NUMBERS // (step * self.links.shape[1] * x.shape[1]))
+        parts = [self.search(x[at : at + block], probes, step) for at in range(0, max(len(x), 1), block)]
+        ids, apart = (np.concatenate(c) for c in zip(*parts, strict=True))
         enough = np.cumsum(rows[ids], axis=1) - rows[ids] >= least
         keep = (apart <= apart[:, :1] * ratio + 1e-12) | ~enough
         return [row[k] for row, k in zip(ids, keep, strict=True)]
