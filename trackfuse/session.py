@@ -21,6 +21,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Batches that go to Python workers end at so many bytes, however long the rows are.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    # A long job is many queries: each one's shuffle files go when it ends, not when the driver collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
