@@ -19,9 +19,12 @@ from trackfuse.llm import (
     language,
     neighbours,
     packing,
+    pretokens,
+    repeats,
     suffix_dedup,
     token_counts,
     url_filter,
+    words,
 )
 from trackfuse.llm.queries import URL_RULES
 
@@ -57,6 +60,46 @@ def test_repeated_words(docs, no_docs, rows_of, hot):
         assert (kept.n_words, kept.spans, kept.kept) == (300, [0, 300], "")
 
 
+@pytest.mark.parametrize("hot", [2_000, 1])
+def test_repeats_within_one_text(spark, hot):
+    """Runs of one symbol, lines said over and over, of which each is in one text alone; a run longer than a part."""
+    noise = np.random.default_rng(5).integers(97, 123, 600).astype(np.uint8).tobytes().decode()
+    line = noise[400:470]
+    texts = [noise[:90] + "-" * 230 + noise[90:150], noise[150:350] + "=" * 200 + noise[350:360], "ab" * 300]
+    texts += [noise[360:400] + line * 9 + noise[470:500], noise[:50] + line + "." * 150 + line + "." * 151]
+    texts += ["é" * 130, "z" * 199, "y" * 200, "x" * 201]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    options = {"hot_contexts": hot, "shard_contexts": 3}
+    found = bag(suffix_dedup.repeated_bytes_digest(df, **options))
+    assert found == Counter((k, *w) for (k, _), w in zip(rows, brute.repeated_bytes(texts), strict=True))
+    spaced = [" ".join(t) for t in texts] + ["a " * 34, "b " * 35, "c " * 36, "u v w " * 20 + "x"]
+    rows = list(enumerate(spaced))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = bag(fm_dedup.repeated_words_digest(df, **options))
+    assert found == Counter((k, *w) for (k, _), w in zip(rows, brute.repeated_words(spaced), strict=True))
+
+
+def test_repeats_in_very_long_texts(spark):
+    size = 3 * repeats.MAX_SYMBOLS
+    df = spark.createDataFrame([(1, "clean " + "q" * size), (2, "also clean")], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeated_bytes(df).collect()}
+    assert (found[1].spans, bytes(found[1].kept)) == ([6, size + 6], b"clean ")
+    assert (found[2].spans, bytes(found[2].kept)) == ([], b"also clean")
+
+
+def test_runs_have_few_anchors():
+    window, gram = 200, 48
+    same = np.full(1 << 16, 7, np.uint64)
+    valid = np.arange(len(same)) <= len(same) - window
+    first, n, grams, several = repeats.anchored_runs(same, valid, window, gram)
+    assert len(first) <= len(same) / (window - gram) + 1 and several.all() and len(set(grams.tolist())) == 1
+    assert n.sum() == valid.sum() and (first[1:] == first[:-1] + n[:-1]).all()
+    mixed = words.mix(np.arange(1 << 12, dtype=np.uint64))
+    first, n, _, several = repeats.anchored_runs(mixed, np.arange(len(mixed)) <= len(mixed) - window, window, gram)
+    assert not several.any() and n.max() <= window - gram + 1
+
+
 @pytest.mark.parametrize("cell", [3_000, 3])
 def test_components(docs, no_docs, rows_of, cell, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CELL_ROWS", cell)
@@ -105,6 +148,32 @@ def test_token_counts(spark, docs, no_docs, rows_of):
     assert token_counts.token_counts(no_docs, PATH).count() == 0
 
 
+SCRIPTS = [
+    "Ταῦτα πάντα ΣΟΦΟΣ σοφός, ὁ ΧΡΌΝΟΣ", "Съешь же ещё этих мягких французских булок", "“Curly” – it’s don't, DON’T…",
+    "我能吞下玻璃而不伤身体。日本語のテキスト", "हिन्दी में १२३ और ٤٥٦", "e\u0301 \u0130stanbul ǅ ﬁ ½ Ⅷ", "👩‍👩‍👧 \u200b\ufeff x\u00a0y\u3000z",
+    "a <|endoftext|>б<|startoftext|><|endoftext|> ’s <|ENDOFTEXT|> <|endoftext|", "<|endoftext|>", "Ã© é \u0120 \x00 \x85 \x1f",
+]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_token_counts_of_every_script(spark, name, monkeypatch):
+    """No text of a tokenizer with a rule for pre-tokens goes through it whole."""
+    path = public_tokenizers.path(name)
+    table = pretokens.PieceTable(path)
+    whole = Tokenizer.from_file(path)
+    quick = name.startswith("word")
+    if quick:
+        monkeypatch.setattr(table, "whole", None)
+    texts = [*SCRIPTS, *ODD_TEXTS, " ".join(SCRIPTS)]
+    assert token_counts.count_tokens(table, texts) == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    for t in texts:
+        cut = table.own_split(t)
+        if cut is not None:
+            ids = b"".join(table.memo[w] for w in cut)
+            assert ids == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert cut is not None or not quick
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
 def test_token_counts_of_another_kind(spark, rows_of, name):
     path = public_tokenizers.path(name)

@@ -7,10 +7,13 @@ hundred positions stand for all windows, and only windows whose anchors have equ
 can be equal. The windows of an anchor cover a *context*:
 
 * a context that occurs twice is settled: all its windows are repeated;
-* a context whose gram occurs in other contexts only is open: the contexts of such a gram
-  are sent together and searched by the operator's own index;
+* a context whose gram occurs in other contexts only, or more than once as an anchor in this one, is
+  open: the contexts of such a gram are sent together and searched by the operator's own index;
 * all others are unique.
 
+Anchors of one gram that follow each other, as in a run of one symbol or a line said over and
+over, share a context of less than two windows' length more, so such a text has few anchors, too.
+
 Texts themselves are never compared pairwise, and equal contexts are counted before they
 are shuffled, so groups of copies of any size stay cheap.
 """
@@ -39,6 +42,8 @@ SHARD_CONTEXTS = 4_000
 HOT_CONTEXTS = 2_000
 #: Symbols worked on at a time; longer texts are taken in overlapping parts.
 MAX_SYMBOLS = 1 << 20
+#: Parts into which the rows of a gram are dealt that has more than a thousandth of all.
+HEAVY_PARTS = 256
 _PLACE_BITS = np.uint64((1 << 24) - 1)
 
 
@@ -46,15 +51,15 @@ _PLACE_BITS = np.uint64((1 << 24) - 1)
 class Passages:
     """What is removed, and how texts are read.
 
-    ``symbols`` gives a text's symbols as spread 64-bit numbers, ``cut`` the bytes of
-    symbols ``[begin, end)`` given what ``parse`` made of the text, and ``search`` finds, among
-    contexts of one shard, the windows that occur twice.
+    ``parse`` makes a sequence of symbols of a text, ``symbols`` spread 64-bit numbers of any part of
+    it, ``cut`` the bytes of its symbols ``[begin, end)``, and ``search`` finds, among contexts of
+    one shard, the windows that occur twice.
     """
 
     window: int
     gram: int
-    parse: Callable[[bytes], object]
-    symbols: Callable[[object], np.ndarray]
+    parse: Callable[[bytes], Sequence]
+    symbols: Callable[[Sequence], np.ndarray]
     cut: Callable[[object, int, int], bytes]
     search: Callable[[list[bytes], int], list[np.ndarray]]
 
@@ -68,28 +73,36 @@ def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchored_runs(symbols: np.ndarray, valid: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """First window, number of windows and gram of each run of windows with one anchor.
+    """Each run of windows whose anchors have one gram: first window, number of windows, gram, several anchors or not.
 
-    ``valid`` marks the windows that lie in one text. Ties go to the first gram.
+    ``valid`` marks the windows that lie in one text. Ties go to the first gram. A run ends
+    with the anchor at which it has as many windows as one anchor can have.
     """
     grams = gram_hashes(symbols, gram)
     keys = (grams & ~_PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
     anchors = (_sliding_min(keys, window - gram + 1) & _PLACE_BITS).astype(np.int64)
     starts = np.flatnonzero(valid[: len(anchors)])
     if not len(starts):
-        return starts, starts, grams[:0]
+        return starts, starts, grams[:0], valid[:0]
     own = anchors[starts]
-    new = np.concatenate(([True], (own[1:] != own[:-1]) | (starts[1:] != starts[:-1] + 1)))
-    at = np.flatnonzero(new)
-    return starts[at], np.diff(np.append(at, len(starts))), grams[own[at]]
-
-
-def _parts(texts: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+    apart = starts[1:] != starts[:-1] + 1
+    at = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | apart)))
+    value = grams[own[at]]
+    fresh = np.concatenate(([True], (value[1:] != value[:-1]) | apart[at[1:] - 1]))
+    chain = at[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
+    piece = (at - chain) // (window - gram + 1)
+    head = np.flatnonzero(fresh | np.concatenate(([True], piece[1:] != piece[:-1])))
+    several = np.diff(np.append(head, len(at))) > 1
+    at = at[head]
+    return starts[at], np.diff(np.append(at, len(starts))), value[head], several
+
+
+def _parts(parsed: list, kind: Passages) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     """Groups of (text, offset, symbols) of bounded size; parts of a text overlap by a window less one."""
-    group, size = [], 0
-    for k, symbols in enumerate(texts):
-        for at in range(0, max(len(symbols) - window + 1, 0), MAX_SYMBOLS // 2):
-            part = symbols[at : at + MAX_SYMBOLS // 2 + window - 1]
+    group, size, window = [], 0, kind.window
+    for k, text in enumerate(parsed):
+        for at in range(0, max(len(text) - window + 1, 0), MAX_SYMBOLS // 2):
+            part = kind.symbols(text[at : at + MAX_SYMBOLS // 2 + window - 1])
             if group and size + len(part) > MAX_SYMBOLS:
                 yield group
                 group, size = [], 0
@@ -100,24 +113,28 @@ def _parts(texts: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int
 
 
 def _anchors(base: DataFrame, kind: Passages, counting: bool) -> DataFrame:
-    """A row per anchor: its gram, and unless ``counting`` the context's 128-bit hash, the text's key and the place."""
+    """A row per context: its gram, and unless ``counting`` its 128-bit hash, the text's key and the place.
+
+    When counting, a context in which the gram is the anchor more than once has two rows.
+    """
     window, gram = kind.window, kind.gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = utf8(batch.column(1))
             for begin, end in _ranges(raw):
-                parsed = [kind.symbols(kind.parse(t)) if len(t) >= window else _NOTHING for t in raw[begin:end]]
-                for group in _parts(parsed, window):
+                parsed = [kind.parse(t) if len(t) >= window else b"" for t in raw[begin:end]]
+                for group in _parts(parsed, kind):
                     symbols = np.concatenate([part for _, _, part in group])
                     sizes = np.array([len(part) for _, _, part in group])
                     ends = np.cumsum(sizes)
                     valid = np.ones(len(symbols), bool)
                     for e in ends.tolist():
                         valid[max(e - window + 1, 0) : e] = False
-                    first, n, grams = anchored_runs(symbols, valid, window, gram)
+                    first, n, grams, several = anchored_runs(symbols, valid, window, gram)
                     grams = grams.view(np.int64)
                     if counting:
+                        grams = np.concatenate((grams, grams[several]))
                         yield pa.RecordBatch.from_arrays([pa.array(grams)], names=["gram"])
                         continue
                     part = np.searchsorted(ends, first, side="right")
@@ -135,17 +152,29 @@ def _anchors(base: DataFrame, kind: Passages, counting: bool) -> DataFrame:
                             pc.take(batch.column(0), rows),
                             pc.take(batch.column(2), rows),
                             pa.array(local << 16 | n),
+                            pa.array(several),
                         ],
-                        names=["gram", "c1", "c2", "_id", "_hash", "place"],
+                        names=["gram", "c1", "c2", "_id", "_hash", "place", "several"],
                     )
 
     if counting:
         return base.mapInArrow(trimmed(run), "gram bigint")
     id_kind = base.schema["_id"].dataType.simpleString()
-    return base.mapInArrow(trimmed(run), f"gram bigint, c1 bigint, c2 bigint, _id {id_kind}, _hash bigint, place bigint")
+    shape = f"gram bigint, c1 bigint, c2 bigint, _id {id_kind}, _hash bigint, place bigint, several boolean"
+    return base.mapInArrow(trimmed(run), shape)
+
 
+def _with_grams(rows: DataFrame, grams: DataFrame, weight: str, *spread: str) -> DataFrame:
+    """Join by gram, of which ``grams``, a written table, says how many rows it has.
 
-_NOTHING = np.empty(0, np.uint64)
+    Those with more than a thousandth of all rows, so less than a thousand, are dealt by the columns ``spread``, too.
+    """
+    total = grams.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col("gram").isin([row[0] for row in grams.filter(F.col(weight) * 1000 > total).select("gram").collect()])
+    part = F.when(heavy, F.pmod(F.xxhash64(*spread), F.lit(HEAVY_PARTS))).otherwise(F.lit(0).cast("bigint"))
+    parts = F.when(heavy, F.sequence(F.lit(0).cast("bigint"), F.lit(HEAVY_PARTS - 1).cast("bigint")))
+    parts = F.explode(F.coalesce(parts, F.array(F.lit(0).cast("bigint"))))
+    return rows.withColumn("_part", part).join(grams.withColumn("_part", parts), ["gram", "_part"]).drop("_part")
 
 
 def _ranges(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -205,17 +234,23 @@ def remove_repeats(
     id_kind = base.schema["_id"].dataType.simpleString()
     window = kind.window
 
-    repeated = _anchors(base, kind, True).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    # Written by itself, so that the join reads plain shuffles and a gram with very many anchors can be split.
+    repeated = _anchors(base, kind, True).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    # Written by itself, so that the join reads plain shuffles and can be split.
     repeated = stage(repeated, "grams")
-    found = stage(_anchors(base, kind, False).join(repeated, "gram"), "anchors")
+    found = _with_grams(_anchors(base, kind, False), repeated, "n", "_id", "_hash", "place").drop("n")
+    found = stage(found, "anchors")
     key = ["gram", "c1", "c2"]
     contexts = found.groupBy(*key).agg(
-        F.count("*").alias("copies"), F.min(F.struct("_id", "_hash", "place")).alias("one")
+        F.count("*").alias("copies"),
+        F.min(F.struct("_id", "_hash", "place")).alias("one"),
+        F.max("several").alias("several"),
     )
     contexts = stage(contexts, "contexts")
-    grams = contexts.groupBy("gram").agg(F.count("*").alias("different")).filter("different > 1")
-    searched = contexts.join(grams, "gram").select(
+    grams = contexts.groupBy("gram").agg(
+        F.count("*").alias("different"), F.max(F.expr("several AND copies = 1")).alias("within")
+    )
+    grams = stage(grams.filter("different > 1 OR within").drop("within"), "open")
+    searched = _with_grams(contexts, grams, "different", "c1").select(
         "one._id", "one._hash", "one.place", "gram", "copies", (F.col("different") > hot_contexts).alias("hot")
     )
     settled = found.join(contexts.filter("copies > 1").select(*key), key, "left_semi").select(
@@ -395,7 +430,8 @@ def _counted(opened: DataFrame, kind: Passages, id_kind: str) -> DataFrame:
     each = opened.select("_id", "_hash", "first", "own", "context").mapInArrow(
         windows, f"_id {id_kind}, _hash bigint, own boolean, begin bigint, w binary"
     )
-    twice = each.groupBy("w").agg(F.count("*").alias("n")).filter("n > 1").select("w")
+    # Written by itself, so that the join reads plain shuffles and a window of very many texts can be split.
+    twice = stage(each.groupBy("w").agg(F.count("*").alias("n")).filter("n > 1").select("w"), "windows")
     return (
         each.filter("own")
         .join(twice, "w")
