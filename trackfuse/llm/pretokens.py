@@ -35,11 +35,11 @@ _BYTE_LETTERS = {b: chr(b) for b in _VISIBLE} | {
 class _Memo(dict):
     """Words to ids. A word that is not there is taken over from the older memo, or else encoded."""
 
-    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes]):
+    def __init__(self, encode: Callable[[str | bytes], bytes], older: dict[str | bytes, bytes]):
         super().__init__()
         self.encode, self.older, self.held = encode, older, 0
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str | bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
             ids = self.encode(word)
@@ -52,9 +52,9 @@ class PieceTable:
     """The ids of each distinct pre-token, as little-endian unsigned 32-bit numbers, found once and remembered.
 
     Pre-tokens are cut by a quick pattern where the text has only characters for which
-    it agrees with the tokenizer's own rule. Any other text, and one that holds the
-    string of an added token, goes through the tokenizer as a whole, so ids are always
-    the tokenizer's. The memo's keys are pre-tokens or whole words, as ``learn`` is given them.
+    it agrees with the tokenizer's own rule, and by the tokenizer's own normaliser and rule
+    (``own_split``) where it has others. So ids are always the tokenizer's. The memo's keys are
+    pre-tokens or whole words, or bytes where the tokenizer has cut them.
     """
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
@@ -64,7 +64,13 @@ class PieceTable:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.added = [t["content"] for t in spec.get("added_tokens") or ()]
+        added = spec.get("added_tokens") or ()
+        self.added = [t["content"] for t in added]
+        self._ids = {t["content"].encode(): t["id"] for t in added}
+        #: Cuts a raw text at added tokens, the longest first, where these are looked for in raw texts as they are.
+        longest = sorted(self.added, key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(map(re.escape, longest)) or '(?!)'})")
+        self._exact = not any(t[k] for t in added for k in ("normalized", "lstrip", "rstrip", "single_word"))
         self.quick = self._is_word_kind(spec)
         self.memo, self._limit = _Memo(self._word, {}), memo_bytes
         self._pieces: dict[str, list[int]] = {}
@@ -96,12 +102,36 @@ class PieceTable:
         """The text's pre-tokens, or None if only the tokenizer itself can tell."""
         return _QUICK.findall(text.lower()) if self._plain(text) else None
 
+    def own_split(self, text: str) -> list[bytes] | None:
+        """The pre-tokens as the tokenizer cuts them, in the letters that its model reads, and the added tokens.
+
+        None if that cannot be had apart from the whole: without a rule to cut by, or where what is
+        cut at an added token may not be cut again by itself.
+        """
+        rule, normalizer = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
+        parts, found = self._cut.split(text), []
+        if rule is None or len(parts) > 1 and not (self._exact and self.quick):
+            return None
+        for i, part in enumerate(parts):
+            if i % 2:
+                found.append(part.encode())
+                continue
+            plain = normalizer.normalize_str(part) if normalizer else part
+            if not self._exact and self._cut.search(plain):
+                return None
+            found += [token.encode() for token, _ in rule.pre_tokenize_str(plain)]
+        return found
+
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str | bytes) -> bytes:
         """The ids of a word, from the model alone: a call of the whole tokenizer costs more than a word."""
+        if isinstance(word, bytes):
+            own = self._ids.get(word)
+            ids = [p.id for p in self._tokenize(word.decode())] if own is None else [own]
+            return struct.pack(f"<{len(ids)}I", *ids)
         known, tokenize, ids = self._pieces, self._tokenize, []
         for token in _QUICK.findall(word):
             own = known.get(token)

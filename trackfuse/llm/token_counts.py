@@ -30,7 +30,8 @@ def chunks(texts: list[str], most: int = CHUNK) -> Iterator[list[str]]:
 
 def count_tokens(table: PieceTable, texts: list[str]) -> list[int]:
     """Each text's number of tokens."""
-    frequencies = [None if (words := table.split(t)) is None else Counter(words) for t in texts]
+    cut = (table.own_split(t) if (words := table.split(t)) is None else words for t in texts)
+    frequencies = [None if words is None else Counter(words) for words in cut]
     distinct = set().union(*(f for f in frequencies if f))
     memo = table.renew()
     pieces = {w: len(memo[w]) // 4 for w in distinct}
@@ -52,7 +53,8 @@ def token_counts(
     ``tokenizer`` is the path of a tokenizers file that every node has. A task cuts its
     texts into pre-tokens, encodes each distinct one once, and joins the numbers of pieces
     to the documents' pre-token frequencies; neither ids nor rows per pre-token are made,
-    and nothing is shuffled. Special strings in a text count as the library counts them.
+    and nothing is shuffled. Special strings in a text count as the library counts them. Only
+    a tokenizer without a rule for pre-tokens gets whole texts.
 
     A null text counts as empty, with no tokens. Rows are counted one by one, so repeated
     rows stay; extra columns are ignored; an empty table gives an empty one.
