@@ -119,6 +119,29 @@ def test_links_found_only_through_later_lists(spark, monkeypatch):
     assert bag(found) == Counter(brute.components(rows))
 
 
+@pytest.mark.parametrize("cell", [4_000, 3])
+def test_groups_of_near_copies_make_no_row_per_pair(spark, monkeypatch, cell):
+    """All sets of a group may be linked with each other: what is handed on grows with the sets, not with the pairs."""
+    made, stage = {}, jaccard_join.stage
+
+    def counted(df, name="staged"):
+        kept = stage(df, name)
+        made[name] = max(made.get(name, 0), kept.count())
+        return kept
+
+    monkeypatch.setattr(jaccard_join, "MOSTLY_SHARED", 100.0)
+    monkeypatch.setattr(jaccard_join, "CELL_SETS", cell)
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    linked, apart = ([f"{kind}{i}" for i in range(100)] for kind in "va")
+    rows = [(i, " ".join(linked[:i] + ["other"] + linked[i + 1 :])) for i in range(0, 100, 2)]
+    rows += [(100 + i, " ".join(linked[:i] + ["more"] + linked[i + 1 :])) for i in range(1, 100, 2)]
+    # These two and two have one word in common where others differ: some pairs link, most just do not.
+    rows += [(200 + i, " ".join(apart[:i] + ["x", f"y{i // 2}"] + apart[i + 2 :])) for i in range(98)]
+    found = jaccard_join.near_duplicate_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert bag(found) == Counter(brute.components(rows))
+    assert max(made.get(name, 0) for name in ("pairs", "clusters")) <= made["lists"]
+
+
 ITEMS = [(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9é w10 w11 w12"), (2, "One two!"), (3, None), (None, "alone"), (1, "again one"), (4, "--")]
 
 

@@ -77,6 +77,19 @@ def test_links_of_a_list(seed):
         assert all(frozenset(p) in found for p in links if p[0] in own and p[1] in own)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_groups_are_joined_up(seed):
+    rng = random.Random(seed)
+    k = rng.randint(1, 30)
+    groups, links = np.arange(k), []
+    for _ in range(rng.randint(1, 5)):
+        new = [(rng.randrange(k), rng.randrange(k)) for _ in range(rng.randint(1, 8))]
+        links += new
+        jaccard_join.joined(groups, *np.array(new).T)
+        assert _groups(k, links) == {frozenset(np.flatnonzero(groups == g).tolist()) for g in groups.tolist()}
+        assert (groups[groups] == groups).all()
+
+
 def test_sketches_of_long_sets_fold():
     rng = np.random.default_rng(3)
     tokens = rng.integers(0, 1 << 63, 2_500, dtype=np.uint64)

@@ -125,13 +125,20 @@ def local_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def skipped_pairs(
-    sizes: np.ndarray, places: np.ndarray, roots: np.ndarray, sketches: list[np.ndarray], percent: int, block: int = 128
+    sizes: np.ndarray,
+    places: np.ndarray,
+    roots: np.ndarray,
+    sketches: list[np.ndarray],
+    percent: int,
+    block: int = 128,
+    groups: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of one token's index list that may be linked and are not known to be connected; also their least distance.
 
     Entries come by size. A block of them meets only the entries whose sizes can go with
     it; of these, pairs go whose places of the token in the two sets leave too few
-    tokens to share, and pairs whose sketches differ too much.
+    tokens to share, and pairs whose sketches differ too much. Pairs that are in one of
+    ``groups`` when their part of a block is reached are passed by: the caller may join groups up in between.
     """
     order = np.lexsort((places, sizes))
     sizes, places, roots = sizes[order], places[order], roots[order]
@@ -150,13 +157,19 @@ def skipped_pairs(
         ok = (roots[a, None] != roots[None, b]) & (np.arange(base, end)[:, None] < np.arange(base, to)[None, :])
         ok &= (before + after) * (100 + percent) >= n * percent
         ok &= sizes[a, None] * 100 >= sizes[None, b] * percent
+        if groups is not None:
+            ok &= groups[order[a], None] != groups[None, order[b]]
         i, j = np.nonzero(ok)
         if not len(i):
             continue
         bits = np.stack([folded(sketches[k], width) for k in order[b].tolist()])
-        step = max(1, 400_000 // width)
+        # Joined up as they come, near copies leave few pairs to look at after the first ones.
+        step = max(1, (400_000 if groups is None else 100_000) // width)
         for part in range(0, len(i), step):
             p, q = i[part : part + step], j[part : part + step]
+            if groups is not None:
+                new = groups[order[base + p]] != groups[order[base + q]]
+                p, q = p[new], q[new]
             apart = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
             near = apart * (100 + percent) <= n[p, q] * (100 - percent)
             yield order[base + p[near]], order[base + q[near]], apart[near]
@@ -315,9 +328,28 @@ def _compare_lists(rows: DataFrame, shards: int, n: int, percent: int) -> DataFr
     )
 
 
-def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
-    """Pairs that may be linked, of each cell of each list (cell, node, root, np, sketch, met, shard); also how far apart.
-
+def joined(groups: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Join up the groups (each named by one of its members) of all pairs (x, y), in place."""
+    while True:
+        a, b = groups[x], groups[y]
+        apart = a != b
+        if not apart.any():
+            return
+        x, y = x[apart], y[apart]
+        low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+        # Every group goes to the least one it meets; names that have moved on are followed to their end.
+        to = np.arange(len(groups))
+        np.minimum.at(to, high, low)
+        while (to[to] != to).any():
+            to = to[to]
+        groups[:] = to[groups]
+
+
+def _clusters(rows: DataFrame, shards: int, percent: int) -> DataFrame:
+    """Sets that must be compared with each other, of the cells of the lists (cell, node, root, np, sketch, met, shard).
+
+    Returns (list, node): any two sets of a shard that may be linked and are not known to be connected are in
+    one list. Where all sets of a group are near each other this is a row per set, not one per pair.
     ``np`` holds the set's size, the token's place in it, and the side of the cell in the lowest two bits.
     """
 
@@ -330,65 +362,47 @@ def _candidate_pairs(rows: DataFrame, shards: int, percent: int) -> DataFrame:
             met[i, : len(own or ())] = own or ()
         order = np.argsort(cell, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], cell[order][1:] != cell[order][:-1], [True])))
-        u, v, apart = [], [], []
+        # Lists of a shard have sets in common: groups are of sets, not of rows.
+        names, set_of = np.unique(nodes, return_inverse=True)
+        groups = np.arange(len(names))
+        lists, members = [], []
+
+        def close() -> None:
+            size = np.bincount(groups, minlength=len(names))
+            some = np.flatnonzero(size[groups] > 1)
+            tops = names[groups[some]]
+            label = mix(tops.astype(np.uint64) + np.uint64(len(lists)) * np.uint64(0x9E3779B97F4A7C15))
+            lists.append(_signed(label ^ mix(cell[order[:1]].astype(np.uint64))))
+            members.append(names[some])
+            groups[:] = np.arange(len(names))
+
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             own = order[a:b]
             if (roots[own] == roots[own[0]]).all():
                 continue
             bits = [np.frombuffer(sketches[i], np.uint64) for i in own.tolist()]
-            for i, j, d in skipped_pairs(sizes[own], places[own], roots[own], bits, percent):
+            cell_groups = groups[set_of[own]]
+            for i, j, _ in skipped_pairs(sizes[own], places[own], roots[own], bits, percent, groups=cell_groups):
                 # A cell of two sides is for the pairs across; those within a side have their own cell.
                 i, j = own[i], own[j]
                 fresh = (side[i] != side[j]) | (side[i] == 0)
                 for c in range(FIRST_LISTS):
                     fresh &= ~((met[i, c, None] == met[j]) & (met[i, c, None] != -1)).any(axis=1)
-                u.append(i[fresh])
-                v.append(j[fresh])
-                apart.append(d[fresh])
-        u, v, apart = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (u, v, apart))
-        # The same two sets meet in several lists of a shard.
-        low, high = np.minimum(nodes[u], nodes[v]), np.maximum(nodes[u], nodes[v])
-        first = np.unique(np.stack([low, high], axis=1), axis=0, return_index=True)[1] if len(u) else u
-        out = (low[first], high[first], apart[first])
-        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in out], names=["u", "v", "apart"])
+                if fresh.any():
+                    joined(groups, set_of[i[fresh]], set_of[j[fresh]])
+                    cell_groups[:] = groups[set_of[own]]
+            # No list grows beyond this and one more cell; pairs of later cells are in other lists.
+            if np.bincount(groups).max() > CELL_SETS:
+                close()
+        close()
+        out = (np.concatenate(lists), np.concatenate(members))
+        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in out], names=["list", "node"])
 
     return (
         rows.withColumn("_shard", F.pmod("shard", F.lit(shards)))
         .drop("shard")
         .groupBy("_shard")
-        .applyInArrow(run, "u bigint, v bigint, apart bigint")
-    )
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v) that are links."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(n)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                one, two = (_unpacked(part.column(i), reader) for i in (2, 3))
-                both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)]
-                linked = [
-                    100 * b >= percent * (len(x) + len(y) - b) for x, y, b in zip(one, two, both, strict=True)
-                ]
-                keep = pa.array(linked, pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column(i).filter(keep) for i in (0, 1)], names=["u", "v"])
-
-    one, two = (
-        sets.select(F.col("node").alias(k), F.col("packed").alias(f"t{k}")) for k in "uv"
-    )
-    filled = pairs.select("u", "v").join(one, "u").join(two, "v").select("u", "v", "tu", "tv")
-    return filled.mapInArrow(trimmed(run), "u bigint, v bigint")
-
-
-def _all_verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """``_verified`` in two parts: nearly all pairs are of sets that share much, so only the texts of these are moved."""
-    much = F.col("mu") & F.col("mv")
-    some = sets.filter("mostly")
-    return _verified(pairs.filter(much), some, n, percent).unionByName(
-        _verified(stage(pairs.filter(~much), "pairs"), sets, n, percent)
+        .applyInArrow(run, "list bigint, node bigint")
     )
 
 
@@ -428,8 +442,8 @@ def near_duplicate_components(
     3. The others' texts are stored once more, compressed. A set that shares much is compared in its
        first lists with all sets there, which joins up most groups of near copies.
     4. Lists that still hold several components are gone through in blocks by size and
-       place, split into cells where long; pairs that may be linked are verified, the
-       closest one of two components first. So every link between components is found,
+       place, split into cells where long. Sets that may be linked make clusters, a row per set and not
+       one per pair, and the sets of a cluster are compared. So every link between components is found,
        without a limit on partners or list lengths.
 
     ``with_keys`` adds text_hash (``xxhash64`` of the text, null as empty) and group, which is
@@ -522,15 +536,14 @@ def near_duplicate_components(
     shards = max(1, sets.filter("mostly").count() // 2_000)
     roots = connected_components(_compare_lists(compared, shards, shingle, percent))
 
-    rooted = sets.select("key", "node", "mostly", "sketch").join(roots, "node", "left")
+    rooted = sets.select("key", "node", "sketch").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Sets that have met in a part have been compared: that answer stands.
     met = picks.groupBy("key").agg(F.sort_array(F.collect_set("met")).alias("met"))
-    rooted = rooted.withColumn("root", F.coalesce("root", "node")).join(met, "key", "left")
     # A list of one component has nothing more to tell. Most are: they end here, before sketches are moved.
     ends = lists.select("key", "token").join(rooted.select("key", "root"), "key").groupBy("token")
     several = ends.agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token")
     several = stage(several, "several")
-    entries = lists.join(several, "token").join(rooted.select("key", "node", "root", "sketch", "met"), "key")
+    entries = lists.join(several, "token").join(rooted, "key").join(met, "key", "left")
     # A list of several parts becomes a cell for each pair of parts.
     cuts = F.ceil(F.col("long") / CELL_ROWS)
     part = F.pmod(F.xxhash64("node"), cuts)
@@ -553,24 +566,11 @@ def near_duplicate_components(
         shard.alias("shard"),
     )
     shards = max(1, lists.join(several, "token", "left_semi").count() // SHARD_ROWS)
-    pairs = _candidate_pairs(entries, shards, percent).groupBy("u", "v").agg(F.min("apart").alias("apart"))
-    known = rooted.select("node", "root", "mostly")
-    for c in "uv":
-        names = {"node": c, "root": f"r{c}", "mostly": f"m{c}"}
-        pairs = pairs.join(known.withColumnsRenamed(names), c)
-    pairs = stage(pairs, "pairs")
-
-    near = pairs.groupBy(F.least("ru", "rv"), F.greatest("ru", "rv")).agg(
-        F.min(F.struct("apart", "u", "v", "mu", "mv")).alias("p")
-    )
-    near = stage(near.select("p.*"), "near")
-    tops = connected_components(_rooted(_all_verified(near, sets, shingle, percent), roots))
+    clusters = stage(_clusters(entries, shards, percent), "clusters")
+    compared = clusters.join(sets.select("node", "packed"), "node")
+    shards = max(1, clusters.count() // 2_000)
+    tops = connected_components(_rooted(_compare_lists(compared, shards, shingle, percent), roots))
     roots = stage(_grouped(rooted.select("node", "root"), tops), "roots")
-    named = {c: roots.select(F.col("node").alias(c), F.col("root").alias(f"_r{c}")) for c in "uv"}
-    rest = pairs.join(near, ["u", "v"], "left_anti").join(named["u"], "u").join(named["v"], "v").filter("_ru <> _rv")
-    rest = stage(rest.select("u", "v", "mu", "mv"), "rest")
-    tops = connected_components(_rooted(_all_verified(rest, sets, shingle, percent), roots))
-    roots = _grouped(roots, tops)
 
     grouped = sets.select("h1", "h2", "node").join(roots, "node").join(classes.select("h1", "h2", "least"), ["h1", "h2"])
     least = grouped.groupBy("root").agg(F.min("least").alias("component"), F.min(F.struct("h1", "h2")).alias("group"))
