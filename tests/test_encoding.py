@@ -77,3 +77,18 @@ def test_training_rows_know_no_own_label(spark, stable):
     one, other = made(1), made(10**6)
     assert one["T7"] == other["T7"]
     assert 0.5 not in one.values() and any(one[k] != other[k] for k in one.keys() & other.keys())
+
+
+def test_means_are_joined_in_once_for_training(spark, monkeypatch):
+    """Estimators read their rows several times; a join of many means would be shuffled anew each time."""
+    handed = []
+
+    def fitted(ready, *how, fit=training.fit_prepared, **more):
+        handed.append(ready)
+        return fit(ready, *how, **more)
+
+    monkeypatch.setattr(training, "fit_prepared", fitted)
+    rows = spark.createDataFrame([(i % 3, float(i)) for i in range(12)] + [(None, 1.0)], "k long, y double")
+    model = training.fit_model(rows, "linear_regression", "y", averaged=["k"])
+    assert "Join" not in handed[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert training.score(model, rows).filter("prediction IS NOT NULL").count() == 13

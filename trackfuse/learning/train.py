@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from trackfuse.learning.encoding import HASH_SIZE, hash_encode, target_means
 from trackfuse.learning.stages import FILLED, KINDS, assemble, mean_impute, one_hot, string_index
 from trackfuse.operators.project import drop_derived
+from trackfuse.session import stage
 
 
 def needed_bins(indexer_model, at_least: int) -> int:
@@ -79,6 +80,9 @@ def fit_model(
     if prepared is None:
         prepared = prepare(rows, label, categorical, numerical, keep_raw, hashed, averaged, weight, hash_size)
     ready = PipelineModel(list(prepared)).transform(rows)
+    if averaged:
+        # The means are joined in by a shuffle where they are many, and estimators go over their rows several times.
+        ready = stage(ready.drop(*(c for c in averaged if c not in numerical)), "ready")
     more = ["hashed_vec"] * bool(hashed) + [f"{c}_mean_idx" for c in averaged]
     return fit_prepared(
         ready, kind, label, categorical, numerical, weight, keep_raw, estimator, prepared=prepared, more=more, **params
