@@ -2,6 +2,7 @@ from pathlib import Path
 
 import pytest
 
+from trackfuse.plans import features
 from trackfuse.session import new_path, remove_run, run_folder, stage, work_dir
 
 
@@ -31,3 +32,19 @@ def test_runs_may_nest(spark):
     with run_folder(spark, "outer") as outer, run_folder(spark, "inner") as inner:
         assert inner == f"{outer}/inner"
     assert not Path(outer).exists()
+
+
+def test_feature_streams_have_no_empty_batches(spark, monkeypatch):
+    """A batch without input would go through the whole state of the join and give nothing."""
+    seen, setting = [], "spark.sql.streaming.noDataMicroBatches.enabled"
+
+    def start(*_, **__):
+        seen.append(spark.conf.get(setting))
+
+    monkeypatch.setattr(features, "append_stream", start)
+    monkeypatch.setattr(features, "versioned_join", start)
+    monkeypatch.setattr(features, "refresh_averages", lambda *_: spark.range(1))
+    monkeypatch.setattr(features, "build_features", lambda *_, **__: spark.range(1))
+    features.start_features(spark.range(1), *[None] * 4, "checkpoint")
+    features.start_versioned_features(*[None] * 5, "averages", "out", "checkpoint")
+    assert seen == ["false"] * 2 and spark.conf.get(setting) == "true"
