@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from trackfuse.learning import train as training
 from trackfuse.learning.encoding import hash_encode, target_means
 from trackfuse.learning.train import fit_model, save_model, score
 from trackfuse.plans.models import training_rows
