@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, trimmed, utf8
+from trackfuse.llm.words import CHUNK_BYTES, gram_hashes, trimmed, trimmed_group, utf8
 from trackfuse.session import stage
 
 #: Contexts that one task searches at a time.
@@ -42,6 +42,8 @@ SHARD_CONTEXTS = 4_000
 HOT_CONTEXTS = 2_000
 #: Symbols worked on at a time; longer texts are taken in overlapping parts.
 MAX_SYMBOLS = 1 << 20
+#: Shorter texts are taken together up to so many, whose arrays stay near the processor.
+GROUP_SYMBOLS = 1 << 18
 #: Parts into which the rows of a gram are dealt that has more than a thousandth of all.
 HEAVY_PARTS = 256
 _PLACE_BITS = np.uint64((1 << 24) - 1)
@@ -103,7 +105,7 @@ def _parts(parsed: list, kind: Passages) -> Iterator[list[tuple[int, int, np.nda
     for k, text in enumerate(parsed):
         for at in range(0, max(len(text) - window + 1, 0), MAX_SYMBOLS // 2):
             part = kind.symbols(text[at : at + MAX_SYMBOLS // 2 + window - 1])
-            if group and size + len(part) > MAX_SYMBOLS:
+            if group and size + len(part) > GROUP_SYMBOLS:
                 yield group
                 group, size = [], 0
             group.append((k, at, part))
@@ -390,7 +392,7 @@ def _gathered(opened: DataFrame, kind: Passages, id_kind: str, shard_contexts: i
     return (
         opened.withColumn("_shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))
         .groupBy("_shard")
-        .applyInArrow(search, f"_id {id_kind}, _hash bigint, begin bigint, end bigint")
+        .applyInArrow(trimmed_group(search), f"_id {id_kind}, _hash bigint, begin bigint, end bigint")
     )
 
 

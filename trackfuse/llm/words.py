@@ -66,14 +66,31 @@ def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others need no telling
-            if trim is not None:
-                trim(0)
+            _give_back()
 
     return each
 
 
+def trimmed_group(run: Callable[[pa.Table], pa.Table]) -> Callable:
+    """The same for a function of a group, whose working arrays are gone when it returns."""
+
+    @functools.wraps(run)
+    def each(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            _give_back()
+
+    return each
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others need no telling
+    if trim is not None:
+        trim(0)
+
+
 def text_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
     """The texts of a batch that has them as ``_text``, or else in the struct ``row`` under ``text_col``."""
     at = batch.schema.get_field_index("_text")
