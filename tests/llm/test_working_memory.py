@@ -3,7 +3,7 @@
 import pyarrow as pa
 import pytest
 
-from trackfuse.llm import repeats, suffix_dedup, words
+from trackfuse.llm import jaccard_join, repeats, suffix_dedup, words
 
 
 def test_short_texts_are_worked_on_in_small_groups():
@@ -22,3 +22,17 @@ def test_memory_goes_back_after_each_group(monkeypatch):
     with pytest.raises(ZeroDivisionError):
         words.trimmed_group(lambda group: 1 / 0)(table)
     assert len(given) == 2
+
+
+def test_compared_groups_give_memory_back(spark, monkeypatch):
+    wrapped = []
+
+    def record(run):
+        wrapped.append(run)
+        return run
+
+    monkeypatch.setattr(jaccard_join, "trimmed_group", record)
+    jaccard_join._compare_lists(spark.createDataFrame([], "list bigint, node bigint, packed binary"), 1, 5, 80)
+    shape = "cell bigint, node bigint, root bigint, np bigint, sketch binary, met array<bigint>, shard bigint"
+    jaccard_join._clusters(spark.createDataFrame([], shape), 1, 80)
+    assert len(wrapped) == 2

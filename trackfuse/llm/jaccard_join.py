@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackfuse.llm.components import connected_components
-from trackfuse.llm.words import CHUNK_BYTES, SpacedNumbers, gram_hashes, mix, trimmed, utf8
+from trackfuse.llm.words import CHUNK_BYTES, SpacedNumbers, gram_hashes, mix, trimmed, trimmed_group, utf8
 from trackfuse.session import stage
 
 SHINGLE = 5
@@ -324,7 +324,7 @@ def _compare_lists(rows: DataFrame, shards: int, n: int, percent: int) -> DataFr
     return (
         rows.withColumn("_shard", F.pmod(F.xxhash64("list"), F.lit(shards)))
         .groupBy("_shard")
-        .applyInArrow(run, "u bigint, v bigint")
+        .applyInArrow(trimmed_group(run), "u bigint, v bigint")
     )
 
 
@@ -402,7 +402,7 @@ def _clusters(rows: DataFrame, shards: int, percent: int) -> DataFrame:
         rows.withColumn("_shard", F.pmod("shard", F.lit(shards)))
         .drop("shard")
         .groupBy("_shard")
-        .applyInArrow(run, "list bigint, node bigint")
+        .applyInArrow(trimmed_group(run), "list bigint, node bigint")
     )
 
 
