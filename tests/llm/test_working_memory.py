@@ -1,9 +1,11 @@
 """What a task works on at a time, and what its process keeps afterwards."""
 
+import tracemalloc
+
 import pyarrow as pa
 import pytest
 
-from trackfuse.llm import jaccard_join, repeats, suffix_dedup, words
+from trackfuse.llm import jaccard_join, language, repeats, suffix_dedup, words
 
 
 def test_short_texts_are_worked_on_in_small_groups():
@@ -36,3 +38,36 @@ def test_compared_groups_give_memory_back(spark, monkeypatch):
     shape = "cell bigint, node bigint, root bigint, np bigint, sketch binary, met array<bigint>, shard bigint"
     jaccard_join._clusters(spark.createDataFrame([], shape), 1, 80)
     assert len(wrapped) == 2
+
+
+def test_a_text_needs_few_bytes_a_character_to_be_judged():
+    learned = {"a": ["the cat sat on the mat " * 40], "b": ["der hund lief im wald " * 40]}
+    model, letters = language.LanguageModel.learn(learned), language._letter_table()
+    texts = ["the cat ran in the wood and sat on a mat " * 500] * 20
+    tracemalloc.start()
+    try:
+        names, _ = model.predict(texts, letters)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert names == ["a"] * 20
+    assert peak < 45 * sum(map(len, texts))
+
+
+def test_languages_are_learned_without_python_workers_of_another_kind(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "the cat sat", "a"), (3, "der hund lief", "b")], "doc_id bigint, text string, lang string")
+
+    def refused(*_):
+        raise AssertionError("rows that are sent through Python workers")
+
+    monkeypatch.setattr(type(spark), "_createFromLocal", refused)
+    assert language.learn_languages(docs).names == ["a", "b"]
+
+
+def test_what_a_worker_kept_goes_back_when_another_stage_begins(monkeypatch):
+    given = []
+    monkeypatch.setattr(words, "_give_back", lambda: given.append(1))
+    assert [words.per_worker(k, lambda: 5) for k in ("one", "one", "two")] == [5, 5, 5]
+    before = len(given)
+    words.per_worker("three", lambda: 6)
+    assert len(given) == before + 1

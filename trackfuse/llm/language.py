@@ -37,7 +37,7 @@ def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased code points of all texts, one after the other, and each text's number of them."""
     lowered = [t.lower().encode("utf-32-le", "surrogatepass") for t in texts]
     sizes = np.fromiter((len(t) // 4 for t in lowered), np.int64, len(lowered))
-    return np.frombuffer(b"".join(lowered), "<u4").astype(np.int64), sizes
+    return np.frombuffer(b"".join(lowered), "<u4"), sizes
 
 
 def _suffix_automaton(symbols: Sequence[int]) -> list[dict[int, int]]:
@@ -133,7 +133,7 @@ class LanguageModel:
         names = sorted(samples)
         letters = _letter_table()
         codes = {n: _codes(samples[n])[0] for n in names}
-        cut = {n: _squeeze(np.where(letters[c], c, -1), -1)[0][:chars] for n, c in codes.items()}
+        cut = {n: _squeeze(np.where(letters[c], c.astype(np.int64), -1), -1)[0][:chars] for n, c in codes.items()}
         every = np.unique(np.concatenate([*cut.values(), np.empty(0, np.int64)]))
         alphabet = every[every >= 0]
         tables, sizes = [], []
@@ -151,42 +151,46 @@ class LanguageModel:
 
         A row per text. Without the latter a language of little text would be cheap for any text.
         """
-        codes, sizes = _codes(texts)
-        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return self._rates(*_codes(texts), letters)
+
+    def _rates(self, codes: np.ndarray, sizes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        n_texts, ends = len(sizes), np.concatenate(([0], np.cumsum(sizes)))
         # A text's first space is its own, whatever text goes before it.
         starts = ends[:-1][sizes > 0]
         symbols, kept = _squeeze(_symbols(codes, self.alphabet, letters), starts=starts)
         bounds = np.searchsorted(kept, ends)  # the texts' places among what is left
+        del kept
         lengths = np.diff(bounds)
         n_segments = -(-lengths // SEGMENT)
-        owner = np.repeat(np.arange(len(texts)), n_segments)
+        owner = np.repeat(np.arange(n_texts), n_segments)
         first = np.concatenate(([0], np.cumsum(n_segments)))[:-1]
         begin = bounds[owner] + (np.arange(len(owner)) - first[owner]) * SEGMENT
         size = np.minimum(bounds[owner + 1] - begin, SEGMENT)
-        out = np.zeros((len(texts), len(self.names)))
+        out = np.zeros((n_texts, len(self.names)))
         order = np.argsort(-size, kind="stable")
         begin, size, owner = begin[order], size[order], owner[order]
         alive = len(size) - np.searchsorted(size[::-1], np.arange(SEGMENT), side="right")
-        whole = np.repeat(np.arange(len(texts)), lengths)
         for i, (table, learned) in enumerate(zip(self.tables, self.sizes, strict=True)):
             state, phrases = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
             for step in range(int(size[0]) if len(size) else 0):
                 n = alive[step]
                 state[:n], fresh = table.next(state[:n], symbols[begin[:n] + step])
                 phrases[:n] += fresh
-            unknown = np.bincount(whole, table.start[symbols] == 0, len(texts))
-            total = np.bincount(owner, phrases + 1, len(texts)) * np.log2(learned) + unknown * np.log2(table.width)
+            at = np.searchsorted(bounds, np.flatnonzero(table.start[symbols] == 0), side="right") - 1
+            unknown = np.bincount(at, minlength=n_texts)
+            total = np.bincount(owner, phrases + 1, n_texts) * np.log2(learned) + unknown * np.log2(table.width)
             out[:, i] = total / np.maximum(lengths, 1)
         return out
 
     def predict(self, texts: Sequence[str], letters: np.ndarray) -> tuple[list[str], list[float]]:
         """The language of the lowest rate (ties: first by name) and how far it lies below the next one, 0 to 1."""
-        codes, sizes = _codes(texts)
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        has_letter = np.bincount(owner, letters[codes], len(texts)) > 0 if len(codes) else np.zeros(len(texts), bool)
         if not self.names:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        rates = self.rates(texts, letters)
+        codes, sizes = _codes(texts)
+        has_letter, some = np.zeros(len(texts), bool), sizes > 0
+        if len(codes):
+            has_letter[some] = np.logical_or.reduceat(letters[codes], (np.cumsum(sizes) - sizes)[some])
+        rates = self._rates(codes, sizes, letters)
         best = rates.argmin(axis=1)
         ordered = np.sort(rates, axis=1)
         second = ordered[:, 1] if len(self.names) > 1 else ordered[:, 0] * 2
@@ -198,10 +202,9 @@ class LanguageModel:
 
 
 def _symbols(codes: np.ndarray, alphabet: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(alphabet, codes)
-    at = np.minimum(at, max(len(alphabet) - 1, 0))
-    known = alphabet[at] == codes if len(alphabet) else np.zeros(len(codes), bool)
-    return np.where(known, at + 2, np.where(letters[codes], _OTHER, _SPACE))
+    every = np.where(letters, _OTHER, _SPACE).astype(np.int32)
+    every[alphabet] = np.arange(2, len(alphabet) + 2)
+    return every[codes]
 
 
 def _squeeze(symbols: np.ndarray, blank: int = _SPACE, starts: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
@@ -247,8 +250,10 @@ def learn_languages(
         (r["_lang"], min(1.0, 1.3 * sample_docs / max(r["n"], 1)), max(chars // 8, min(chars, 2 * chars // max(r["n"], 1)), 1))
         for r in counts
     ]
+    # From Arrow: a list of rows would go through Python workers of another kind, which stay beside those of the stages.
     shares = docs.sparkSession.createDataFrame(
-        shares, T.StructType([usable.schema["_lang"]]).add("share", "double").add("piece", "integer")
+        pa.table({name: list(values) for name, values in zip(("_lang", "share", "piece"), zip(*shares, strict=True), strict=True)}),
+        T.StructType([usable.schema["_lang"]]).add("share", "double").add("piece", "integer"),
     )
     draw = F.pmod(F.xxhash64(F.lit("draw"), "_text"), F.lit(1 << 30)) / (1 << 30)
     drawn = usable.withColumn("draw", draw).join(F.broadcast(shares), "_lang").filter("draw < share")
@@ -288,14 +293,15 @@ def identify_languages(
         for table, values in zip(model.tables, shared.value["tables"], strict=True):
             table.__dict__.update(values)
         for batch in batches:
-            texts = pc.fill_null(text_of(batch, text_col), "").to_pylist()
+            texts = pc.fill_null(text_of(batch, text_col), "")
+            lengths = pc.utf8_length(texts).to_pylist()
             names, scores, at = [], [], 0
             while at < len(texts):
-                end, size = at + 1, len(texts[at])
-                while end < len(texts) and size + len(texts[end]) <= CHUNK_BYTES // 2:
-                    size += len(texts[end])
+                end, size = at + 1, lengths[at]
+                while end < len(texts) and size + lengths[end] <= CHUNK_BYTES // 2:
+                    size += lengths[end]
                     end += 1
-                n, s = model.predict(texts[at:end], letters)
+                n, s = model.predict(texts[at:end].to_pylist(), letters)
                 names += n
                 scores += s
                 at = end

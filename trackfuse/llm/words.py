@@ -50,7 +50,9 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     """
     kept = vars(sys.modules["pyspark"]).setdefault("_kept_by_trackfuse", {})
     if key not in kept:
-        kept.clear()
+        if kept:
+            kept.clear()
+            _give_back()
         kept[key] = make()
     return kept[key]
 
