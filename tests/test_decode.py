@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from trackfuse.schemas import FEATURES, POSITIONS, PREDICTIONS, SCHEDULE, SCHEDULE_MESSAGE, SCHEDULE_TIMES, schema
 from trackfuse.sources.decode import (
     SCHEDULE_PICKS,
@@ -123,3 +125,11 @@ def test_topic_options():
     options = topic_options("host:1", "t", maxOffsetsPerTrigger="5")
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
     assert options["subscribe"] == "t" and options["maxOffsetsPerTrigger"] == "5"
+
+
+def test_messages_are_made_once_to_find_the_bad_ones(spark):
+    rows = spark.range(4).select(F.to_json(F.struct(F.col("id").cast("string").alias("time_position"))).alias("value"))
+    found = bad_rows(rows.unionAll(messages(spark, None)), FLAT)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == 1
+    assert sorted(r.value or "" for r in found.collect()) == ["", *(f'{{"time_position":"{i}"}}' for i in range(4))]

@@ -52,10 +52,15 @@ def decode_schedule(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def bad_rows(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """The messages that are missing, no JSON, or hold a field that does not fit ``schema``, for a side table."""
+    """The messages that are missing, no JSON, or hold a field that does not fit ``schema``, for a side table.
+
+    A filter would be moved below whatever makes the messages, which would then be made anew for each mention of them;
+    a generator stays above it.
+    """
     marked = T.StructType([*schema.fields, T.StructField("_unread", T.StringType())])
     data = F.from_json(F.col(col).cast("string"), marked, {"columnNameOfCorruptRecord": "_unread"})
-    return df.filter(F.col(col).isNull() | data["_unread"].isNotNull())
+    bad = F.col(col).isNull() | data["_unread"].isNotNull()
+    return df.select("*", F.explode(F.when(bad, F.array(F.lit(True)))).alias("_bad")).drop("_bad")
 
 
 def state_vectors(df: DataFrame, schema: T.StructType, col: str = "value", field: str = "states") -> DataFrame:
