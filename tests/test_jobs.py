@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from trackfuse.operators.lookup import latest_for_key, latest_n
 from trackfuse.plans.features import build_features, start_features
 from trackfuse.plans.ingest import positions_from_pages, schedule_from_pages, start_ingest
 from trackfuse.plans.models import start_scoring, train_all, training_rows
-from trackfuse.schemas import FEATURES, POSITIONS, SCHEDULE
+from trackfuse.queries import jobs
+from trackfuse.schemas import CATEGORICAL, FEATURES, LABEL, NUMERICAL, POSITIONS, SCHEDULE
 from trackfuse.sources.scans import calendar_table, table_stream
 from trackfuse.streaming.sinks import append_files, finish
 
@@ -237,3 +239,20 @@ def test_train_score_and_look_up(spark, features, tmp_path):
     newest = latest_for_key(stored, "ident", "T7", "scheduled_out", ["time_position"]).first()
     assert newest.time_position == 1967
     assert [r.time_position for r in latest_n(stored, "scheduled_out", 2, ["time_position"]).collect()] == [1999, 1959]
+
+
+def test_training_copies_only_the_columns_it_reads(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def record(rows, prefix):
+        raise Seen(rows.columns)
+
+    monkeypatch.setattr(jobs, "stage", record)
+    monkeypatch.setattr(jobs, "table", lambda *_: None)
+    monkeypatch.setattr(jobs, "domain", SimpleNamespace(schedule=lambda rows: rows, positions=lambda rows: rows))
+    monkeypatch.setattr(jobs, "features", lambda *_: spark.createDataFrame([], FEATURES))
+    with pytest.raises(Seen) as found:
+        jobs.trained(spark, "")
+    columns = found.value.args[0]
+    assert set(columns) >= {*CATEGORICAL, *NUMERICAL, LABEL, "ident", "scheduled_out"} and len(columns) < 20

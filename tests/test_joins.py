@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from trackfuse.operators import enrich, skew
+from trackfuse.operators import enrich, interval, skew
 from trackfuse.operators.interval import DAY, interval_join
 from trackfuse.sources.scans import calendar_table
 
@@ -321,3 +321,19 @@ def test_interval_join_of_zone_less_times(spark, rows, kinds):
         assert rows(interval_join(plan, obs, ("p", "o"), "planned", "seen", 900, 900), "planned", "seen") == wanted
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_plans_are_repeated_for_two_bins_and_ids_shuffled_once(spark, monkeypatch):
+    plan = spark.sql("SELECT concat('a', id) AS craft, timestamp '2024-01-01' + make_interval(0, 0, 0, 0, id) AS due FROM range(50)")
+    seen = spark.sql("SELECT concat('a', id) AS code, timestamp '2024-01-01 01:00:00' AS at FROM range(50)")
+    sides = []
+
+    def record(left, right, *args, **more):
+        sides.extend((left, right))
+        return skew.salted_join(left, right, *args, **more)
+
+    monkeypatch.setattr(interval, "salted_join", record)
+    found = interval.interval_join(plan, seen, ("craft", "code"), "due", "at", max_broadcast_rows=0)
+    assert found.columns == ["craft", "due", "code", "at"] and found.filter("craft = code").count() == 26
+    assert sides[1].count() == 100 and set(sides[0].columns) == {"_id", "_bin", "at"}
+    assert set(sides[1].columns) == {"_id", "_bin", "due"}
