@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from trackfuse.learning.stages import KINDS
 from trackfuse.learning.train import score
 from trackfuse.operators.lookup import latest_for_key, latest_n
 from trackfuse.plans.features import build_features, start_features
@@ -256,3 +257,24 @@ def test_training_copies_only_the_columns_it_reads(spark, monkeypatch):
         jobs.trained(spark, "")
     columns = found.value.args[0]
     assert set(columns) >= {*CATEGORICAL, *NUMERICAL, LABEL, "ident", "scheduled_out"} and len(columns) < 20
+
+
+def test_every_kind_is_trained_as_it_is_by_default(spark, features, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def record(rows, root, kinds, params=None, **how):
+        raise Seen(kinds, params or {})
+
+    monkeypatch.setattr(jobs, "train_all", record)
+    monkeypatch.setattr(jobs, "table", lambda *_: None)
+    monkeypatch.setattr(jobs, "domain", SimpleNamespace(schedule=lambda rows: rows, positions=lambda rows: rows))
+    monkeypatch.setattr(jobs, "features", lambda *_: features)
+    with pytest.raises(Seen) as found:
+        jobs.trained(spark, "")
+    kinds, params = found.value.args
+    assert "boosted_regression" in kinds
+    for kind in kinds:
+        made, plain = (KINDS[kind][1](LABEL, **more) for more in (params.get(kind, {}), {}))
+        settings = [{p.name: made_by.getOrDefault(p) for p in made_by.params if made_by.hasDefault(p)} for made_by in (made, plain)]
+        assert settings[0] == settings[1]
