@@ -5,13 +5,14 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from trackfuse import session
 from trackfuse.learning.stages import KINDS
 from trackfuse.learning.train import score
 from trackfuse.operators.lookup import latest_for_key, latest_n
 from trackfuse.plans.features import build_features, start_features
 from trackfuse.plans.ingest import positions_from_pages, schedule_from_pages, start_ingest
 from trackfuse.plans.models import start_scoring, train_all, training_rows
-from trackfuse.queries import jobs
+from trackfuse.queries import jobs, registry
 from trackfuse.schemas import CATEGORICAL, FEATURES, LABEL, NUMERICAL, POSITIONS, SCHEDULE
 from trackfuse.sources.scans import calendar_table, table_stream
 from trackfuse.streaming.sinks import append_files, finish
@@ -278,3 +279,32 @@ def test_every_kind_is_trained_as_it_is_by_default(spark, features, monkeypatch)
         made, plain = (KINDS[kind][1](LABEL, **more) for more in (params.get(kind, {}), {}))
         settings = [{p.name: made_by.getOrDefault(p) for p in made_by.params if made_by.hasDefault(p)} for made_by in (made, plain)]
         assert settings[0] == settings[1]
+
+
+@pytest.mark.parametrize("name", ["e2_features_stream"])
+def test_features_of_a_replay_in_batches(spark, tmp_path, rows, monkeypatch, name):
+    """Much history goes through the join in the order of its times, so its state is not all of it."""
+    day = "timestamp_ntz'1993-01-01' + make_dt_interval(int({} % 2000))"
+    made = {
+        "nation": spark.range(20).selectExpr("int(id) n_nationkey"),
+        "orders": spark.range(300).selectExpr(
+            "id o_orderkey", "id * 3 o_custkey", "substr('FOP', int(id % 3) + 1, 1) o_orderstatus", "double(id) o_totalprice",
+            f"if(id = 7, NULL, {day.format('(id * 811)')}) o_orderdate", "concat(id % 5, '-X') o_orderpriority",
+        ),
+        "lineitem": spark.range(1500).selectExpr(
+            "id % 300 l_orderkey", "id l_partkey", "id % 90 l_suppkey", "int(id % 7) l_linenumber", "double(id % 50) l_quantity",
+            "id / 8.0D l_extendedprice", "0.05D l_discount", "0.02D l_tax", "substr('ARN', int(id % 3) + 1, 1) l_returnflag",
+            "substr('FO', int(id % 2) + 1, 1) l_linestatus", f"if(id = 11, NULL, {day.format('(id % 300 * 811 + id % 400)')}) l_shipdate",
+        ),
+    }
+    for table_name, df in made.items():
+        df.write.parquet(str(tmp_path / f"{table_name}.parquet"))
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(registry, "BATCH_ROWS", 450, raising=False)
+    monkeypatch.setattr(session, "work_dir", lambda _: str(shared))
+    found = registry.QUERIES[name](spark, str(tmp_path))
+    batch = registry.QUERIES["e2_features"](spark, str(tmp_path))
+    columns = sorted(batch.columns)
+    assert rows(found, *columns) == rows(batch, *columns) and batch.count() > 100
+    commits = [p for p in shared.glob("e2_checkpoint_*/**/commits/*") if p.name.isdigit()]
+    assert {p.name for p in commits} >= {"2", "3"}

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from trackfuse.operators.enrich import id_map_left, key_average_join
 from trackfuse.operators.interval import DAY, drop_repeats, interval_join, watermark
-from trackfuse.session import ROCKSDB
-from trackfuse.sources.scans import as_glob, read_stream, table_scan, table_stream, topic_options
+from trackfuse.session import ROCKSDB, small_state
+from trackfuse.sources import scans
+from trackfuse.sources.scans import as_glob, ordered_stream, read_stream, table_scan, table_stream, topic_options
 from trackfuse.streaming.sinks import (
     append_files,
     append_stream,
@@ -99,6 +100,37 @@ def test_one_batch_keeps_a_plan_twice_and_splits_heavy_ids_only(spark, tmp_path,
     assert got[100_000] <= 231 < got[10] <= 231 + 2 * 3
 
 
+def test_stored_rows_come_in_the_order_of_their_times(spark, tmp_path, rows):
+    """Nothing is late, exact copies and rows without a time take part, and old rows leave the state."""
+    at = "timestamp'2026-03-01' + make_dt_interval(0, int(id * 37 % 200) * 6)"
+    plan = spark.range(200).selectExpr("concat('a', id % 7) pid", f"if(id = 5, NULL, {at}) planned", "int(id) p")
+    seen = spark.range(400).selectExpr("concat('a', id % 7) oid", f"if(id = 9, NULL, {at}) seen", "int(id) o")
+    for name, df in (("plan", plan), ("seen", seen.unionAll(seen.limit(20)))):
+        df.repartition(3).write.parquet(str(tmp_path / name))
+    tables = [spark.read.parquet(str(tmp_path / name)) for name in ("plan", "seen")]
+    feeds = [
+        ordered_stream(df, time, str(tmp_path / f"{time}_in_order"), 20, 2, key)
+        for df, time, key in zip(tables, ("planned", "seen"), ("pid", None), strict=True)
+    ]
+    with small_state(spark):
+        running = append_files(join(*feeds, "8 hours"), str(tmp_path / "out"), str(tmp_path / "ck"), trigger=ONCE)
+    finish(running)
+    expected = rows(join(*tables), "p", "o")
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "p", "o") == expected and len(expected) > 100
+    states = [s for p in running.recentProgress for s in p["stateOperators"]]
+    assert len(states) >= 9 and max(s["numRowsTotal"] for s in states) < 820 / 3
+    assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") != "2"
+
+
+def test_a_store_without_file_times_gives_one_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scans, "_dated_by_place", lambda *_: False)
+    stored = spark.range(100).selectExpr("id", "timestamp_seconds(id) at")
+    feed = ordered_stream(stored, "at", str(tmp_path / "in_order"), 4, 1)
+    running = append_files(feed, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=ONCE)
+    finish(running)
+    assert [p["numInputRows"] for p in running.recentProgress if p["numInputRows"]] == [100]
+
+
 def test_refresh_under_a_running_stream(spark, tmp_path, rows):
     """The stream goes on with the averages it began with, and readers of the old files are not disturbed."""
 
