@@ -281,7 +281,7 @@ def test_every_kind_is_trained_as_it_is_by_default(spark, features, monkeypatch)
         assert settings[0] == settings[1]
 
 
-@pytest.mark.parametrize("name", ["e2_features_stream"])
+@pytest.mark.parametrize("name", ["e2_features_stream", "e2_features_versioned"])
 def test_features_of_a_replay_in_batches(spark, tmp_path, rows, monkeypatch, name):
     """Much history goes through the join in the order of its times, so its state is not all of it."""
     day = "timestamp_ntz'1993-01-01' + make_dt_interval(int({} % 2000))"
